@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tidemark.operators import stored_counts
 from tidemark.plans import replace_snapshot, replace_snapshots
-from tidemark.sinks import partition_path, replace_partitions
+from tidemark.sinks import partition_path, replace_partition
 from tidemark.sources import read_history, read_snapshot, register_partition
 
 D1, D2 = dt.date(2024, 1, 14), dt.date(2024, 1, 15)
@@ -97,9 +97,8 @@ def test_unwritten_date_reads_as_empty(spark, root):
 
 def test_names_of_partition_directories(spark, root, tmp_path):
     name = "a/b:c=d 100%"
-    df = frame(spark, 1).withColumn("k", F.lit(name))
-    assert replace_partitions(df, root, ["k"], [(name,)]) == 1
-    assert replace_partitions(df.where("id > 1"), root, ["k"], [(name,)]) == 0
+    assert replace_partition(frame(spark, 1), root, {"k": name}) == 1
+    assert replace_partition(frame(spark).where("id > 1"), root, {"k": name}) == 0
     assert spark.read.parquet(root).count() == 0
     assert [p.name for p in (tmp_path / "lake").glob("k=*")] == [partition_path("", ["k"], [name])[1:]]
 
@@ -122,3 +121,17 @@ def test_stored_count_reads_no_data_column(spark, root):
     counted = stored_counts(read_snapshot(spark, root, D1, schema(spark)), "t", D1)
     plan = counted._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<>" in plan and "PartitionFilters: [isnotnull(as_of_date" in plan
+
+
+def last_plan(spark):
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return runs.apply(runs.size() - 1).physicalPlanDescription()
+
+
+def test_writing_a_snapshot_neither_sorts_nor_shuffles(spark, root):
+    df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    assert replace_snapshot(df, root, D1) == df.count()
+    replace_snapshot(df, root, D1)
+    plan = last_plan(spark)
+    assert "WriteFiles" in plan and "Sort" not in plan and "Exchange" not in plan

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import as_date
 from tidemark.operators.reconcile import stored_counts, transform_counts
-from tidemark.sinks.partitions import replace_partitions
+from tidemark.sinks.partitions import replace_partition, replace_partitions
 from tidemark.sources import layout
 from tidemark.sources.mappings import require_rows
 from tidemark.sources.snapshots import read_snapshot
@@ -29,12 +29,9 @@ def replace_snapshot(
     Written as it is partitioned unless a number of files is asked for; a snapshot of
     many terabytes is better served by ``max_rows_per_file``, which needs no shuffle.
     """
-    day = as_date(as_of)
-    rows = df.withColumn("as_of_date", F.lit(day))
-    if files is not None:
-        rows = rows.repartition(files)
-    return replace_partitions(
-        rows, root, ["as_of_date"], [(day,)], max_rows_per_file=max_rows_per_file
+    rows = df if files is None else df.repartition(files)
+    return replace_partition(
+        rows, root, {"as_of_date": as_date(as_of)}, max_rows_per_file=max_rows_per_file
     )
 
 
@@ -48,7 +45,7 @@ def replace_snapshots(
     """
     return replace_partitions(
         df.hint("rebalance", "as_of_date"), root, ["as_of_date"],
-        [(as_date(day),) for day in days], max_rows_per_file=max_rows_per_file,
+        [(as_date(day),) for day in days], max_rows_per_file,
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import as_date, wall_clock
 from tidemark.operators.freshness import READY, classify_freshness, verdict
-from tidemark.sinks.partitions import replace_partitions
+from tidemark.sinks.partitions import replace_partition
 
 
 def check_domain(
@@ -36,8 +36,7 @@ def check_domain(
 
 def write_list(tables: DataFrame, root: str, domain: str) -> int:
     """Replace a domain's list, one JSON object per table."""
-    rows = tables.withColumn("domain", F.lit(domain))
-    return replace_partitions(rows, root, ["domain"], [(domain,)], "json")
+    return replace_partition(tables, root, {"domain": domain}, "json")
 
 
 def publish_status(
@@ -52,11 +51,9 @@ def publish_status(
     One file by default, as a domain has some dozens of upstream tables; ``files=None``
     keeps the partitions of a larger list.
     """
-    day = as_date(as_of)
-    rows = classify_freshness(status.where(F.col("domain") == domain), day).where("is_fresh")
-    rows = rows.drop("is_fresh").withColumnRenamed("as_of_date", "status_as_of_date").withColumns({
-        "as_of_date": F.lit(day), "dest_tbl": F.lit(domain),
-    })
+    rows = classify_freshness(status.where(F.col("domain") == domain), as_of).where("is_fresh")
+    # The record has a time of its own under the name of the partition key.
+    rows = rows.drop("is_fresh").withColumnRenamed("as_of_date", "status_as_of_date")
     if files is not None:
         rows = rows.coalesce(files)
-    return replace_partitions(rows, root, ["as_of_date", "dest_tbl"], [(day, domain)])
+    return replace_partition(rows, root, {"as_of_date": as_date(as_of), "dest_tbl": domain})

@@ -5,10 +5,9 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark.functions.times import as_date
-from tidemark.sinks.partitions import replace_partitions
+from tidemark.sinks.partitions import replace_partition
 
 
 def write_delimited(report: DataFrame, path: str, files: int | None = 1) -> None:
@@ -28,8 +27,6 @@ def write_lines(
 
     A rerun replaces them, so no line is delivered twice.
     """
-    day = as_date(as_of)
-    rows = lines.select(
-        "value", F.lit(day).alias("as_of_date"), F.lit(name).alias(key)
+    return replace_partition(
+        lines.select("value"), root, {"as_of_date": as_date(as_of), key: name}, "text"
     )
-    return replace_partitions(rows, root, ["as_of_date", key], [(day, name)], "text")

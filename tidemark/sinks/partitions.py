@@ -1,9 +1,17 @@
-"""Replace partitions of a path table, and nothing else."""
+"""Replace partitions of a path table, and nothing else.
+
+In both forms one job writes and counts. The old files go when the new ones are
+committed, so a query that fails leaves them, and it may read the table it replaces.
+Partitions that received no row are emptied afterwards; all others keep what they hold.
+
+Counting happens in the tasks that write the files: a task repeated after the loss of an
+executor is then counted once, like its file.
+"""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_, or_
 
@@ -11,49 +19,74 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
+def replace_partition(
+    df: DataFrame,
+    root: str,
+    partition: Mapping[str, object],
+    file_format: str = "parquet",
+    max_rows_per_file: int = 0,
+) -> int:
+    """Make ``df`` the content of one partition and return its number of rows.
+
+    The partition's values take the place of columns of that name. Rows are written as
+    they come, without shuffle or sort.
+    """
+    rows = df.drop(*partition)
+    written = Observation()
+    # The values follow the observation, so that the writer sees them as constants.
+    labelled = rows.observe(written, F.count(F.lit(1)).alias("rows")).withColumns(
+        {key: F.lit(value) for key, value in partition.items()}
+    )
+    _write(labelled, root, list(partition), file_format, max_rows_per_file)
+    count = written.get["rows"]
+    if count == 0:
+        _empty(rows, partition_path(root, list(partition), list(partition.values())), file_format)
+    return count
+
+
 def replace_partitions(
     df: DataFrame,
     root: str,
     keys: Sequence[str],
     partitions: Sequence[tuple],
-    file_format: str = "parquet",
     max_rows_per_file: int = 0,
 ) -> int:
     """Make ``df`` the content of the listed partitions and return its number of rows.
 
-    One job writes and counts. The old files go when the new ones are committed, so a
-    query that fails leaves them, and ``df`` may read the table it replaces. Listed
-    partitions that received no row are emptied afterwards; all others keep what they
-    hold. A row outside the listed partitions fails the job before anything is replaced.
+    A row outside the listed partitions fails the job before anything is replaced.
     """
     outside = F.raise_error(F.lit("a row lies outside the partitions to replace"))
     first, *_ = keys
     rows = df.withColumn(first, F.when(_listed(keys, partitions), F.col(first)).otherwise(outside))
-    metrics = [F.count(F.lit(1)).alias("rows")]
-    if len(partitions) > 1:
-        metrics.append(F.collect_set(F.struct(*keys)).alias("filled"))
-    # Observing is the last step before the files, in the same tasks: a task repeated
-    # after the loss of an executor is then counted once, like its file.
     written = Observation()
+    observed = rows.observe(
+        written,
+        F.count(F.lit(1)).alias("rows"),
+        F.collect_set(F.struct(*keys)).alias("filled"),  # at most the listed partitions
+    )
+    _write(observed, root, keys, "parquet", max_rows_per_file)
+    filled = {tuple(row) for row in written.get["filled"]}
+    for values in partitions:
+        if tuple(values) not in filled:
+            _empty(df.drop(*keys), partition_path(root, keys, values), "parquet")
+    return written.get["rows"]
+
+
+def _write(
+    df: DataFrame, root: str, keys: Sequence[str], file_format: str, max_rows_per_file: int
+) -> None:
     (
-        rows.observe(written, *metrics)
-        .write.mode("overwrite").format(file_format)
+        df.write.mode("overwrite").format(file_format)
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_rows_per_file)
         .partitionBy(*keys)
         .save(root)
     )
-    count = written.get["rows"]
-    if len(partitions) > 1:
-        filled = {tuple(row) for row in written.get["filled"]}
-    else:
-        filled = set(partitions) if count else set()
-    nothing = df.sparkSession.createDataFrame([], df.drop(*keys).schema)
-    for values in partitions:
-        if tuple(values) not in filled:
-            path = partition_path(root, keys, values)
-            nothing.write.mode("overwrite").format(file_format).save(path)
-    return count
+
+
+def _empty(like: DataFrame, path: str, file_format: str) -> None:
+    nothing = like.sparkSession.createDataFrame([], like.schema)
+    nothing.write.mode("overwrite").format(file_format).save(path)
 
 
 def _listed(keys: Sequence[str], partitions: Sequence[tuple]) -> Column:

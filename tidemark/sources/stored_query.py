@@ -17,7 +17,7 @@ def run_stored_query(
     The text may name them ``:as_of_date`` or, as older files do, ``${as_of_date}``.
     """
     path = f"{directory}/{target_table.lower()}.hql"
-    text = spark.read.option("wholetext", True).text(path).first()[0].strip().rstrip(";")
+    text = spark.read.text(path, wholetext=True).first()[0].strip().rstrip(";")
     variables = run_variables(as_of)
     for name in variables:
         text = text.replace("${" + name + "}", f":{name}")

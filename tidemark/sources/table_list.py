@@ -15,7 +15,7 @@ from tidemark import schemas
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Each file as one document."""
-    return spark.read.option("wholetext", True).text(path)
+    return spark.read.text(path, wholetext=True)
 
 
 def read_document_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -6,15 +6,15 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tidemark.functions import as_date, run_variables
 from tidemark.operators import (
-    classify_log, error_code, error_lines, metrics_export, previous_snapshot,
+    classify_log, error_code, error_lines, metrics_export, null_check, previous_snapshot,
     previous_snapshot_date, previous_snapshots, stored_counts, transform_counts,
 )
 from tidemark.operators.metrics_export import EXPORT_COLUMNS
 from tidemark.plans import export_errors, ingest_domain, report_batch, write_transform_counts
 from tidemark.schemas import INGESTION_MAPPING, METRIC_MAPPING, SQL_ERRORS, TRANSFORM_COUNTS
-from tidemark.sinks import shared_path, through_table, write_lines
+from tidemark.sinks import shared_path, write_lines
 from tidemark.sources import (
-    read_ingestion_mapping, read_metric_mapping, require_rows, run_stored_query,
+    QualityRule, mapped_tables, read_ingestion_mapping, read_metric_mapping, run_stored_query,
 )
 
 D1, D2, D3 = (dt.date(2023, 1, day) for day in (8, 9, 10))
@@ -38,7 +38,7 @@ def test_ingestion_mapping(spark, ingestion_file):
     assert rows(read_ingestion_mapping(spark, ingestion_file, "account", "TBALANCES")) == [account]
     assert rows(read_ingestion_mapping(spark, ingestion_file, "account", "ttransactions")) == []
     with pytest.raises(ValueError, match="other"):
-        require_rows(read_ingestion_mapping(spark, ingestion_file, "other"), "other")
+        mapped_tables(read_ingestion_mapping(spark, ingestion_file, "other"), "other")
 
 
 def test_metric_mapping_matches_exact_source(spark, tmp_path):
@@ -94,6 +94,32 @@ def test_ingest_and_rerun(spark, root, ingestion_file):
     assert rows(data.groupBy("as_of_date", "t").count()) == [(D3, "tBalances", 7)]
 
 
+@pytest.mark.parametrize("key_type", ["DATE", "STRING"])
+def test_ingest_into_a_catalog_table(spark, root, ingestion_file, key_type):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS lake LOCATION '{root}/catalog'")
+    spark.sql(
+        f"CREATE TABLE lake.tBalances (id BIGINT, as_of_date {key_type}) USING parquet "
+        f"PARTITIONED BY (as_of_date) LOCATION '{root}/lake/Accounts/tBalances'"
+    )
+    mapping = read_ingestion_mapping(spark, ingestion_file, "account")
+    for day, size in ((D1, 7), (D3, 3), (D3, 5)):
+        counts = ingest_domain(
+            spark, mapping, lambda target: spark.range(size), root, "account", day, RUN_TS,
+            register=True,
+        )
+        assert rows(counts, "src_count", "dest_count") == [(size, size)]
+    table = spark.table("lake.tBalances")
+    assert rows(stored_counts(table, "t")) == [("t", D1, 7), ("t", D3, 5)]
+    assert previous_snapshot_date(table, D3) == D1
+    checked = null_check(
+        table, [QualityRule("t", ("id",))], table="t", source_type="lake", run_ts=RUN_TS, as_of=D3)
+    assert rows(checked, "as_of_date", "null_count") == [(D3, 0)]
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(as_of_date" in plan and "cast(as_of_date" not in plan
+    spark.sql("DROP TABLE lake.tBalances")
+    spark.sql("DROP DATABASE lake")
+
+
 def history(spark, *days):
     data = [(1, day) for day in days for _ in range(2)]
     return spark.createDataFrame(data, "id int, as_of_date date")
@@ -216,4 +242,3 @@ def test_shared_path_is_under_the_folder_the_session_names(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert shared_path(spark, "x").startswith(f"{base}/x-")
     assert shared_path(spark, "x") != shared_path(spark, "x")
-    assert through_table(spark.range(3), "y").count() == 3

@@ -135,3 +135,17 @@ def test_writing_a_snapshot_neither_sorts_nor_shuffles(spark, root):
     replace_snapshot(df, root, D1)
     plan = last_plan(spark)
     assert "WriteFiles" in plan and "Sort" not in plan and "Exchange" not in plan
+
+
+def test_a_date_holding_most_rows_is_split(spark, root, tmp_path):
+    df = spark.range(400_000, numPartitions=8).select(
+        "id", F.sha2(F.col("id").cast("string"), 256).alias("name"),
+        F.when(F.col("id") % 20 == 0, F.lit(D1)).otherwise(F.lit(D2)).alias("as_of_date"),
+    )
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(advisory, "4MB")
+    try:
+        assert replace_snapshots(df, root, [D1, D2]) == 400_000
+    finally:
+        spark.conf.unset(advisory)
+    assert len(list((tmp_path / "lake" / "as_of_date=2024-01-15").glob("*.parquet"))) > 1

@@ -1,12 +1,12 @@
 from tidemark.functions.blanks import any_blank, is_blank, normalise_space
 from tidemark.functions.scopes import Scope, duplicate_scope, null_scope
 from tidemark.functions.times import (
-    as_date, before_cut_off, following_day, local_time_of_day, next_ingest_at, previous_day,
+    as_date, before_cut_off, day_in, following_day, local_time_of_day, next_ingest_at, previous_day,
     run_variables, status_time, stored_as_of,
 )
 
 __all__ = [
-    "Scope", "any_blank", "as_date", "before_cut_off", "duplicate_scope", "following_day",
+    "Scope", "any_blank", "as_date", "before_cut_off", "day_in", "duplicate_scope", "following_day",
     "is_blank", "local_time_of_day", "next_ingest_at", "normalise_space", "null_scope",
     "previous_day", "run_variables", "status_time", "stored_as_of",
 ]

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Freshness deadline, its zone, the stamp format, the mark for "no time".
+# Freshness deadline, its zone, the text that stands for "no time".
 CUT_OFF = "11:59:00"
 CUT_OFF_ZONE = "EST5EDT"
-STAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 NOT_AVAILABLE = "NA"
 
 
@@ -23,6 +22,15 @@ def as_date(value: dt.date | str) -> dt.date:
     return dt.date.fromisoformat(value)
 
 
+def day_in(df: DataFrame, value: dt.date | str) -> Column:
+    """A date literal of the type ``as_of_date`` has in ``df``.
+
+    Comparing like with like lets the filter reach the partitions, also where the
+    partition key is text.
+    """
+    return F.lit(as_date(value)).cast(df.schema["as_of_date"].dataType)
+
+
 def timestamp(value: dt.datetime | str) -> Column:
     """A wall-clock moment as a timestamp literal in the session zone."""
     text = value if isinstance(value, str) else value.isoformat(sep=" ")
@@ -38,11 +46,11 @@ def wall_clock(value: Column | dt.datetime | str) -> Column:
 
 
 def status_time(column: Column) -> Column:
-    """Parse a status time; the mark for "no time" and malformed text become NULL.
+    """Parse a status time; "no time" and malformed text become NULL.
 
     The date is the one written in the text, whatever the session zone.
     """
-    return column.try_cast("timestamp_ntz")
+    return F.nullif(column.cast("string"), F.lit(NOT_AVAILABLE)).try_cast("timestamp_ntz")
 
 
 def stored_as_of(column: Column) -> Column:

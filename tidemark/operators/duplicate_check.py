@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scopes import duplicate_scope
-from tidemark.functions.times import as_date
+from tidemark.functions.times import day_in
 from tidemark.operators.error_rows import error_rows, unfold
 from tidemark.sources.mappings import QualityRule
 
@@ -42,7 +42,7 @@ def duplicate_check(
     if not by_key:
         raise ValueError("no rule names a key that must be unique")
     if as_of is not None:
-        df = df.where(F.col("as_of_date") == F.lit(as_date(as_of)))
+        df = df.where(F.col("as_of_date") == day_in(df, as_of))
     found = [_offending_keys(df, keys, group, type_column) for keys, group in by_key.items()]
     findings = reduce(DataFrame.unionByName, found)
     return error_rows(findings, table, source_type, run_ts)
@@ -69,8 +69,4 @@ def _offending_keys(
         (kind, F.col(f"_n{scopes.index(duplicate_scope(rule.overrides))}"), detail)
         for rule in rules
     ]
-    return (
-        counted.where(repeated)
-        .select("as_of_date", unfold(results))
-        .where(F.col("null_count") > 1)
-    )
+    return unfold(counted.where(repeated), results).where(F.col("null_count") > 1)

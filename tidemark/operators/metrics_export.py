@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import STAMP_FORMAT
-
 # Report columns in order, and the text for "no earlier snapshot".
 EXPORT_COLUMNS = (
     "as_of_date", "src_db", "src_tbl", "src_count", "src_add", "src_edit", "src_delete",
@@ -29,7 +27,7 @@ def metrics_export(counts: DataFrame, previous: DataFrame, mapping: DataFrame) -
         counts.join(wanted, "dest_tbl", "left_semi")
         .join(previous, ["dest_tbl", "as_of_date"], "left")
         .withColumns({
-            "lst_updt_ts": F.date_format("lst_updt_ts", STAMP_FORMAT),
+            "lst_updt_ts": F.col("lst_updt_ts").cast("string"),
             "yest_count": F.lit(0),
             "today_total": F.col("dest_count"),
             "today_count": F.col("dest_count"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.blanks import any_blank
 from tidemark.functions.scopes import null_scope
-from tidemark.functions.times import as_date
+from tidemark.functions.times import day_in
 from tidemark.operators.error_rows import error_rows, unfold
 from tidemark.sources.mappings import QualityRule
 
@@ -48,7 +48,7 @@ def null_check(
     if as_of is None:
         counted = df.groupBy("as_of_date").agg(*counters)
     else:
-        day = F.lit(as_date(as_of))
+        day = day_in(df, as_of)
         rows = df.where(F.col("as_of_date") == day)
         if None not in scopes:
             # Rows outside every scope count nowhere; say so where the scan can use it.
@@ -58,5 +58,4 @@ def null_check(
         (F.lit(NULL_VALUES), F.col(f"_n{i}"), F.lit(",".join(rule.null_fields)))
         for i, rule in enumerate(rules)
     ]
-    findings = counted.select("as_of_date", unfold(results))
-    return error_rows(findings, table, source_type, run_ts)
+    return error_rows(unfold(counted, results), table, source_type, run_ts)

@@ -8,16 +8,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import as_date
+from tidemark.functions.times import as_date, day_in
 
 
 def previous_snapshot(df: DataFrame, as_of: dt.date | str) -> DataFrame:
     """One row (as_of_date, yest_ingest_dt): the latest earlier date with rows, or NULL."""
-    day = F.lit(as_date(as_of))
     return (
-        df.where(F.col("as_of_date") < day)
-        .agg(F.max("as_of_date").alias("yest_ingest_dt"))
-        .select(day.alias("as_of_date"), "yest_ingest_dt")
+        df.where(F.col("as_of_date") < day_in(df, as_of))
+        .agg(F.max("as_of_date").cast("date").alias("yest_ingest_dt"))
+        .select(F.lit(as_date(as_of)).alias("as_of_date"), "yest_ingest_dt")
     )
 
 
@@ -32,7 +31,7 @@ def previous_snapshot_date(
     day = as_date(as_of)
     starts = [day - dt.timedelta(days=days) for days in look_back]
     for start in [*starts, None]:
-        recent = df if start is None else df.where(F.col("as_of_date") >= F.lit(start))
+        recent = df if start is None else df.where(F.col("as_of_date") >= day_in(df, start))
         found = previous_snapshot(recent, day).first()["yest_ingest_dt"]
         if found is not None:
             return found

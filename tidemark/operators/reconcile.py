@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions.times import as_date, timestamp
+from tidemark.functions.times import day_in, timestamp
 
 # Fixed value: the message written when nothing went wrong.
 NO_ERROR = " "
@@ -26,9 +26,11 @@ def stored_counts(
     if as_of is None:
         counted = df.groupBy("as_of_date").agg(size)
     else:
-        day = F.lit(as_date(as_of))
+        day = day_in(df, as_of)
         counted = df.where(F.col("as_of_date") == day).agg(size).withColumn("as_of_date", day)
-    return counted.select(F.lit(table).alias("dest_tbl"), "as_of_date", "dest_count")
+    return counted.select(
+        F.lit(table).alias("dest_tbl"), F.col("as_of_date").cast("date"), "dest_count"
+    )
 
 
 def transform_counts(

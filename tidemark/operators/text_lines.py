@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import STAMP_FORMAT, as_date
+from tidemark.functions.times import as_date
 
 # Texts looked for in a log line, exact in case, and the level each stands for.
 LOG_LEVELS = {
@@ -55,12 +55,9 @@ def error_lines(errors: DataFrame, code: str) -> DataFrame:
 
     Returns (as_of_date, value). Tabs inside a value turn into bars as well.
     """
-    def text(name: str):
-        column = F.col(name)
-        shown = F.date_format(column, STAMP_FORMAT) if name == "lst_updt_ts" else column.cast("string")
-        return F.coalesce(shown, F.lit(MISSING))
-
-    first, *rest = [text(name) for name in ERROR_COLUMNS]
+    first, *rest = [
+        F.coalesce(F.col(name).cast("string"), F.lit(MISSING)) for name in ERROR_COLUMNS
+    ]
     line = F.concat_ws("|", first, F.lit("INFO"), F.lit(code), *rest)
     return errors.select("as_of_date", F.translate(line, "\t", "|").alias("value"))
 

@@ -2,11 +2,11 @@ from tidemark.plans.ingestion import (
     ingest_domain, replace_snapshot, replace_snapshots, write_transform_counts,
 )
 from tidemark.plans.metrics import report_batch
-from tidemark.plans.quality import export_errors, run_quality, write_errors
+from tidemark.plans.quality import check_quality, export_errors, run_quality, write_errors
 from tidemark.plans.readiness import check_domain, publish_status, write_list
 
 __all__ = [
-    "check_domain", "export_errors", "ingest_domain", "publish_status", "replace_snapshot",
+    "check_domain", "check_quality", "export_errors", "ingest_domain", "publish_status", "replace_snapshot",
     "replace_snapshots", "report_batch", "run_quality", "write_errors", "write_list",
     "write_transform_counts",
 ]

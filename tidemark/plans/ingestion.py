@@ -13,8 +13,8 @@ from tidemark.functions.times import as_date
 from tidemark.operators.reconcile import stored_counts, transform_counts
 from tidemark.sinks.partitions import replace_partition, replace_partitions
 from tidemark.sources import layout
-from tidemark.sources.mappings import require_rows
-from tidemark.sources.snapshots import read_snapshot
+from tidemark.sources.mappings import mapped_tables
+from tidemark.sources.snapshots import read_snapshot, register_partition
 
 
 def replace_snapshot(
@@ -66,14 +66,16 @@ def ingest_domain(
     as_of: dt.date | str,
     run_ts: dt.datetime | str,
     files: int | None = None,
+    register: bool = False,
 ) -> DataFrame:
     """Ingest every mapped table for a date and record the counts.
 
-    ``query`` gives the rows of a target table. The mapping is a short list of tables;
-    each is one write job. Returns the metric rows.
+    ``query`` gives the rows of a target table; each table is one write job. With
+    ``register`` the targets are catalog tables over their paths: the date is added to
+    them and counted through them. Returns the metric rows.
     """
     day = as_date(as_of)
-    tables = require_rows(mapping, domain).collect()
+    tables = mapped_tables(mapping, domain)
     produced, stored = [], []
     for row in tables:
         target = layout.snapshot_root(
@@ -81,8 +83,14 @@ def ingest_domain(
         )
         df = query(row.target_table)
         produced.append((row.target_table, day, replace_snapshot(df, target, day, files)))
-        schema = df.drop("as_of_date").schema.add("as_of_date", "date")
-        stored.append(stored_counts(read_snapshot(spark, target, day, schema), row.target_table, day))
+        if register:
+            name = f"{row.target_database}.{row.target_table}"
+            register_partition(spark, name, day)
+            readable = spark.table(name)
+        else:
+            schema = df.drop("as_of_date").schema.add("as_of_date", "date")
+            readable = read_snapshot(spark, target, day, schema)
+        stored.append(stored_counts(readable, row.target_table, day))
     counts = transform_counts(
         spark.createDataFrame(produced, "dest_tbl string, as_of_date date, src_count long"),
         reduce(DataFrame.unionByName, stored),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -14,7 +14,8 @@ from tidemark.operators.null_check import null_check
 from tidemark.operators.text_lines import error_code, error_lines
 from tidemark.sinks.exports import write_lines
 from tidemark.sinks.partitions import replace_partitions
-from tidemark.sources.mappings import QualityRule, rules_for
+from tidemark.sources import layout
+from tidemark.sources.mappings import QualityRule, quality_rules, rules_for
 
 
 def run_quality(
@@ -56,6 +57,27 @@ def write_errors(
     )
 
 
+def check_quality(
+    mapping: DataFrame,
+    table: Callable[[str], DataFrame],
+    root: str,
+    database: str,
+    as_of: dt.date | str,
+    run_ts: dt.datetime | str,
+) -> int:
+    """Run a domain's mapped rules for a date and replace its stored errors.
+
+    ``table`` gives the rows of a table. Returns the number of error rows, 0 where no
+    rule is mapped.
+    """
+    rules = quality_rules(mapping)
+    tables = {name: table(name) for name in dict.fromkeys(rule.table for rule in rules)}
+    if not any(rule.null_fields or rule.duplicate_keys for rule in rules):
+        return 0
+    errors = run_quality(tables, rules, source_type=database, run_ts=run_ts, as_of=as_of)
+    return write_errors(errors, layout.sql_errors_root(root, database), as_of, list(tables))
+
+
 def export_errors(
     errors: DataFrame,
     root: str,

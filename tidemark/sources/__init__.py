@@ -1,7 +1,7 @@
 from tidemark.sources.logs import read_log
 from tidemark.sources.mappings import (
-    QualityRule, quality_rules, read_ingestion_mapping, read_metric_mapping, read_rule_mapping,
-    require_rows,
+    QualityRule, mapped_tables, quality_rules, read_ingestion_mapping, read_metric_mapping,
+    read_rule_mapping,
 )
 from tidemark.sources.snapshots import read_history, read_snapshot, register_partition
 from tidemark.sources.status import read_status, status_records
@@ -11,8 +11,9 @@ from tidemark.sources.table_list import (
 )
 
 __all__ = [
-    "QualityRule", "expand_tables", "poll_defaults", "quality_rules", "read_document_lines",
+    "QualityRule", "expand_tables", "mapped_tables", "poll_defaults", "quality_rules",
+    "read_document_lines",
     "read_documents", "read_history", "read_ingestion_mapping", "read_log",
     "read_metric_mapping", "read_rule_mapping", "read_snapshot", "read_status",
-    "register_partition", "require_rows", "run_stored_query", "status_records",
+    "register_partition", "run_stored_query", "status_records",
 ]

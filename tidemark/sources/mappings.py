@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,11 +57,15 @@ def read_metric_mapping(
     return rows
 
 
-def require_rows(mapping: DataFrame, domain: str) -> DataFrame:
-    """The mapping itself, or an error when the domain or table is unknown."""
-    if mapping.isEmpty():
+def mapped_tables(mapping: DataFrame, domain: str) -> list[Row]:
+    """The mapping's rows, or an error when the domain or table is unknown.
+
+    A mapping is a short hand-written list; no data rows pass through here.
+    """
+    tables = mapping.collect()
+    if not tables:
         raise ValueError(f"no table is mapped for domain {domain!r}")
-    return mapping
+    return tables
 
 
 @dataclass(frozen=True)

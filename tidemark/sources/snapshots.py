@@ -6,10 +6,9 @@ import datetime as dt
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.times import as_date
+from tidemark.functions.times import as_date, day_in
 
 
 def read_snapshot(
@@ -29,15 +28,20 @@ def read_snapshot(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
-    return rows.where(F.col("as_of_date") == F.lit(day))
+    return rows.where(rows.as_of_date == day_in(rows, day))
 
 
 def read_history(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """Every snapshot; filter on ``as_of_date`` to prune directories."""
+    """Every snapshot; filter on ``as_of_date`` to prune directories.
+
+    All directories are listed. Where the table is in a catalog, prefer
+    ``spark.table``, which lists only what a filter leaves.
+    """
     return spark.read.schema(schema).parquet(root)
 
 
 def register_partition(spark: SparkSession, table: str, as_of: dt.date | str) -> None:
     """Make a written date visible in a catalog table; harmless when it already is."""
     day = as_date(as_of)
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (as_of_date = DATE '{day}')")
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (as_of_date = '{day}')")
+    spark.catalog.refreshTable(table)

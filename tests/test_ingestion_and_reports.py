@@ -162,9 +162,9 @@ def test_stored_counts_of_every_date(spark):
 
 def test_counts_replace_only_their_partition(spark, root):
     keys = [("a", D1), ("b", D1)]
-    write_transform_counts(counts_of(spark, *keys), root, [(D1, "a"), (D1, "b")])
-    write_transform_counts(counts_of(spark, ("a", D1)), root, [(D1, "a")])
-    write_transform_counts(counts_of(spark, ("a", D2)), root, [(D2, "a")])
+    write_transform_counts(counts_of(spark, *keys), root, [D1], ["a", "b"])
+    write_transform_counts(counts_of(spark, ("a", D1)), root, [D1], ["a"])
+    write_transform_counts(counts_of(spark, ("a", D2)), root, [D2], ["a"])
     stored = spark.read.schema(TRANSFORM_COUNTS).parquet(root)
     assert rows(stored, "as_of_date", "dest_tbl") == [(D1, "a"), (D1, "b"), (D2, "a")]
 
@@ -210,9 +210,9 @@ def test_error_lines(spark):
 
 def test_error_export_is_not_repeated(spark, root):
     for details in (("a", "b"), ("c",), ("c",)):
-        export_errors(errors(spark, *details), root, D3, "transaction", ["t", "u"])
-    assert export_errors(errors(spark, "x"), root, D2, "transaction", ["t"]) == 0
-    assert export_errors(errors(spark, "x"), root, D3, "account", ["u"]) == 0
+        export_errors(errors(spark, *details), root, [D3], "transaction", ["t", "u"])
+    assert export_errors(errors(spark, "x"), root, [D2], "transaction", ["t"]) == 0
+    assert export_errors(errors(spark, "x"), root, [D3], "account", ["u"]) == 0
     lines = [row.value for row in spark.read.text(root).collect()]
     assert lines == ["2023-01-10|INFO|2000|lake|t|DUP_ERROR:k|2|c|2023-01-11 06:00:00"]
 

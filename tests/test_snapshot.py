@@ -149,3 +149,12 @@ def test_a_date_holding_most_rows_is_split(spark, root, tmp_path):
     finally:
         spark.conf.unset(advisory)
     assert len(list((tmp_path / "lake" / "as_of_date=2024-01-15").glob("*.parquet"))) > 1
+
+
+def test_nothing_written_at_all(spark, root):
+    df = frame(spark, 1).where("id > 1").withColumn("as_of_date", F.lit(D1))
+    assert replace_snapshots(df, root, [D1, D2]) == 0
+    replace_snapshots(frame(spark, 1).withColumn("as_of_date", F.lit(D1)), root, [D1, D2])
+    assert stored(spark, root) == [(1, D1)]
+    assert replace_snapshots(df, root, [D1, D2]) == 0
+    assert stored(spark, root) == []

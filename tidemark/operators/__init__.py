@@ -1,5 +1,7 @@
 from tidemark.operators.duplicate_check import duplicate_check
-from tidemark.operators.freshness import classify_freshness, readiness, status_summary, verdict
+from tidemark.operators.freshness import (
+    FAILED, READY, WAIT, classify_freshness, readiness, status_summary, verdict,
+)
 from tidemark.operators.metrics_export import metrics_export
 from tidemark.operators.null_check import null_check
 from tidemark.operators.previous_snapshot import (
@@ -9,8 +11,8 @@ from tidemark.operators.reconcile import stored_counts, transform_counts
 from tidemark.operators.text_lines import classify_log, error_code, error_lines
 
 __all__ = [
-    "classify_freshness", "classify_log", "duplicate_check", "error_code", "error_lines",
-    "metrics_export", "null_check", "previous_snapshot", "previous_snapshot_date",
-    "previous_snapshots", "readiness", "status_summary", "stored_counts", "transform_counts",
-    "verdict",
+    "FAILED", "READY", "WAIT", "classify_freshness", "classify_log", "duplicate_check",
+    "error_code", "error_lines", "metrics_export", "null_check", "previous_snapshot",
+    "previous_snapshot_date", "previous_snapshots", "readiness", "status_summary",
+    "stored_counts", "transform_counts", "verdict",
 ]

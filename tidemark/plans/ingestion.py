@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,16 +44,17 @@ def replace_snapshots(
     is split over several tasks.
     """
     return replace_partitions(
-        df.hint("rebalance", "as_of_date"), root, ["as_of_date"],
-        [(as_date(day),) for day in days], max_rows_per_file,
+        df.hint("rebalance", "as_of_date"), root, {"as_of_date": [as_date(day) for day in days]},
+        max_rows_per_file=max_rows_per_file,
     )
 
 
-def write_transform_counts(counts: DataFrame, root: str, keys: Iterable[tuple]) -> None:
-    """Replace the metric rows of the given (as_of_date, dest_tbl) pairs."""
-    replace_partitions(
-        counts, root, ["as_of_date", "dest_tbl"],
-        [(as_date(day), table) for day, table in keys],
+def write_transform_counts(
+    counts: DataFrame, root: str, days: Sequence[dt.date | str], tables: Sequence[str]
+) -> int:
+    """Replace the metric rows of the given dates and tables."""
+    return replace_partitions(
+        counts, root, {"as_of_date": [as_date(day) for day in days], "dest_tbl": tables}
     )
 
 
@@ -102,6 +103,6 @@ def ingest_domain(
         write_transform_counts(
             counts.where(F.col("dest_db") == database),
             layout.transform_counts_root(root, database),
-            [(day, table) for table in own],
+            [day], own,
         )
     return counts

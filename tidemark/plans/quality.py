@@ -7,12 +7,12 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.functions.times import as_date
 from tidemark.operators.duplicate_check import duplicate_check
 from tidemark.operators.null_check import null_check
 from tidemark.operators.text_lines import error_code, error_lines
-from tidemark.sinks.exports import write_lines
 from tidemark.sinks.partitions import replace_partitions
 from tidemark.sources import layout
 from tidemark.sources.mappings import QualityRule, quality_rules, rules_for
@@ -44,16 +44,15 @@ def run_quality(
 
 
 def write_errors(
-    errors: DataFrame, root: str, as_of: dt.date | str, tables: Sequence[str]
+    errors: DataFrame, root: str, days: Sequence[dt.date | str], tables: Sequence[str]
 ) -> int:
-    """Replace the error rows of a date for the tables that were checked.
+    """Replace the error rows of the dates and tables that were checked.
 
-    Tables without findings lose their earlier ones; other tables are not touched.
-    Returns the number of rows written.
+    Tables without findings lose their earlier ones; other tables and dates are not
+    touched. Returns the number of rows written.
     """
-    day = as_date(as_of)
     return replace_partitions(
-        errors, root, ["as_of_date", "tbl_nm"], [(day, table) for table in tables]
+        errors, root, {"as_of_date": [as_date(day) for day in days], "tbl_nm": tables}
     )
 
 
@@ -75,18 +74,21 @@ def check_quality(
     if not any(rule.null_fields or rule.duplicate_keys for rule in rules):
         return 0
     errors = run_quality(tables, rules, source_type=database, run_ts=run_ts, as_of=as_of)
-    return write_errors(errors, layout.sql_errors_root(root, database), as_of, list(tables))
+    return write_errors(errors, layout.sql_errors_root(root, database), [as_of], list(tables))
 
 
 def export_errors(
     errors: DataFrame,
     root: str,
-    as_of: dt.date | str,
+    days: Sequence[dt.date | str],
     domain: str,
     tables: Sequence[str],
 ) -> int:
-    """Deliver a date's errors of a domain's tables as text lines; returns their number."""
-    day = as_date(as_of)
-    wanted = errors.where((errors.as_of_date == day) & errors.tbl_nm.isin(*tables))
-    lines = error_lines(wanted, error_code(domain))
-    return write_lines(lines.select("value"), root, day, "domain", domain)
+    """Deliver the errors of a domain's tables as text lines; returns their number.
+
+    Lines delivered before for these dates are replaced.
+    """
+    dates = [as_date(day) for day in days]
+    wanted = errors.where(F.col("as_of_date").isin(*dates) & F.col("tbl_nm").isin(*tables))
+    lines = error_lines(wanted, error_code(domain)).withColumn("domain", F.lit(domain))
+    return replace_partitions(lines, root, {"as_of_date": dates, "domain": [domain]}, "text")

@@ -2,7 +2,7 @@
 
 In both forms one job writes and counts. The old files go when the new ones are
 committed, so a query that fails leaves them, and it may read the table it replaces.
-Partitions that received no row are emptied afterwards; all others keep what they hold.
+Partitions that receive no row are emptied afterwards; all others keep what they hold.
 
 Counting happens in the tasks that write the files: a task repeated after the loss of an
 executor is then counted once, like its file.
@@ -13,8 +13,10 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_, or_
+from math import prod
+from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -47,28 +49,32 @@ def replace_partition(
 def replace_partitions(
     df: DataFrame,
     root: str,
-    keys: Sequence[str],
-    partitions: Sequence[tuple],
+    partitions: Mapping[str, Sequence],
+    file_format: str = "parquet",
     max_rows_per_file: int = 0,
 ) -> int:
-    """Make ``df`` the content of the listed partitions and return its number of rows.
+    """Make ``df`` the content of many partitions and return its number of rows.
 
-    A row outside the listed partitions fails the job before anything is replaced.
+    ``partitions`` lists the values of each key; every combination is replaced. A row
+    outside them fails the job before anything is replaced.
     """
+    keys = list(partitions)
     outside = F.raise_error(F.lit("a row lies outside the partitions to replace"))
-    first, *_ = keys
-    rows = df.withColumn(first, F.when(_listed(keys, partitions), F.col(first)).otherwise(outside))
+    rows = df.withColumn(
+        keys[0], F.when(_listed(partitions), F.col(keys[0])).otherwise(outside)
+    )
     written = Observation()
     observed = rows.observe(
         written,
         F.count(F.lit(1)).alias("rows"),
         F.collect_set(F.struct(*keys)).alias("filled"),  # at most the listed partitions
     )
-    _write(observed, root, keys, "parquet", max_rows_per_file)
+    _write(observed, root, keys, file_format, max_rows_per_file)
     filled = {tuple(row) for row in written.get["filled"]}
-    for values in partitions:
-        if tuple(values) not in filled:
-            _empty(df.drop(*keys), partition_path(root, keys, values), "parquet")
+    if len(filled) < prod(len(values) for values in partitions.values()):
+        held = _holding_rows(df, root, partitions, file_format)
+        for values in held - filled:
+            _empty(df.drop(*keys), partition_path(root, keys, values), file_format)
     return written.get["rows"]
 
 
@@ -84,18 +90,28 @@ def _write(
     )
 
 
+def _holding_rows(
+    like: DataFrame, root: str, partitions: Mapping[str, Sequence], file_format: str
+) -> set[tuple]:
+    """Those of the partitions that hold rows, found from their keys alone."""
+    reader = like.sparkSession.read.schema(like.schema).format(file_format)
+    try:
+        stored = reader.load(root)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return set()
+    held = stored.where(_listed(partitions)).select(*partitions).distinct()
+    return {tuple(row) for row in held.collect()}
+
+
 def _empty(like: DataFrame, path: str, file_format: str) -> None:
     nothing = like.sparkSession.createDataFrame([], like.schema)
     nothing.write.mode("overwrite").format(file_format).save(path)
 
 
-def _listed(keys: Sequence[str], partitions: Sequence[tuple]) -> Column:
-    if len(keys) == 1:
-        return F.col(keys[0]).isin(*[value for (value,) in partitions])
-    return reduce(or_, [
-        reduce(and_, [F.col(key) == F.lit(value) for key, value in zip(keys, values)])
-        for values in partitions
-    ])
+def _listed(partitions: Mapping[str, Sequence]) -> Column:
+    return reduce(and_, [F.col(key).isin(*values) for key, values in partitions.items()])
 
 
 def partition_path(root: str, keys: Sequence[str], values: Sequence) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from workload.tables import BALANCES, DAY, LAST_DAY, RUN_TS, STATUS_EVENTS, SUMMARY, TRANSACTIONS
 
-D = f"DATE '{DAY}'"
+D, LAST = f"DATE '{DAY}'", f"DATE '{LAST_DAY}'"
 VBA, VBA_TA, NOT_VBO = "account_type IN ('VBA')", "account_type IN ('VBA', 'TA')", "account_type NOT IN ('VBO')"
 
 
@@ -178,20 +178,20 @@ ORACLE = {
         DOCUMENTS, duplicates("docs", ("text",)).replace("'docs' AS tbl_nm", "'documents' AS tbl_nm")
     ),
     "quality_run": with_(BOTH, QUALITY),
-    "quality_write": with_(BALANCES, f"SELECT * FROM ({union(
-        nulls('balances', ('dirty',), NOT_VBO),
-        nulls('balances', ('dirty', 'account_type', 'amount'), VBA_TA),
-        nulls('balances', ('amount',), VBA),
-        duplicates('balances', ('account_id',), VBA_TA),
-    )}) WHERE as_of_date = '{DAY}'"),
+    "quality_write": with_(BALANCES, union(
+        nulls("balances", ("dirty",), NOT_VBO),
+        nulls("balances", ("dirty", "account_type", "amount"), VBA_TA),
+        nulls("balances", ("amount",), VBA),
+        duplicates("balances", ("account_id",), VBA_TA),
+    )),
     "ingestion_mapping": """
         SELECT lower(c_name) AS source_table, upper(c_name) AS target_table,
           'folder_' || CAST(c_nationkey AS VARCHAR) AS target_folder,
           'upstream' AS source_database, 'lake' AS target_database,
           c_mktsegment AS domain_name
         FROM customer
-        WHERE c_mktsegment = 'BUILDING'
-          OR (c_mktsegment = 'HOUSEHOLD' AND lower(c_name) = 'customer#000000000')""",
+        JOIN (SELECT 'all' AS pick UNION ALL SELECT 'one')
+          ON pick = 'all' OR (c_mktsegment = 'HOUSEHOLD' AND lower(c_name) = 'customer#000000000')""",
     "rule_mapping": """
         SELECT 'table_' || CAST(p_partkey AS VARCHAR) AS target_table,
           CASE WHEN p_size % 2 = 0 THEN p_brand || '+' || p_name ELSE 'None' END AS null_check,
@@ -200,14 +200,15 @@ ORACLE = {
           p_type AS domain,
           CASE WHEN p_size % 5 = 0 THEN 'ConditionalNulls+ConditionalDupNonLegacy'
                ELSE 'None' END AS dq_overrides
-        FROM part WHERE p_type = 'ECONOMY'""",
+        FROM part""",
     "metric_mapping": """
         SELECT 'src_' || CAST(o_orderkey AS VARCHAR) AS source_table,
           'Tgt_' || CAST(o_custkey AS VARCHAR) AS target_table,
           'upstream' AS source_database, 'lake' AS target_database,
           o_orderstatus AS target_folder, o_orderpriority AS batch_type
         FROM orders
-        WHERE o_orderpriority = '1-URGENT' OR (o_orderpriority = '5-LOW' AND o_orderkey = 0)""",
+        JOIN (SELECT 'all' AS pick UNION ALL SELECT 'one')
+          ON pick = 'all' OR (o_orderpriority = '5-LOW' AND o_orderkey = 0)""",
     "snapshot_replace": with_(BALANCES, f"""
         SELECT CAST(as_of_date AS VARCHAR) AS as_of_date, count(*) AS dest_count,
           CAST(sum(event_id) AS BIGINT) AS sum_ids, count(dirty) AS n_dirty
@@ -218,19 +219,19 @@ ORACLE = {
     "snapshot_scan": with_(BALANCES, f"""
         SELECT event_id, account_id, account_type, dirty,
           CAST(as_of_date AS VARCHAR) AS as_of_date
-        FROM balances WHERE as_of_date = {D}"""),
+        FROM balances"""),
     "stored_query": with_(BALANCES, f"""
         SELECT account_id, account_type, count(*) AS n_rows, count(dirty) AS n_dirty
-        FROM balances WHERE as_of_date = {D} GROUP BY account_id, account_type"""),
+        FROM balances WHERE as_of_date <= {LAST} GROUP BY account_id, account_type"""),
     "ingest_domain": with_(BALANCES, f"""
         SELECT {metric_row("CASE dest_tbl WHEN 'tbalances' THEN 'acct_src' ELSE 'txn_src' END")},
           ' ' AS error_msg
         FROM (
-          SELECT 'tbalances' AS dest_tbl, {D} AS as_of_date, count(*) AS n FROM (
-            SELECT DISTINCT account_id, account_type FROM balances WHERE as_of_date = {D})
+          SELECT 'tbalances' AS dest_tbl, {LAST} AS as_of_date, count(*) AS n FROM (
+            SELECT DISTINCT account_id, account_type FROM balances WHERE as_of_date <= {LAST})
           UNION ALL
-          SELECT 'ttransactions', {D}, count(*) FROM lineitem
-          WHERE l_shipdate < CAST({D} AS TIMESTAMP) + INTERVAL 33 HOURS)"""),
+          SELECT 'ttransactions', {LAST}, count(*) FROM lineitem
+          WHERE l_shipdate < CAST({LAST} AS TIMESTAMP) + INTERVAL 33 HOURS)"""),
     "transform_counts": with_(
         f"{BOTH}, {COUNTS}", f"SELECT {metric_row()}, ' ' AS error_msg FROM counts"
     ),
@@ -255,7 +256,7 @@ ORACLE = {
         SELECT 'P' || CAST(n_nationkey AS VARCHAR) AS app_prefix,
           r_name || '_Ingestion' AS pipeline, n_name AS db, c_name AS "table"
         FROM customer JOIN nation ON c_nationkey = n_nationkey
-        JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA'""",
+        JOIN region ON n_regionkey = r_regionkey""",
     "poll_defaults": """
         SELECT 'poll' AS action, 'status' AS "messageType", r_name AS pipeline FROM region""",
     "status_summary": with_(f"{STATUS_EVENTS}, {SUMMARY}", f"""
@@ -279,22 +280,20 @@ ORACLE = {
         SELECT '{LAST_DAY}' AS as_of_date, domain AS dest_tbl, table_name,
           latest_status AS "latestStatus", {iso("last_success")} AS "lastSuccess",
           {iso("last_no_change")} AS "lastNoChange"
-        FROM judged WHERE is_fresh AND domain IN ('domain_0', 'domain_3')"""),
+        FROM judged WHERE is_fresh"""),
     "ready_list": with_(JUDGED, """
-        SELECT CASE domain WHEN 'domain_4' THEN 'ready' ELSE 'failed' END AS list, domain,
+        SELECT CASE WHEN is_fresh THEN 'ready' ELSE 'failed' END AS list, domain,
           table_name, latest_status AS "latestStatus"
-        FROM judged
-        WHERE (domain IN ('domain_1', 'domain_2') AND NOT is_fresh)
-          OR (domain = 'domain_4' AND is_fresh)"""),
+        FROM judged"""),
     "readiness_watch": with_(JUDGED, """
-        SELECT domain, table_name, latest_status AS "latestStatus"
-        FROM judged WHERE domain = 'domain_1' AND NOT is_fresh"""),
+        SELECT 'all' AS domain, table_name, latest_status AS "latestStatus"
+        FROM judged WHERE NOT is_fresh"""),
     "error_export": with_(BOTH, f"SELECT {error_line('2003')} FROM ({QUALITY})"),
     "error_export_file": with_(BALANCES, f"""
         SELECT {error_line('2003')} FROM ({union(
             nulls("balances", ("dirty",), NOT_VBO),
             duplicates("balances", ("account_id", "account_type"), VBA_TA),
-        )}) WHERE as_of_date = '{DAY}'"""),
+        )})"""),
     "log_classify": f"""
         WITH log AS (
           SELECT CASE event_type WHEN 'error' THEN 'Error' WHEN 'click' THEN 'WARN'

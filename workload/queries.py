@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,17 @@ from workload.tables import (
 DATABASE = "lake"
 RUN = dict(source_type=DATABASE, run_ts=RUN_TS)
 
+# The values that play the part of domains and batches in the given tables.
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+DOMAINS = ("domain_0", "domain_1", "domain_2", "domain_3", "domain_4")
+
+
+def _all(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
 
 def _rule(table_name, nulls=(), keys=(), override="None"):
     return QualityRule(table_name, tuple(nulls), tuple(keys), (override,))
@@ -110,15 +122,13 @@ def quality_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Errors of a day, written twice, then one table found clean: what remains stored."""
+    """Errors of all dates written, then one table found clean: what remains stored."""
     tables = {"balances": balances(spark, sf_dir), "customers": _customers(spark, sf_dir)}
     rules = [*QUALITY_RULES[:4], _rule("customers", keys=["c_nationkey"])]
-    root = shared_path(spark, "errors")
-    errors = run_quality(tables, rules, as_of=DAY, **RUN)
-    for _ in range(2):
-        write_errors(errors, root, DAY, list(tables))
-    clean = run_quality(tables, [_rule("customers", keys=["c_custkey"])], as_of=DAY, **RUN)
-    write_errors(clean, root, DAY, ["customers"])
+    root, days = shared_path(spark, "errors"), _days(tables["balances"])
+    write_errors(run_quality(tables, rules, **RUN), root, days, list(tables))
+    clean = run_quality(tables, [_rule("customers", keys=["c_custkey"])], **RUN)
+    write_errors(clean, root, [DAY], ["customers"])
     return plain(spark.read.schema(schemas.SQL_ERRORS).parquet(root))
 
 
@@ -147,11 +157,11 @@ def _ingestion_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingestion_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All tables of one domain, and one table of another by its name in another case."""
+    """The tables of every domain, and one table by its name in another case."""
     path = _write_mapping(_ingestion_lines(spark, sf_dir), "ingestion_mapping")
-    domain = read_ingestion_mapping(spark, path, "BUILDING")
+    domains = [read_ingestion_mapping(spark, path, domain) for domain in SEGMENTS]
     one = read_ingestion_mapping(spark, path, "HOUSEHOLD", "customer#000000000")
-    return domain.unionByName(one)
+    return _all([*domains, one])
 
 
 def rule_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,7 +174,8 @@ def rule_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("p_size") % 5 == 0, "ConditionalNulls,ConditionalDupNonLegacy")
         .otherwise("None").alias("dq_overrides"),
     )
-    rules = read_rule_mapping(spark, _write_mapping(lines, "rule_mapping"), "ECONOMY")
+    path = _write_mapping(lines, "rule_mapping")
+    rules = _all([read_rule_mapping(spark, path, domain) for domain in PART_TYPES])
     return rules.select(
         "target_table",
         F.array_join("null_check", "+").alias("null_check"),
@@ -185,10 +196,10 @@ def metric_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("batch_type"),
     )
     path = _write_mapping(lines, "metric_mapping")
-    batch = read_metric_mapping(spark, path, "1-URGENT")
+    batches = [read_metric_mapping(spark, path, batch) for batch in PRIORITIES]
     one = read_metric_mapping(spark, path, "5-LOW", "src_0")
     wrong_case = read_metric_mapping(spark, path, "5-LOW", "SRC_0")
-    return batch.unionByName(one).unionByName(wrong_case)
+    return _all([*batches, one, wrong_case])
 
 
 # --- ingestion --------------------------------------------------------------------------
@@ -223,10 +234,12 @@ def snapshot_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stored snapshot, each read by its date."""
     df = balances(spark, sf_dir)
-    root = shared_path(spark, "scan")
-    replace_snapshots(df, root, _days(df))
-    return plain(read_snapshot(spark, root, DAY, df.schema)).drop("amount")
+    root, days = shared_path(spark, "scan"), _days(df)
+    replace_snapshots(df, root, days)
+    snapshots = [read_snapshot(spark, root, day, df.schema) for day in days]
+    return plain(_all(snapshots)).drop("amount")
 
 
 def _write_query(spark: SparkSession, directory: str, target: str, text: str) -> None:
@@ -239,7 +252,7 @@ def _stored_queries(spark: SparkSession, sf_dir: str) -> str:
     directory = shared_path(spark, "queries")
     _write_query(spark, directory, "tbalances", """
         SELECT account_id, account_type, count(*) AS n_rows, count(dirty) AS n_dirty
-        FROM upstream_balances WHERE as_of_date = CAST(${as_of_date} AS DATE)
+        FROM upstream_balances WHERE as_of_date <= CAST(${as_of_date} AS DATE)
         GROUP BY account_id, account_type;
     """)
     _write_query(spark, directory, "ttransactions", """
@@ -250,7 +263,7 @@ def _stored_queries(spark: SparkSession, sf_dir: str) -> str:
 
 
 def stored_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_stored_query(spark, _stored_queries(spark, sf_dir), "tBalances", DAY)
+    return run_stored_query(spark, _stored_queries(spark, sf_dir), "tBalances", LAST_DAY)
 
 
 def ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,8 +279,8 @@ def ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     for domain in ("account", "transaction"):
         ingest_domain(
             spark, read_ingestion_mapping(spark, path, domain),
-            lambda target: run_stored_query(spark, directory, target, DAY),
-            root, domain, DAY, RUN_TS, files=4,
+            lambda target: run_stored_query(spark, directory, target, LAST_DAY),
+            root, domain, LAST_DAY, RUN_TS, files=4,
         )
     metrics = f"{root}/{DATABASE}/metrics/transform_counts"
     return plain(spark.read.schema(schemas.TRANSFORM_COUNTS).parquet(metrics))
@@ -285,9 +298,7 @@ def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, df in tables.items()
     ]
     stored = [stored_counts(_stored_history(df, name), name) for name, df in tables.items()]
-    return transform_counts(
-        produced[0].unionByName(produced[1]), stored[0].unionByName(stored[1]), mapping, RUN_TS
-    )
+    return transform_counts(_all(produced), _all(stored), mapping, RUN_TS)
 
 
 def transform_counts_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -383,7 +394,8 @@ def _table_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return expand_tables(_table_list(spark, sf_dir), "ASIA")
+    documents = _table_list(spark, sf_dir)
+    return _all([expand_tables(documents, region) for region in REGIONS])
 
 
 def table_list_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -418,10 +430,7 @@ def readiness_at(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     fresh = classify_freshness(_status(spark, sf_dir), LAST_DAY).where("is_fresh")
     verdicts.append(readiness(fresh, moments[0][0]).withColumn("now_utc", F.lit("fresh only")))
-    every = verdicts[0]
-    for more in verdicts[1:]:
-        every = every.unionByName(more)
-    return every
+    return _all(verdicts)
 
 
 def _as_records(df: DataFrame) -> DataFrame:
@@ -457,9 +466,8 @@ def poll_response(spark: SparkSession, sf_dir: str) -> DataFrame:
 def status_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_path(spark, "table_status")
     stored = _stored_status(spark, sf_dir)
-    for domain in ("domain_0", "domain_3"):
-        for _ in range(2):
-            publish_status(stored, root, domain, LAST_DAY)
+    for domain in [*DOMAINS, DOMAINS[0]]:
+        publish_status(stored, root, domain, LAST_DAY)
     return plain(spark.read.parquet(root)).select(
         "as_of_date", "dest_tbl", F.col("table").alias("table_name"), "latestStatus",
         "lastSuccess", "lastNoChange",
@@ -467,13 +475,13 @@ def status_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ready_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lists after a check before the cut-off and one after it."""
+    """Lists of every domain: checked too late, and in time when nothing is stale."""
     root = shared_path(spark, "lists")
     stored = _stored_status(spark, sf_dir)
-    check_domain(stored, root, "domain_1", LAST_DAY, "2024-01-30 14:00:00")
-    check_domain(stored, root, "domain_2", LAST_DAY, "2024-01-30 20:00:00")
     fresh = classify_freshness(stored, LAST_DAY).where("is_fresh").drop("is_fresh")
-    check_domain(fresh, root, "domain_4", LAST_DAY, "2024-01-30 14:00:00")
+    for domain in DOMAINS:
+        check_domain(stored, root, domain, LAST_DAY, "2024-01-30 20:00:00")
+        check_domain(fresh, root, domain, LAST_DAY, "2024-01-30 14:00:00")
     lists = [
         spark.read.schema(schemas.STATUS).json(f"{root}/{name}").select(
             F.lit(name).alias("list"), "domain", F.col("table").alias("table_name"), "latestStatus"
@@ -484,13 +492,13 @@ def ready_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def readiness_watch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Status events arriving in several files; the list after the last one."""
+    """Status events of all tables arriving in several files; the list after the last one."""
     source, root = shared_path(spark, "status_events"), shared_path(spark, "watched")
-    events = status_events(table(spark, sf_dir, "events"))
+    events = status_events(table(spark, sf_dir, "events")).withColumn("domain", F.lit("all"))
     events.repartitionByRange(4, "ts").write.parquet(source)
     arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
     watch_domain(
-        arriving, root, "domain_1", LAST_DAY, lambda: "2024-01-30 14:00:00",
+        arriving, root, "all", LAST_DAY, lambda: "2024-01-30 14:00:00",
         shared_path(spark, "watch_checkpoint"), every=None,
     ).awaitTermination()
     listed = spark.read.schema(schemas.STATUS).json(f"{root}/failed")
@@ -507,7 +515,7 @@ def error_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def error_export_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The delivered lines of a day, delivered twice, from stored errors and a rule file."""
+    """The lines delivered for all dates, from a rule file and stored errors."""
     lines = spark.createDataFrame(
         [("balances", "dirty", "None", "account", "ConditionalNullsNonVBO"),
          ("balances", "None", "account_id,account_type", "account", "ConditionalDupNonLegacy")],
@@ -516,11 +524,11 @@ def error_export_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _write_mapping(lines, "rules")
     rules = quality_rules(read_rule_mapping(spark, path, "account"))
     stored, root = shared_path(spark, "errors"), shared_path(spark, "error_lines")
-    errors = run_quality({"balances": balances(spark, sf_dir)}, rules, as_of=DAY, **RUN)
-    write_errors(errors, stored, DAY, ["balances"])
+    df = balances(spark, sf_dir)
+    days = _days(df)
+    write_errors(run_quality({"balances": df}, rules, **RUN), stored, days, ["balances"])
     back = spark.read.schema(schemas.SQL_ERRORS).parquet(stored)
-    for _ in range(2):
-        export_errors(back, root, DAY, "account", ["balances"])
+    export_errors(back, root, days, "account", ["balances"])
     return spark.read.text(root).select("value")
 
 

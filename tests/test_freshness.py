@@ -192,3 +192,23 @@ def test_watch_ends_where_the_batch_check_does(spark, root, tmp_path):
         status_summary(events), f"{root}/b", "domain_1", "2024-01-30", "2024-01-30 14:00:00")
     assert len(seen) == 4 and seen[-1] == batch
     assert listed(spark, f"{root}/a", "failed") == listed(spark, f"{root}/b", "failed")
+
+
+def test_watch_goes_on_where_it_stopped(spark, root, tmp_path):
+    at = lambda day, hour: dt.datetime(2021, 3, day, hour)
+    fields = "domain string, table string, status string, ts timestamp_ntz"
+    source, seen = str(tmp_path / "events"), []
+    batches = [
+        [("d", "a", "SUCCESS", at(5, 1)), ("d", "b", "SUCCESS", at(4, 1)), ("x", "c", "FAILURE", at(4, 1))],
+        [("d", "b", "NO_CHANGE", at(5, 2))],
+        [("d", "new", "FAILURE", at(5, 3))],
+    ]
+    for arrived in batches:
+        spark.createDataFrame(arrived, fields).coalesce(1).write.mode("append").parquet(source)
+        events = spark.readStream.schema(fields).parquet(source)
+        watch_domain(
+            events, root, "d", "2021-03-05", lambda: "2021-03-05 14:00:00",
+            str(tmp_path / "checkpoint"), every=None, on_verdict=seen.append,
+        ).awaitTermination()
+    assert seen == ["WAIT", "READY", "WAIT"]
+    assert listed(spark, root, "ready") == ["a", "b"] and listed(spark, root, "failed") == ["new"]

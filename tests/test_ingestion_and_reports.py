@@ -1,4 +1,5 @@
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -238,7 +239,17 @@ def test_log_lines(spark, root):
     assert rows(own) == [("2023-01-10|INFO|99|account|account_x|P|plain",)]
 
 
-def test_shared_path_is_under_the_folder_the_session_names(spark):
-    base = spark.conf.get("spark.checkpoint.dir")
-    assert shared_path(spark, "x").startswith(f"{base}/x-")
-    assert shared_path(spark, "x") != shared_path(spark, "x")
+def session_like(folder, master):
+    conf = SimpleNamespace(get=lambda key, default: folder if key == "spark.checkpoint.dir" else default)
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+
+def test_shared_path(spark):
+    cluster = session_like("hdfs:///shared/", "yarn")
+    assert shared_path(cluster, "x").startswith("hdfs:///shared/x-")
+    assert shared_path(cluster, "x") != shared_path(cluster, "x")
+    assert "/x-" in shared_path(session_like(None, "local[2]"), "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_path(session_like(None, "yarn"), "x")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert named is None or shared_path(spark, "x").startswith(named)

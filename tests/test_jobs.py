@@ -58,6 +58,9 @@ def test_ingest_check_and_report(spark, lake):
         "2023-01-10|up|src|3|0|0|0|jobs_lake|tbalances|3|3|0|0|0|0|0|2023-01-11 06:00:00|0|3"
         "|2023-01-09|3",
     )]
+    assert run("metrics", lake, DAYS[1], "--mapping", f"{lake}/metrics", "--database", "jobs_lake",
+               "--batch", "other", "--out", f"{lake}/report") == 0
+    assert not (lake / "report" / "as_of_date=2023-01-10" / "other").exists()
     with pytest.raises(ValueError, match="other"):
         run("ingest", lake, DAYS[0], "--mapping", f"{lake}/ingestion", "--queries", str(lake),
             "--domain", "other")

@@ -20,7 +20,7 @@ from tidemark.plans import (
 from tidemark.schemas import SQL_ERRORS, TRANSFORM_COUNTS
 from tidemark.sinks import write_lines
 from tidemark.sources import (
-    layout, mapped_tables, quality_rules, read_ingestion_mapping, read_log, read_metric_mapping,
+    layout, quality_rules, read_ingestion_mapping, read_log, read_metric_mapping,
     read_rule_mapping, read_status, run_stored_query,
 )
 
@@ -53,8 +53,10 @@ def metrics(spark: SparkSession, args: argparse.Namespace) -> int:
     mapping = read_metric_mapping(spark, args.mapping, args.batch, args.table)
     snapshots = {
         row.target_table: spark.table(f"{row.target_database}.{row.target_table}")
-        for row in mapped_tables(mapping, args.batch)
+        for row in mapping.collect()
     }
+    if not snapshots:
+        return 0
     counts = spark.read.schema(TRANSFORM_COUNTS).parquet(
         layout.transform_counts_root(args.root, args.database)
     )

@@ -40,7 +40,7 @@ def null_check(
     if not rules:
         raise ValueError("no rule names a field that must be filled")
     scopes = [null_scope(rule.overrides) for rule in rules]
-    conditions = [any_blank(df, rule.null_fields) for rule in rules]
+    conditions = [any_blank(df, [name.strip() for name in rule.null_fields]) for rule in rules]
     counters = [
         F.count_if(blank if scope is None else scope.condition(type_column) & blank).alias(f"_n{i}")
         for i, (scope, blank) in enumerate(zip(scopes, conditions))

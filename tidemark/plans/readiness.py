@@ -44,16 +44,14 @@ def publish_status(
     root: str,
     domain: str,
     as_of: dt.date | str,
-    files: int | None = 1,
 ) -> int:
     """Publish the fresh tables' records of a date and domain.
 
-    One file by default, as a domain has some dozens of upstream tables; ``files=None``
-    keeps the partitions of a larger list.
+    They end up in one file, or in several where a domain has very many tables.
     """
     rows = classify_freshness(status.where(F.col("domain") == domain), as_of).where("is_fresh")
     # The record has a time of its own under the name of the partition key.
     rows = rows.drop("is_fresh").withColumnRenamed("as_of_date", "status_as_of_date")
-    if files is not None:
-        rows = rows.coalesce(files)
-    return replace_partition(rows, root, {"as_of_date": as_date(as_of), "dest_tbl": domain})
+    return replace_partition(
+        rows.hint("rebalance"), root, {"as_of_date": as_date(as_of), "dest_tbl": domain}
+    )

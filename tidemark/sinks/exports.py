@@ -10,14 +10,9 @@ from tidemark.functions.times import as_date
 from tidemark.sinks.partitions import replace_partition
 
 
-def write_delimited(report: DataFrame, path: str, files: int | None = 1) -> None:
-    """Bar-delimited text without a header.
-
-    One file by default, meant for reports with a row per table; ``files=None`` keeps
-    the partitions of a larger one.
-    """
-    rows = report if files is None else report.coalesce(files)
-    rows.write.mode("overwrite").option("sep", "|").option("header", False).csv(path)
+def write_delimited(report: DataFrame, path: str) -> None:
+    """Bar-delimited text without a header: one file, or several where it grows large."""
+    report.hint("rebalance").write.mode("overwrite").option("sep", "|").option("header", False).csv(path)
 
 
 def write_lines(

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Texts that count as blank, matched exactly.
-BLANK_WORDS = ("", "null", "NULL")
+# Words that count as blank, matched exactly, beside empty and all-space text.
+BLANK_WORDS = ("null", "NULL")
 
 # A value of these types never prints as a blank text, so only NULL is blank.
 _NULL_ONLY = (
@@ -29,7 +29,7 @@ def is_blank(column: Column, data_type: T.DataType | None = None) -> Column:
     if isinstance(data_type, _NULL_ONLY):
         return column.isNull()
     text = column.cast("string")
-    return text.isNull() | text.isin(*BLANK_WORDS) | (F.length(F.trim(text)) == 0)
+    return text.isNull() | text.isin(*BLANK_WORDS) | (F.trim(text) == "")
 
 
 def any_blank(df: DataFrame, fields: Sequence[str]) -> Column:

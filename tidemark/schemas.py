@@ -62,35 +62,3 @@ SQL_ERRORS = T.StructType([
     T.StructField("as_of_date", T.DateType()),
     T.StructField("tbl_nm", T.StringType()),
 ])
-
-# The sample's column names carry no type information; ids stay strings so that none is rounded.
-_BALANCE_TYPES = {
-    "balance_as_of_date": T.DateType(),
-    "rgstrn_typ_cd": T.IntegerType(),
-    "sub_rgstrn_typ_cd": T.IntegerType(),
-    "rtrmt_pln_typ_cd": T.IntegerType(),
-    "inception_date": T.TimestampType(),
-    "closed_date": T.TimestampType(),
-    "account_assets": T.DecimalType(20, 4),
-    "total_market_value_of_position": T.DecimalType(20, 4),
-    "settlement_fund_balance": T.DecimalType(20, 4),
-    "settlement_fund_accrued_dividends": T.DecimalType(20, 4),
-    "trade_date_account_balance": T.DecimalType(20, 4),
-    "total_market_value_long": T.DecimalType(20, 4),
-    "as_of_date": T.DateType(),
-}
-
-# Columns of a balance snapshot, in file order.
-BALANCE_COLUMNS = (
-    "balance_as_of_date", "account_type", "serv_id", "vast_mstr_acct_no", "rgstrn_typ_cd",
-    "sub_rgstrn_typ_cd", "rtrmt_pln_typ_cd", "client_type", "inception_date", "closed_date",
-    "account_status", "account_id", "account_number", "plan_number", "mstr_acct_typ_cd",
-    "account_assets", "account_holder_frst_nm", "account_holder_midl_nm",
-    "account_holder_lst_nm", "foreign_account_identifier", "total_market_value_of_position",
-    "settlement_fund_balance", "settlement_fund_accrued_dividends",
-    "trade_date_account_balance", "total_market_value_long", "as_of_date",
-)
-BALANCE_TEXT = _strings(*BALANCE_COLUMNS)
-BALANCES = T.StructType(
-    [T.StructField(name, _BALANCE_TYPES.get(name, T.StringType())) for name in BALANCE_COLUMNS]
-)

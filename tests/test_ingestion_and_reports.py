@@ -2,6 +2,7 @@ import datetime as dt
 from types import SimpleNamespace
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -95,6 +96,24 @@ def test_ingest_and_rerun(spark, root, ingestion_file):
     assert rows(data.groupBy("as_of_date", "t").count()) == [(D3, "tBalances", 7)]
 
 
+def test_many_tables_side_by_side(spark, root):
+    names = [f"t{i}" for i in range(9)]
+    mapping = spark.createDataFrame(
+        [(f"{n}_src", n, "F", "up", "lake", "d") for n in names], INGESTION_MAPPING)
+    counts = ingest_domain(
+        spark, mapping, lambda target: spark.range(int(target[1:])), root, "d", D3, RUN_TS)
+    assert rows(counts, "dest_tbl", "src_count", "dest_count") == [(n, i, i) for i, n in enumerate(names)]
+
+    def broken(target):
+        return spark.table("no_such_table") if target == "t3" else spark.range(20)
+
+    with pytest.raises(AnalysisException):
+        ingest_domain(spark, mapping, broken, root, "d", D3, RUN_TS)
+    stored = spark.read.schema(TRANSFORM_COUNTS).parquet(f"{root}/lake/metrics/transform_counts")
+    assert rows(stored, "src_count") == [(i,) for i in range(9)]
+    assert spark.read.parquet(f"{root}/lake/F/t3").count() == 3
+
+
 @pytest.mark.parametrize("key_type", ["DATE", "STRING"])
 def test_ingest_into_a_catalog_table(spark, root, ingestion_file, key_type):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS lake LOCATION '{root}/catalog'")
@@ -135,7 +154,7 @@ def test_previous_snapshot(spark):
         ("t", D1, None), ("t", D3, D1)]
 
 
-@pytest.mark.parametrize("gap", [1, 7, 8, 100, 101, 4000])
+@pytest.mark.parametrize("gap", [1, 2, 7, 8, 100, 101, 4000])
 def test_previous_date_however_long_ago(spark, gap):
     df = history(spark, D3, D3 - dt.timedelta(days=gap))
     assert previous_snapshot_date(df, D3) == D3 - dt.timedelta(days=gap)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,21 +20,22 @@ def previous_snapshot(df: DataFrame, as_of: dt.date | str) -> DataFrame:
 
 
 def previous_snapshot_date(
-    df: DataFrame, as_of: dt.date | str, look_back: Sequence[int] = (7, 100)
+    df: DataFrame, as_of: dt.date | str, probe_days: int = 7, window_days: int = 100
 ) -> dt.date | None:
     """The same as a date, reading as little history as possible.
 
-    A snapshot taken in the last week is found from that week's partitions; the whole
-    history is read only when the widening windows of ``look_back`` days hold no row.
+    The last days are probed one by one, which takes a single row of the partition
+    found. Only when they hold nothing is the latest date looked for in a window, and
+    after that in the whole history.
     """
     day = as_date(as_of)
-    starts = [day - dt.timedelta(days=days) for days in look_back]
-    for start in [*starts, None]:
-        recent = df if start is None else df.where(F.col("as_of_date") >= day_in(df, start))
-        found = previous_snapshot(recent, day).first()["yest_ingest_dt"]
-        if found is not None:
-            return found
-    return None
+    for back in range(1, probe_days + 1):
+        earlier = day - dt.timedelta(days=back)
+        if not df.where(F.col("as_of_date") == day_in(df, earlier)).isEmpty():
+            return earlier
+    start = day_in(df, day - dt.timedelta(days=window_days))
+    recent = previous_snapshot(df.where(F.col("as_of_date") >= start), day).first()
+    return recent["yest_ingest_dt"] or previous_snapshot(df, day).first()["yest_ingest_dt"]
 
 
 def previous_snapshots(df: DataFrame, table_column: str = "dest_tbl") -> DataFrame:

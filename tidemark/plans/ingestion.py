@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import as_date
@@ -68,22 +70,23 @@ def ingest_domain(
     run_ts: dt.datetime | str,
     files: int | None = None,
     register: bool = False,
+    at_once: int = 4,
 ) -> DataFrame:
     """Ingest every mapped table for a date and record the counts.
 
-    ``query`` gives the rows of a target table; each table is one write job. With
-    ``register`` the targets are catalog tables over their paths: the date is added to
-    them and counted through them. Returns the metric rows.
+    ``query`` gives the rows of a target table; each table is one write job, some of
+    which run side by side. With ``register`` the targets are catalog tables over their
+    paths: the date is added to them and counted through them. Returns the metric rows.
     """
     day = as_date(as_of)
     tables = mapped_tables(mapping, domain)
-    produced, stored = [], []
-    for row in tables:
+
+    def ingest(row: Row) -> tuple[int, DataFrame]:
         target = layout.snapshot_root(
             root, row.target_database, row.target_folder, row.target_table
         )
         df = query(row.target_table)
-        produced.append((row.target_table, day, replace_snapshot(df, target, day, files)))
+        size = replace_snapshot(df, target, day, files)
         if register:
             name = f"{row.target_database}.{row.target_table}"
             register_partition(spark, name, day)
@@ -91,10 +94,14 @@ def ingest_domain(
         else:
             schema = df.drop("as_of_date").schema.add("as_of_date", "date")
             readable = read_snapshot(spark, target, day, schema)
-        stored.append(stored_counts(readable, row.target_table, day))
+        return size, stored_counts(readable, row.target_table, day)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        done = list(pool.map(inheritable_thread_target(spark)(ingest), tables))
+    produced = [(row.target_table, day, size) for row, (size, _) in zip(tables, done)]
     counts = transform_counts(
         spark.createDataFrame(produced, "dest_tbl string, as_of_date date, src_count long"),
-        reduce(DataFrame.unionByName, stored),
+        reduce(DataFrame.unionByName, [stored for _, stored in done]),
         mapping,
         run_ts,
     )

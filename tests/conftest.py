@@ -12,7 +12,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     builder = (
-        SparkSession.builder.master("local[8]").appName("tests")
+        SparkSession.builder.master("local[8, 3]").appName("tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")

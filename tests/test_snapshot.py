@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark import TaskContext
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -123,6 +124,24 @@ def test_stored_count_reads_no_data_column(spark, root):
     assert "ReadSchema: struct<>" in plan and "PartitionFilters: [isnotnull(as_of_date" in plan
 
 
+@pytest.mark.parametrize("files", [None, 3])
+def test_repeated_tasks_count_once(spark, root, files):
+    def fails_at_first(batches):
+        yield from batches
+        if TaskContext.get().attemptNumber() == 0:
+            raise RuntimeError("lost")
+
+    df = spark.range(10_000, numPartitions=6).mapInPandas(fails_at_first, "id long")
+    spark.sparkContext.setLogLevel("OFF")
+    try:
+        assert replace_snapshot(df, root, D1, files) == 10_000
+        dated = df.withColumn("as_of_date", F.when(F.col("id") % 3 == 0, F.lit(D1)).otherwise(F.lit(D2)))
+        assert replace_snapshots(dated, root, [D1, D2]) == 10_000
+    finally:
+        spark.sparkContext.setLogLevel("ERROR")
+    assert spark.read.parquet(root).distinct().count() == spark.read.parquet(root).count() == 10_000
+
+
 def last_plan(spark):
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
     runs = spark._jsparkSession.sharedState().statusStore().executionsList()

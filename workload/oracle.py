@@ -177,6 +177,10 @@ ORACLE = {
     "duplicate_check_texts": with_(
         DOCUMENTS, duplicates("docs", ("text",)).replace("'docs' AS tbl_nm", "'documents' AS tbl_nm")
     ),
+    "duplicate_check_normalised": with_(
+        f"customers AS (SELECT c_mktsegment AS segment, {D} AS as_of_date FROM customer)",
+        duplicates("customers", ("segment",)),
+    ),
     "quality_run": with_(BOTH, QUALITY),
     "quality_write": with_(BALANCES, union(
         nulls("balances", ("dirty",), NOT_VBO),
@@ -220,6 +224,10 @@ ORACLE = {
         SELECT event_id, account_id, account_type, dirty,
           CAST(as_of_date AS VARCHAR) AS as_of_date
         FROM balances"""),
+    "catalog_partitions": with_(BALANCES, """
+        SELECT 'balances' AS dest_tbl, CAST(as_of_date AS VARCHAR) AS as_of_date,
+          count(*) AS dest_count
+        FROM balances GROUP BY as_of_date"""),
     "stored_query": with_(BALANCES, f"""
         SELECT account_id, account_type, count(*) AS n_rows, count(dirty) AS n_dirty
         FROM balances WHERE as_of_date <= {LAST} GROUP BY account_id, account_type"""),

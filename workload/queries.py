@@ -18,12 +18,12 @@ from tidemark.plans import (
     check_domain, export_errors, ingest_domain, publish_status, replace_snapshot,
     replace_snapshots, report_batch, run_quality, write_errors,
 )
-from tidemark.functions import next_ingest_at, previous_day
+from tidemark.functions import next_ingest_at, normalise_space, previous_day
 from tidemark.sinks import shared_path, write_lines
 from tidemark.sources import (
     QualityRule, expand_tables, poll_defaults, quality_rules, read_document_lines, read_history,
     read_ingestion_mapping, read_log, read_metric_mapping, read_rule_mapping, read_snapshot,
-    read_status, run_stored_query, status_records,
+    read_status, register_partition, run_stored_query, status_records,
 )
 from tidemark.streaming import watch_domain
 from workload.tables import (
@@ -106,6 +106,14 @@ def duplicate_check_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(duplicate_check(documents, rules, table="documents", **RUN))
 
 
+def duplicate_check_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments padded with non-breaking spaces on some rows, alike once normalised."""
+    padded = F.concat("c_mktsegment", F.when(F.col("c_nationkey") > 9, "\u00a0 \u00a0").otherwise(""))
+    customers = normalise_space(_customers(spark, sf_dir).withColumn("segment", padded))
+    rules = [_rule("customers", keys=["segment"])]
+    return plain(duplicate_check(customers, rules, table="customers", **RUN))
+
+
 QUALITY_RULES = [
     _rule("balances", ["dirty"], override="ConditionalNullsNonVBO"),
     _rule("balances", ["dirty", "account_type", "amount"], override="ConditionalNullsNonLegacy"),
@@ -242,6 +250,25 @@ def snapshot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(_all(snapshots)).drop("amount")
 
 
+def catalog_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every snapshot written, made visible in a catalog table and counted through it."""
+    df = balances(spark, sf_dir)
+    root, days = shared_path(spark, "catalog"), _days(df)
+    name = "balances_" + root.rsplit("-", 1)[-1]
+    columns = ", ".join(f"{column} {kind}" for column, kind in df.dtypes)
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (as_of_date) "
+        f"LOCATION '{root}'"
+    )
+    replace_snapshots(df, root, days)
+    for day in days:
+        register_partition(spark, name, day)
+    counts = shared_path(spark, "catalog_counts")
+    stored_counts(spark.table(name), "balances").write.parquet(counts)
+    spark.sql(f"DROP TABLE {name}")
+    return plain(spark.read.parquet(counts))
+
+
 def _write_query(spark: SparkSession, directory: str, target: str, text: str) -> None:
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{directory}/{target}.hql")
 
@@ -568,6 +595,7 @@ QUERIES = {
     "duplicate_check_multi_key": _balance_duplicates(("account_id", "account_type")),
     "duplicate_check_transactions": duplicate_check_transactions,
     "duplicate_check_texts": duplicate_check_texts,
+    "duplicate_check_normalised": duplicate_check_normalised,
     "quality_run": quality_run,
     "quality_write": quality_write,
     "ingestion_mapping": ingestion_mapping,
@@ -575,6 +603,7 @@ QUERIES = {
     "metric_mapping": metric_mapping,
     "snapshot_replace": snapshot_replace,
     "snapshot_scan": snapshot_scan,
+    "catalog_partitions": catalog_partitions,
     "stored_query": stored_query,
     "ingest_domain": ingest,
     "transform_counts": transform_counts_history,

@@ -23,6 +23,7 @@ def record(success, no_change="NA", failure="NA", as_of="2021-03-04T13.39.09.561
     }
 
 
+# Status times of four tables with known verdicts.
 RESPONSE = {
     "db1.INS": record("2021-03-05T08:34:59.661365", "2021-02-24T16:30:29.978052",
                       "2021-02-18T18:15:16.705752", "2021-03-05T05:35:41.617"),

@@ -63,14 +63,15 @@ def replace_partitions(
     rows = df.withColumn(
         keys[0], F.when(_listed(partitions), F.col(keys[0])).otherwise(outside)
     )
+    # The set holds at most the listed partitions. Without a struct it costs next to nothing.
+    single = len(keys) == 1
+    partition = F.col(keys[0]) if single else F.struct(*keys)
     written = Observation()
     observed = rows.observe(
-        written,
-        F.count(F.lit(1)).alias("rows"),
-        F.collect_set(F.struct(*keys)).alias("filled"),  # at most the listed partitions
+        written, F.count(F.lit(1)).alias("rows"), F.collect_set(partition).alias("filled")
     )
     _write(observed, root, keys, file_format, max_rows_per_file)
-    filled = {tuple(row) for row in written.get["filled"]}
+    filled = {(found,) if single else tuple(found) for found in written.get["filled"]}
     if len(filled) < prod(len(values) for values in partitions.values()):
         held = _holding_rows(df, root, partitions, file_format)
         for values in held - filled:

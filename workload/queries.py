@@ -12,7 +12,7 @@ from tidemark import schemas
 from tidemark.operators import (
     classify_freshness, classify_log, duplicate_check, error_lines, metrics_export, null_check,
     previous_snapshot, previous_snapshots, readiness, status_summary, stored_counts,
-    transform_counts,
+    transform_counts, verdict,
 )
 from tidemark.plans import (
     check_domain, export_errors, ingest_domain, publish_status, replace_snapshot,
@@ -445,19 +445,18 @@ def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def readiness_at(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdicts around the cut-off in winter and in summer time, and on a quiet moment."""
+    """Verdicts around the cut-off in winter and in summer time, and with nothing stale."""
     moments = [
-        ("2024-01-30 16:58:59", LAST_DAY), ("2024-01-30 16:59:00", LAST_DAY),
-        ("2024-07-30 15:58:59", LAST_DAY), ("2024-07-30 15:59:00", LAST_DAY),
+        "2024-01-30 16:58:59", "2024-01-30 16:59:00", "2024-07-30 15:58:59", "2024-07-30 15:59:00",
     ]
-    verdicts = [
-        readiness(classify_freshness(_status(spark, sf_dir), day), moment)
-        .withColumn("now_utc", F.lit(moment))
-        for moment, day in moments
-    ]
-    fresh = classify_freshness(_status(spark, sf_dir), LAST_DAY).where("is_fresh")
-    verdicts.append(readiness(fresh, moments[0][0]).withColumn("now_utc", F.lit("fresh only")))
-    return _all(verdicts)
+    judged = classify_freshness(_status(spark, sf_dir), LAST_DAY)
+    # The counts are taken once; each moment only needs its own verdict.
+    counted = readiness(judged, moments[0]).withColumn(
+        "now_utc", F.explode(F.array(*[F.lit(moment) for moment in moments]))
+    )
+    every = counted.withColumn("verdict", verdict(F.col("n_stale"), F.col("now_utc")))
+    fresh = readiness(judged.where("is_fresh"), moments[0])
+    return every.unionByName(fresh.withColumn("now_utc", F.lit("fresh only")))
 
 
 def _as_records(df: DataFrame) -> DataFrame:

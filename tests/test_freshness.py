@@ -59,8 +59,12 @@ def test_date_is_the_one_written(spark, zone):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        response = {"a": record("2021-03-05T23:59:59.999999"), "b": record("2021-03-05T00:00:00")}
-        assert fresh_tables(spark, "2021-03-05", response) == ["a", "b"]
+        response = {
+            "a": record("2021-03-05T23:59:59.999999"), "b": record("2021-03-05T00:00:00"),
+            "c": record("2021-03-05T23:30:00Z"), "d": record("2021-03-05 00:30:00+09:00"),
+            "e": record("2021-03-05"), "f": record("2021-03-06T00:00:00"),
+        }
+        assert fresh_tables(spark, "2021-03-05", response) == ["a", "b", "c", "d", "e"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
 

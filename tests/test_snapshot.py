@@ -76,7 +76,8 @@ def test_query_may_read_the_date_it_replaces(spark, root):
 def test_many_dates_at_once(spark, root):
     replace_snapshot(frame(spark, 7), root, "2024-01-13")
     replace_snapshot(frame(spark, 8), root, "2024-01-16")
-    df = frame(spark, 1, 2, 3).withColumn("as_of_date", F.when(F.col("id") < 3, F.lit(D1)).otherwise(F.lit(D2)))
+    day = F.when(F.col("id") < 3, F.lit(D1)).otherwise(F.lit(D2))
+    df = frame(spark, 1, 2, 3).withColumn("as_of_date", day)
     assert replace_snapshots(df, root, [D1, D2, "2024-01-16"]) == 3
     assert stored(spark, root) == [(1, D1), (2, D1), (3, D2), (7, dt.date(2024, 1, 13))]
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from workload.tables import BALANCES, DAY, LAST_DAY, RUN_TS, STATUS_EVENTS, SUMMARY, TRANSACTIONS
 
 D, LAST = f"DATE '{DAY}'", f"DATE '{LAST_DAY}'"
-VBA, VBA_TA, NOT_VBO = "account_type IN ('VBA')", "account_type IN ('VBA', 'TA')", "account_type NOT IN ('VBO')"
+VBA = "account_type IN ('VBA')"
+VBA_TA = "account_type IN ('VBA', 'TA')"
+NOT_VBO = "account_type NOT IN ('VBO')"
 
 
 def blank(*fields: str) -> str:

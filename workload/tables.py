@@ -1,7 +1,7 @@
 """Inputs of the sample queries, derived from the given tables.
 
 The given tables hold no blank values, so some columns are made dirty by rules on ids.
-Each derivation appears as a frame and as the same SQL text for the comparison.
+The derivations are expressions both engines understand.
 """
 
 from __future__ import annotations
@@ -32,74 +32,64 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select([show(field) for field in df.schema])
 
 
-BALANCES = """
-balances AS (
-  SELECT event_id, user_id AS account_id,
-    CASE WHEN event_id % 31 = 0 THEN NULL WHEN event_type = 'click' THEN 'VBA'
-         WHEN event_type = 'view' THEN 'TA' WHEN event_type = 'error' THEN 'VBO'
-         ELSE event_type END AS account_type,
-    CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 13 = 0 THEN 'NULL'
-         WHEN event_id % 17 = 0 THEN 'null' WHEN event_id % 19 = 0 THEN ''
-         WHEN event_id % 23 = 0 THEN '   ' WHEN event_id % 29 = 0 THEN 'Null'
-         ELSE props END AS dirty,
-    CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS amount,
-    CAST(ts AS DATE) AS as_of_date
-  FROM events)"""
+def _common_table(name: str, columns: tuple[str, ...], source: str) -> str:
+    return f"{name} AS (SELECT {', '.join(columns)} FROM {source})"
+
+
+_BALANCES = (
+    "event_id",
+    "user_id AS account_id",
+    """CASE WHEN event_id % 31 = 0 THEN NULL WHEN event_type = 'click' THEN 'VBA'
+            WHEN event_type = 'view' THEN 'TA' WHEN event_type = 'error' THEN 'VBO'
+            ELSE event_type END AS account_type""",
+    """CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 13 = 0 THEN 'NULL'
+            WHEN event_id % 17 = 0 THEN 'null' WHEN event_id % 19 = 0 THEN ''
+            WHEN event_id % 23 = 0 THEN '   ' WHEN event_id % 29 = 0 THEN 'Null'
+            ELSE props END AS dirty""",
+    "CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS amount",
+    "CAST(ts AS DATE) AS as_of_date",
+)
+BALANCES = _common_table("balances", _BALANCES, "events")
 
 
 def balances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Account balances: one snapshot per day of events."""
-    every = lambda n: F.col("event_id") % n == 0
-    kind = F.col("event_type")
-    return table(spark, sf_dir, "events").select(
-        "event_id",
-        F.col("user_id").alias("account_id"),
-        F.when(every(31), None).when(kind == "click", "VBA").when(kind == "view", "TA")
-        .when(kind == "error", "VBO").otherwise(kind).alias("account_type"),
-        F.when(every(11), None).when(every(13), "NULL").when(every(17), "null")
-        .when(every(19), "").when(every(23), "   ").when(every(29), "Null")
-        .otherwise(F.col("props")).alias("dirty"),
-        F.when(every(7), None).otherwise(F.col("value")).alias("amount"),
-        F.to_date("ts").alias("as_of_date"),
-    )
-
-
-TRANSACTIONS = """
-transactions AS (
-  SELECT l_orderkey AS account_id, l_partkey AS part_id, l_suppkey AS supplier_id,
-    CASE WHEN l_suppkey % 31 = 0 THEN NULL WHEN l_linestatus = 'F' THEN 'TA'
-         WHEN l_returnflag = 'N' THEN 'VBO' ELSE 'VBA' END AS account_type,
-    CASE WHEN l_orderkey % 11 = 0 THEN NULL WHEN l_orderkey % 13 = 0 THEN '  '
-         WHEN l_orderkey % 17 = 0 THEN 'null' ELSE l_returnflag END AS flag,
-    CASE WHEN l_partkey % 19 = 0 THEN NULL ELSE l_extendedprice END AS amount,
-    CAST(date_trunc('month', l_shipdate) AS DATE) AS as_of_date
-  FROM lineitem)"""
+    return table(spark, sf_dir, "events").selectExpr(*_BALANCES)
+
+
+_TRANSACTIONS = (
+    "l_orderkey AS account_id",
+    "l_partkey AS part_id",
+    "l_suppkey AS supplier_id",
+    """CASE WHEN l_suppkey % 31 = 0 THEN NULL WHEN l_linestatus = 'F' THEN 'TA'
+            WHEN l_returnflag = 'N' THEN 'VBO' ELSE 'VBA' END AS account_type""",
+    """CASE WHEN l_orderkey % 11 = 0 THEN NULL WHEN l_orderkey % 13 = 0 THEN '  '
+            WHEN l_orderkey % 17 = 0 THEN 'null' ELSE l_returnflag END AS flag""",
+    "CASE WHEN l_partkey % 19 = 0 THEN NULL ELSE l_extendedprice END AS amount",
+    "CAST(date_trunc('month', l_shipdate) AS DATE) AS as_of_date",
+)
+TRANSACTIONS = _common_table("transactions", _TRANSACTIONS, "lineitem")
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions: one snapshot per month of shipped line items."""
-    every = lambda name, n: F.col(name) % n == 0
-    return table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("account_id"),
-        F.col("l_partkey").alias("part_id"),
-        F.col("l_suppkey").alias("supplier_id"),
-        F.when(every("l_suppkey", 31), None).when(F.col("l_linestatus") == "F", "TA")
-        .when(F.col("l_returnflag") == "N", "VBO").otherwise("VBA").alias("account_type"),
-        F.when(every("l_orderkey", 11), None).when(every("l_orderkey", 13), "  ")
-        .when(every("l_orderkey", 17), "null").otherwise(F.col("l_returnflag")).alias("flag"),
-        F.when(every("l_partkey", 19), None).otherwise(F.col("l_extendedprice")).alias("amount"),
-        F.trunc("l_shipdate", "month").alias("as_of_date"),
-    )
-
-
-STATUS_EVENTS = """
-status_events AS (
-  SELECT 'domain_' || CAST(user_id % 5 AS VARCHAR) AS domain,
-    'table_' || CAST(user_id AS VARCHAR) AS table_name,
-    CASE event_type WHEN 'purchase' THEN 'SUCCESS' WHEN 'view' THEN 'NO_CHANGE'
-         WHEN 'error' THEN 'FAILURE' WHEN 'signup' THEN 'MAINTENANCE' END AS status,
-    ts
-  FROM events)"""
+    return table(spark, sf_dir, "lineitem").selectExpr(*_TRANSACTIONS)
+
+
+_STATUS_EVENTS = (
+    "concat('domain_', CAST(user_id % 5 AS STRING)) AS domain",
+    "concat('table_', CAST(user_id AS STRING)) AS table_name",
+    """CASE event_type WHEN 'purchase' THEN 'SUCCESS' WHEN 'view' THEN 'NO_CHANGE'
+            WHEN 'error' THEN 'FAILURE' WHEN 'signup' THEN 'MAINTENANCE' END AS status""",
+    "ts",
+)
+STATUS_EVENTS = _common_table("status_events", _STATUS_EVENTS, "events")
+
+
+def status_events(events: DataFrame) -> DataFrame:
+    """Status events of upstream tables: one table per user, five domains."""
+    return events.selectExpr(*_STATUS_EVENTS).withColumnRenamed("table_name", "table")
+
 
 SUMMARY = """
 summary AS (
@@ -109,15 +99,3 @@ summary AS (
     max(ts) FILTER (WHERE status = 'FAILURE') AS last_failure,
     max(ts) FILTER (WHERE status = 'MAINTENANCE') AS last_maintenance
   FROM status_events WHERE status IS NOT NULL GROUP BY domain, table_name)"""
-
-
-def status_events(events: DataFrame) -> DataFrame:
-    """Status events of upstream tables: one table per user, five domains."""
-    kind = F.col("event_type")
-    return events.select(
-        F.concat(F.lit("domain_"), F.col("user_id") % 5).alias("domain"),
-        F.concat(F.lit("table_"), F.col("user_id")).alias("table"),
-        F.when(kind == "purchase", "SUCCESS").when(kind == "view", "NO_CHANGE")
-        .when(kind == "error", "FAILURE").when(kind == "signup", "MAINTENANCE").alias("status"),
-        "ts",
-    )

@@ -33,24 +33,38 @@ def statistics(text: Column) -> Column:
     """The five statistics of a text that is not null, as one struct.
 
     A repeated word lies in a window of three words that occurs twice or more in the text.
-    Windows are sorted with their places and compared with their neighbours: time n log n.
+    Half of a window's hash and its place fit into one integer; sorted, these show which
+    windows may be repeated, and only they are compared as texts, again sorted: time n log n.
+
     Values used inside lambdas are bound by ``bound``: were they columns, the optimizer could
     write their definitions into the lambda, to be evaluated for every element.
     """
-    def windows(gram: Column) -> Column:
-        many = F.greatest(F.size(gram) - 2, F.lit(1))
+    def marks(gram: Column) -> Column:
+        high = F.lit(-(1 << 32))
+        hashed = lambda i: F.xxhash64(F.get(gram, i), F.get(gram, i + 1), F.get(gram, i + 2))
         return F.when(F.size(gram) >= 3, F.sort_array(F.transform(
-            F.sequence(F.lit(1), many),
-            lambda i: F.struct(
-                F.concat_ws(" ", F.get(gram, i - 1), F.get(gram, i), F.get(gram, i + 1)).alias("w"),
-                i.alias("i")),
-        ))).otherwise(F.array().cast("array<struct<w:string,i:int>>"))
+            F.sequence(F.lit(0), F.greatest(F.size(gram) - 3, F.lit(0))),
+            lambda i: hashed(i).bitwiseAND(high).bitwiseOR(i.cast("long")),
+        ))).otherwise(F.array().cast("array<long>"))
+
+    def suspects(ordered: Column) -> Column:
+        def like_next(mark: Column, at: Column) -> Column:
+            near = lambda by: F.shiftright(F.get(ordered, at + by).bitwiseXOR(mark), 32) == 0
+            return F.coalesce(near(1), F.lit(False)) | ((at > 0) & F.coalesce(near(-1), F.lit(False)))
+
+        return F.transform(
+            F.filter(ordered, like_next), lambda mark: mark.bitwiseAND(F.lit((1 << 32) - 1)).cast("int"))
+
+    def windows(gram: Column, at: Column) -> Column:
+        return F.sort_array(F.transform(at, lambda i: F.struct(
+            F.concat_ws(" ", F.get(gram, i), F.get(gram, i + 1), F.get(gram, i + 2)).alias("w"),
+            i.alias("i"))))
 
     def places(ordered: Column) -> Column:
         def twice(window: Column, at: Column) -> Column:
-            beside = lambda by: F.get(ordered, at + by).getField("w")
-            return ((at > 0) & (beside(-1) == window.getField("w"))) | F.coalesce(
-                beside(1) == window.getField("w"), F.lit(False))
+            same = lambda by: F.coalesce(
+                F.get(ordered, at + by).getField("w") == window.getField("w"), F.lit(False))
+            return same(1) | ((at > 0) & same(-1))
 
         return F.transform(F.filter(ordered, twice), lambda window: window.getField("i"))
 
@@ -58,18 +72,23 @@ def statistics(text: Column) -> Column:
         return F.size(F.array_distinct(F.flatten(
             F.transform(at, lambda i: F.array(i, i + 1, i + 2)))))
 
+    def repeated(gram: Column) -> Column:
+        return bound(marks(gram), lambda m: bound(suspects(m), lambda at: F.when(
+            F.size(at) > 0, bound(windows(gram, at), lambda w: bound(places(w), covered)),
+        ).otherwise(F.lit(0))))
+
     def count_words(gram: Column) -> Column:
         return F.struct(
             F.size(gram).cast("long").alias("n_words"),
-            bound(windows(gram), lambda x: bound(places(x), covered)).cast("long")
-            .alias("n_repeat_words"),
+            F.length(F.array_join(gram, "")).cast("long").alias("word_chars"),
+            repeated(gram).cast("long").alias("n_repeat_words"),
         )
 
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(f"[^{SPACE[1:]}"))
     counted = bound(words(text), count_words)
     return bound(counted, lambda x: F.struct(
         x.getField("n_words").alias("n_words"),
-        F.length(F.regexp_replace(text, SPACE + "+", "")).cast("long").alias("word_chars"),
+        x.getField("word_chars").alias("word_chars"),
         (F.length(text) - F.length(F.regexp_replace(text, r"[#*$%&|<>]+", ""))).cast("long")
         .alias("n_symbols"),
         bound(lines, lambda y: F.size(y) - F.size(F.array_distinct(y))).cast("long")

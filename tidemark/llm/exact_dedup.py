@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import named, text_or_empty, unpacked
+from tidemark.llm.common import named, stored, text_or_empty, unpacked
 
 SALTS = 64
 
@@ -61,7 +61,9 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         F.struct(*[named(c) for c in columns or docs.columns]).alias("row"),
         named(id_column).alias("id"), _digest(text_or_empty(named(text_column))).alias("digest"),
     )
-    copies = exact_groups(docs, id_column, text_column, salts).where("group_size > 1")
+    # Stored, so that the join reads it as it is and a hot digest can be split.
+    copies = stored(
+        exact_groups(docs, id_column, text_column, salts).where("group_size > 1"), "copies")
     keep_id = F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id"))
     return keyed.join(copies, "digest", "left").select(
         "row", "digest", keep_id.alias("keep_id"),

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from math import exp
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, bound, packed, stored, text_or_empty, unpacked, words
+from tidemark.llm.common import SPACE, bound, named, stored, text_or_empty, unpacked, words
 
 MIN_WORDS = 50
 MOST_REPEATED = 50  # per cent of the words
@@ -102,22 +103,25 @@ def base_failed(min_words: int = MIN_WORDS, most_repeated: int = MOST_REPEATED)
         100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
 
 
-def measured(docs: DataFrame, text_column: str = "text") -> DataFrame:
+def measured(docs: DataFrame, text_column: str = "text",
+             columns: Sequence[str] | None = None) -> DataFrame:
     """Every row as the struct ``row``, with its group, statistics, ``base_failed`` and axes.
 
     The axes are logarithms of word length and of the shares (per cent) of symbols, repeated
     lines and repeated words, times ``GRID``, rounded.
     """
-    row = packed(docs)
-    text = text_or_empty(F.col("row").getField(text_column))
-    df = row.select("row", statistics(text).alias("_stats")).select("row", "_stats.*")
+    text = text_or_empty(named(text_column))
+    df = docs.select(
+        F.struct(*[named(c) for c in columns or docs.columns]).alias("row"),
+        *[named(name).alias(f"g_{name}") for name in GROUP], statistics(text).alias("_stats"),
+    ).select("row", *_KEYS, "_stats.*")
     size = F.greatest(F.col("n_words"), F.lit(1))
     axes = (
         F.log(F.greatest(F.col("word_chars"), F.lit(1)) / size),
         *[F.log(1 + 100 * F.col(name) / size) for name in STATS[2:]],
     )
     return df.select(
-        "row", *[F.col("row").getField(name).alias(f"g_{name}") for name in GROUP], *STATS,
+        "row", *_KEYS, *STATS,
         base_failed().alias("base_failed"),
         *[F.round(axis * GRID).cast("long").alias(name) for name, axis in zip(AXES, axes)],
     )
@@ -153,16 +157,22 @@ def judged(rows: DataFrame, fit: DataFrame, tail: float = TAIL) -> DataFrame:
 
 
 def quality_rules(docs: DataFrame, text_column: str = "text", share: float = SHARE,
-                  steps: int = STEPS, tail: float = TAIL) -> DataFrame:
+                  steps: int = STEPS, tail: float = TAIL,
+                  columns: Sequence[str] | None = None) -> DataFrame:
     """Every row of ``docs`` as the struct ``row``, with statistics and verdict.
 
-    ``docs`` needs columns ``lang`` and ``source``; their nulls are groups of their own. A
+    The struct holds all columns. Given ``columns``, it holds these alone and is written with
+    the statistics, so that texts are read once; otherwise only the statistics are written,
+    and texts are read twice. ``docs`` needs columns ``lang`` and ``source``; their nulls are groups of their own. A
     null or empty text has no words and fails the limits. Groups of one document keep it.
     An empty table gives an empty result. Rows are independent, so repeated rows are judged
     alike.
     """
-    rows = measured(docs, text_column)
-    axes = stored(rows.select(*_KEYS, *AXES, "base_failed"), "quality-axes")
+    rows = measured(docs, text_column, columns)
+    if columns is None:
+        axes = stored(rows.select(*_KEYS, *AXES, "base_failed"), "quality-axes")
+    else:
+        axes = rows = stored(rows, "quality-rows")
     return judged(rows, estimates(axes.where(~F.col("base_failed")), share, steps), tail)
 
 

@@ -111,7 +111,7 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
-    return quality_rules(docs).select("row.doc_id", *STATS, "base_failed", "kept")
+    return quality_rules(docs, columns=["doc_id"]).select("row.doc_id", *STATS, "base_failed", "kept")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -154,13 +154,13 @@ def simhash(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
 
 
 def components_of(marked: DataFrame, radius: int = RADIUS, most: int = MOST_IN_BUCKET) -> DataFrame:
-    """``fp``, ``component_id``, ``least_id`` (of that fingerprint) from rows of id and fp."""
+    """``fp``, ``root`` (the smallest fingerprint), ``component_id`` from rows of id and fp."""
     values = stored(marked.groupBy("fp").agg(F.min("id").alias("least_id")), "values")
     roots = components(links(values.select("fp"), radius, most))
     rooted = values.join(roots, values["fp"] == roots["node"], "left").select(
         "fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    return stored(rooted.join(least, "root").select("fp", "least_id", "component_id"), "components")
+    least = stored(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "least")
+    return stored(rooted.join(least, "root").select("fp", "root", "component_id"), "components")
 
 
 def without_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
@@ -175,16 +175,21 @@ def without_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column:
         named(id_column).alias("id"), fingerprints(named(text_column), shingle).alias("fp"),
         F.xxhash64(named(text_column)).alias("hash"),
     ), "fingerprints")
-    ids = components_of(marked, radius, most)
-    best = marked.join(ids, "fp").where("id <=> component_id").groupBy("component_id").agg(
-        F.min(F.struct("fp", "hash")).alias("best"))
-    winners = best.select("component_id", "best.hash")
+    places = marked.join(components_of(marked, radius, most), "fp")
+    first = F.min(F.when(F.col("id").eqNullSafe(F.col("component_id")), F.struct("fp", "hash")))
+    best = stored(places.groupBy("root").agg(first.alias("best")), "best")
+    settled = places.join(best, "root").withColumn(
+        "stays", F.col("id").eqNullSafe(F.col("component_id"))
+        & (F.struct("fp", "hash") == F.col("best")))
+    gone = stored(settled.where(~F.col("stays")).select("id", "hash"), "near-copies")
+    alone = settled.where("stays").groupBy("root").count().where("count > 1").isEmpty()
     row = packed(docs).withColumns({
         "id": F.col("row").getField(id_column),
         "hash": F.xxhash64(F.col("row").getField(text_column)),
     })
-    same = row["id"].eqNullSafe(winners["component_id"]) & (row["hash"] == winners["hash"])
-    return unpacked(row.join(winners, same, "left_semi").dropDuplicates(["id", "hash"]))
+    gone_too = row["id"].eqNullSafe(gone["id"]) & (row["hash"] == gone["hash"])
+    kept = row.join(gone, gone_too, "left_anti")
+    return unpacked(kept if alone else kept.dropDuplicates(["id", "hash"]))
 
 
 def _signed(mask: int) -> int:

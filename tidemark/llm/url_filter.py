@@ -137,7 +137,7 @@ def url_filter(pages: DataFrame, rules: Sequence[ListRule], labelled: DataFrame
             url_tokens(host, path).alias("tokens"), "verdict")
     index = mined_rules(stored(learned, "url-labels"), min_support, min_confidence)
     open_sets = rows.where("listed IS NULL").select("tokens").distinct()
-    found = matched(open_sets, index)
+    found = stored(matched(open_sets, index), "url-found")
     return rows.join(found, "tokens", "left").select(
         "row", "host", "path", "rule",
         F.coalesce("listed", "mined", F.lit(default)).alias("verdict"),

@@ -20,7 +20,8 @@ GRID = 1000
 #: A deviation of this size on an axis counts as one, however uniform a group is: 15 % in
 #: word length, a factor of 1.5 in the share of symbols, e in those of repeated lines and words.
 FLOOR = (0.15, 0.4, 1.0, 1.0)
-SHARE = 0.75
+#: Half of a group may be junk without moving its estimate.
+SHARE = 0.5
 STEPS = 4
 #: Chance of a normal document lying further out than the limit.
 TAIL = 1e-6

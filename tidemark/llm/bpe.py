@@ -5,7 +5,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from collections.abc import Iterator
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -14,8 +14,10 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 200_000  # cached fragments per worker; then the cache starts anew
-LONGEST_CACHED = 64
+KEPT = 400_000  # chunks a worker keeps the ids of; then it starts anew
+LONGEST_KEPT = 64
+LONG = 256
+PAIR = 24  # bits of an id within the key of a pair
 
 # The published pattern of byte-level tokenizers, and Unicode's white space.
 PATTERN = (
@@ -38,7 +40,7 @@ class Encoder:
     A pair of neighbouring bytes that no token of the vocabulary contains can lie in no
     token of an encoding, so every such pair is a certain cut: what stands on its two sides is
     encoded independently and the ids are concatenated. Between texts the same fragments
-    return, and their ids are cached.
+    return, and their ids are kept.
 
     Cuts between anything else and white space come first, found on the text itself; they
     hold for the pre-tokenizing pattern too, as it never lets white space follow anything else
@@ -51,93 +53,121 @@ class Encoder:
         letters = byte_letters()
         as_bytes = lambda token: bytes(letters[c] for c in token)
         model = data["model"]
-        added = {t["content"]: t["id"] for t in data["added_tokens"]}
-        self.ids = {as_bytes(t): n for t, n in model["vocab"].items() if t not in added}
-        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.ranks = {(as_bytes(a), as_bytes(b)): n for n, (a, b) in enumerate(merges)}
-        self.added = added
+        self.added = {t["content"]: t["id"] for t in data["added_tokens"]}
+        self.ids = {as_bytes(t): n for t, n in model["vocab"].items() if t not in self.added}
         self.tokens = {n: t for t, n in self.ids.items()} | {
-            n: t.encode() for t, n in added.items()}
-        self.inside = np.zeros((256, 256), bool)
-        for token in self.ids:
-            code = np.frombuffer(token, np.uint8)
-            self.inside[code[:-1], code[1:]] = True
+            n: t.encode() for t, n in self.added.items()}
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        pairs = [(as_bytes(a), as_bytes(b)) for a, b in merges]
+        self.ranks = {self.ids[a] << PAIR | self.ids[b]: n for n, (a, b) in enumerate(pairs)}
+        self.results = [self.ids[a + b] for a, b in pairs]
+        self.single = [self.ids[bytes([b])] for b in range(256)]
+        self.inside = {token[i : i + 2] for token in self.ids for i in range(len(token) - 1)}
         # Cuts before white space, unless some token has white space after another ASCII byte.
-        white = np.frombuffer(b"\t\n\x0b\x0c\r ", np.uint8)
-        others = np.setdiff1d(np.arange(128), white)
-        certain = not self.inside[np.ix_(others, white)].any()
-        self.chunk = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+" if certain else "(?s:.+)")
-        self.piece = regex.compile(PATTERN)
-        self.special = re.compile("|".join(map(re.escape, added))) if added else None
-        self.cache: dict[str, tuple[int, ...]] = {}
-
-    def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
+        white = b"\t\n\x0b\x0c\r "
+        certain = not any(p[1] in white and p[0] < 128 and p[0] not in white for p in self.inside)
+        self.chunks = re.compile(
+            f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+" if certain else "(?s:.+)").findall
+        self.pieces = regex.compile(PATTERN).findall
+        self.special = re.compile("|".join(map(re.escape, self.added))) if self.added else None
+        self.kept = _Kept(self)
+
+    def encode(self, text: str) -> np.ndarray:
+        found: list[bytes] = []
         start = 0
         for match in self.special.finditer(text) if self.special else ():
-            self._plain(text[start : match.start()], ids)
-            ids.append(self.added[match[0]])
+            found.extend(map(self.kept.__getitem__, self.chunks(text[start : match.start()])))
+            found.append(_packed([self.added[match[0]]]))
             start = match.end()
-        self._plain(text[start:] if start else text, ids)
-        return ids
-
-    def decode(self, ids) -> str:
-        return b"".join(map(self.tokens.__getitem__, ids)).decode("utf-8", "replace")
-
-    def _plain(self, text: str, ids: list[int]) -> None:
-        cache = self.cache
-        for match in self.chunk.finditer(text):
-            chunk = match[0]
-            found = cache.get(chunk)
-            if found is None:
-                found = tuple(
-                    n for piece in self.piece.findall(chunk)
-                    for fragment in self.fragments(piece.encode()) for n in self.merged(fragment)
-                )
-                if len(cache) >= CACHE:
-                    cache.clear()
-                if len(chunk) <= LONGEST_CACHED:
-                    cache[chunk] = found
-            ids += found
-
-    def fragments(self, piece: bytes) -> Iterator[bytes]:
-        code = np.frombuffer(piece, np.uint8)
-        start = 0
-        for cut in np.flatnonzero(~self.inside[code[:-1], code[1:]]) + 1:
-            yield piece[start:cut]
-            start = cut
-        yield piece[start:]
+        found.extend(map(self.kept.__getitem__, self.chunks(text[start:] if start else text)))
+        self.kept.trim()
+        return np.frombuffer(b"".join(found), np.int32)
+
+    def decode(self, ids: np.ndarray) -> str:
+        return b"".join(map(self.tokens.__getitem__, ids.tolist())).decode("utf-8", "replace")
+
+    def encode_chunk(self, chunk: str) -> bytes:
+        # A word of letters, with or without a space before it, is one piece of the pattern.
+        word = chunk[1:] if chunk[0] == " " else chunk
+        pieces = [chunk] if word.isalpha() else self.pieces(chunk)
+        return _packed([
+            n for piece in pieces for fragment in self.fragments(piece.encode())
+            for n in self.merged(fragment)
+        ])
+
+    def fragments(self, piece: bytes) -> list[bytes]:
+        inside = self.inside
+        cuts = [i for i in range(1, len(piece)) if piece[i - 1 : i + 1] not in inside]
+        return [piece[a:b] for a, b in zip([0, *cuts], [*cuts, len(piece)])]
 
     def merged(self, fragment: bytes) -> list[int]:
-        """Merge the pair of the lowest rank, the leftmost first: n log n by a heap."""
-        if fragment in self.ids and len(fragment) == 1:
-            return [self.ids[fragment]]
-        parts = [fragment[i : i + 1] for i in range(len(fragment))]
+        """Merge the pair of the lowest rank, the leftmost first."""
+        parts = [self.single[b] for b in fragment]
+        if len(parts) > LONG:
+            return self._merged_long(parts)
+        known, none = self.ranks.get, len(self.results)
+        ranks = [known(a << PAIR | b, none) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            rank = min(ranks)
+            if rank == none:
+                break
+            at = ranks.index(rank)
+            parts[at : at + 2] = [self.results[rank]]
+            del ranks[at]
+            if at < len(ranks):
+                ranks[at] = known(parts[at] << PAIR | parts[at + 1], none)
+            if at:
+                ranks[at - 1] = known(parts[at - 1] << PAIR | parts[at], none)
+        return parts
+
+    def _merged_long(self, parts: list[int]) -> list[int]:
+        """The same by a heap: n log n, for words without end."""
         after = [*range(1, len(parts)), -1]
         before = [*range(-1, len(parts) - 1)]
-        heap: list[tuple[int, int, bytes, bytes]] = []
+        heap: list[tuple[int, int, int]] = []
 
         def offer(at: int) -> None:
             if at >= 0 and after[at] >= 0:
-                pair = parts[at], parts[after[at]]
+                pair = parts[at] << PAIR | parts[after[at]]
                 if (rank := self.ranks.get(pair)) is not None:
-                    heapq.heappush(heap, (rank, at, *pair))
+                    heapq.heappush(heap, (rank, at, pair))
 
         for at in range(len(parts) - 1):
             offer(at)
         while heap:
-            _, at, left, right = heapq.heappop(heap)
+            rank, at, pair = heapq.heappop(heap)
             then = after[at]
-            if then < 0 or parts[at] != left or parts[then] != right:
+            if then < 0 or parts[at] << PAIR | parts[then] != pair:
                 continue
-            parts[at], parts[then] = left + right, b""
-            after[at] = after[then]
-            after[then] = -1
+            parts[at], parts[then] = self.results[rank], -1
+            after[at], after[then] = after[then], -1
             if after[at] >= 0:
                 before[after[at]] = at
             offer(before[at])
             offer(at)
-        return [self.ids[part] for part in parts if part]
+        return [part for part in parts if part >= 0]
+
+
+class _Kept(dict):
+    """Chunks and their ids, packed; a bounded number of short ones."""
+
+    def __init__(self, encoder: Encoder) -> None:
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, chunk: str) -> bytes:
+        found = self.encoder.encode_chunk(chunk)
+        if len(chunk) <= LONGEST_KEPT:
+            self[chunk] = found
+        return found
+
+    def trim(self) -> None:
+        if len(self) > KEPT:
+            self.clear()
+
+
+def _packed(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -156,7 +186,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text_column: str = "text",
 
     def encode(texts: pd.Series) -> pd.Series:
         encoder = _encoder(shared.value)
-        return pd.Series([np.array(encoder.encode(t or ""), np.int32) for t in texts], dtype=object)
+        return pd.Series([encoder.encode(t or "") for t in texts], dtype=object)
 
     return docs.withColumn(ids_column, F.pandas_udf(encode, "array<int>")(F.col(text_column)))
 
@@ -168,7 +198,7 @@ def bpe_decode(docs: DataFrame, vocabulary: str, ids_column: str = "ids",
 
     def decode(ids: pd.Series) -> pd.Series:
         encoder = _encoder(shared.value)
-        return pd.Series([encoder.decode([] if n is None else n.tolist()) for n in ids], dtype=object)
+        return pd.Series(["" if n is None else encoder.decode(n) for n in ids], dtype=object)
 
     return docs.withColumn(decoded_column, F.pandas_udf(decode, "string")(F.col(ids_column)))
 

@@ -6,35 +6,35 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import SF_DIR, rows
-from tidemark.functions import stored_as_of
 from tidemark.operators import classify_freshness, readiness, status_summary
-from tidemark.plans import check_domain, publish_status
+from tidemark.plans import check_domain, check_domains, publish_status
 from tidemark.schemas import STATUS
 from tidemark.sources import expand_tables, poll_defaults, read_documents, status_records
 from tidemark.streaming import watch_domain
 from workload.tables import status_events
 
 
-def record(success, no_change="NA", failure="NA", as_of="2021-03-04T13.39.09.561"):
+def record(success, no_change="NA", failure="NA"):
     return {
-        "lastUpdated": success, "latestStatus": "SUCCESS", "appPrefix": "AB1", "pipeline": "P",
+        "lastUpdated": success, "latestStatus": "SUCCESS", "appPrefix": "XY", "pipeline": "night",
         "lastSuccess": success, "lastFailure": failure, "lastNoChange": no_change,
-        "lastMaintenance": "NA", "as_of_date": as_of, "other": "NA",
+        "lastMaintenance": "NA", "as_of_date": "NA", "other": "NA",
     }
 
 
-# Status times of four tables with known verdicts.
+DAY, NEXT, BEFORE = "2022-07-18", "2022-07-19", "2022-07-17"
+# Three databases; times at the first and last moment of the day and of its neighbours.
 RESPONSE = {
-    "db1.INS": record("2021-03-05T08:34:59.661365", "2021-02-24T16:30:29.978052",
-                      "2021-02-18T18:15:16.705752", "2021-03-05T05:35:41.617"),
-    "db1.ACCT": record("2021-03-05T08:42:06.248761", "2021-02-27T08:32:13.855082",
-                       "2021-02-19T00:07:03.045738", "2021-03-05T06:53:48.614"),
-    "db2.SAG": record("2021-03-04T14:19:35.263479", "2021-02-01T14:15:54.395759"),
-    "db2.CIN": record("2021-03-04T14:12:36.708862", "2021-01-14T14:21:24.772904"),
+    "sales.invoices": record(f"{DAY}T00:00:00"),
+    "sales.refunds": record("NA", no_change=f"{DAY}T23:59:59.999999"),
+    "stock.bins": record(f"{BEFORE}T23:59:59.999999", failure=f"{DAY}T12:00:00"),
+    "stock.moves": record("2022-07-02T04:00:00", no_change=f"{NEXT}T00:00:00"),
+    "geo.sites": record("NA"),
 }
+FRESH, STALE = ["sales.invoices", "sales.refunds"], ["geo.sites", "stock.bins", "stock.moves"]
 
 
-def status(spark, response=RESPONSE, domain="acct"):
+def status(spark, response=RESPONSE, domain="trade"):
     lines = spark.createDataFrame([(json.dumps(response),)], "value string")
     return status_records(lines, domain)
 
@@ -45,10 +45,7 @@ def fresh_tables(spark, as_of, response=RESPONSE):
 
 
 @pytest.mark.parametrize("as_of, expected", [
-    ("2021-03-05", ["db1.ACCT", "db1.INS"]),
-    ("2021-03-04", ["db2.CIN", "db2.SAG"]),
-    ("2021-02-27", ["db1.ACCT"]),
-    ("2021-03-06", []),
+    (DAY, FRESH), (BEFORE, ["stock.bins"]), (NEXT, ["stock.moves"]), ("2022-07-20", []),
 ])
 def test_fresh_tables(spark, as_of, expected):
     assert fresh_tables(spark, as_of) == expected
@@ -60,11 +57,11 @@ def test_date_is_the_one_written(spark, zone):
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
         response = {
-            "a": record("2021-03-05T23:59:59.999999"), "b": record("2021-03-05T00:00:00"),
-            "c": record("2021-03-05T23:30:00Z"), "d": record("2021-03-05 00:30:00+09:00"),
-            "e": record("2021-03-05"), "f": record("2021-03-06T00:00:00"),
+            "a": record("2022-07-05T23:59:59.999999"), "b": record("2022-07-05T00:00:00"),
+            "c": record("2022-07-05T23:30:00Z"), "d": record("2022-07-05 00:30:00+09:00"),
+            "e": record("2022-07-05"), "f": record("2022-07-06T00:00:00"),
         }
-        assert fresh_tables(spark, "2021-03-05", response) == ["a", "b", "c", "d", "e"]
+        assert fresh_tables(spark, "2022-07-05", response) == ["a", "b", "c", "d", "e"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
 
@@ -72,21 +69,25 @@ def test_date_is_the_one_written(spark, zone):
 def test_absent_malformed_and_failed(spark):
     response = {
         "absent": record("NA"), "malformed": record("yesterday"),
-        "failed later": record("2021-03-05T08:00:00", failure="2021-03-05T09:00:00"),
-        "unchanged": record("NA", no_change="2021-03-05T08:00:00"),
+        "failed later": record("2022-07-05T08:00:00", failure="2022-07-05T09:00:00"),
+        "unchanged": record("NA", no_change="2022-07-05T08:00:00"),
     }
-    assert fresh_tables(spark, "2021-03-05", response) == ["failed later", "unchanged"]
+    assert fresh_tables(spark, "2022-07-05", response) == ["failed later", "unchanged"]
 
 
-def test_every_record_is_fresh_or_stale(spark):
-    judged = classify_freshness(status(spark), "2021-03-05")
-    assert judged.where(F.col("is_fresh").isNull()).count() == 0
-    assert judged.columns == [*STATUS.names, "is_fresh"] and judged.count() == 4
+def test_other_forms_of_a_time(spark):
+    response = {
+        "basic": record("20220718T080000"), "day first": record("7/18/2022 08:00"),
+        "date": record("07/18/2022"), "dots": record("2022-07-18T08.00.00.125"),
+        "basic date": record("20220718"), "other day": record("20220719T000000"),
+    }
+    assert fresh_tables(spark, DAY, response) == ["basic", "basic date", "date", "day first", "dots"]
 
 
-def test_stored_date_with_dots_or_colons(spark):
-    found = status(spark).select(stored_as_of(F.col("as_of_date")).alias("t")).where("t is null")
-    assert found.count() == 0
+def test_every_record_is_fresh_or_stale(spark):
+    judged = classify_freshness(status(spark), DAY)
+    assert judged.where(F.col("is_fresh").isNull()).count() == 0
+    assert judged.columns == [*STATUS.names, "is_fresh"] and judged.count() == 5
 
 
 # 11:59 Eastern is 16:59 UTC in December and 15:59 in July.
@@ -97,11 +98,10 @@ def test_stored_date_with_dots_or_colons(spark):
     ("2021-07-05 15:58:59", False, "READY"), (dt.datetime(2021, 7, 5, 23, 0), False, "FAILED"),
 ])
 def test_verdict(spark, root, now, stale, expected):
-    day = "2021-03-05"
-    response = RESPONSE if stale else {t: RESPONSE[t] for t in ("db1.INS", "db1.ACCT")}
-    one = readiness(classify_freshness(status(spark, response), day), now).first()
-    assert (one.verdict, one.n_stale, one.n_tables) == (expected, 2 if stale else 0, 4 if stale else 2)
-    assert check_domain(status(spark, response), root, "acct", day, now) == expected
+    response = RESPONSE if stale else {t: RESPONSE[t] for t in FRESH}
+    one = readiness(classify_freshness(status(spark, response), DAY), now).first()
+    assert (one.verdict, one.n_stale, one.n_tables) == (expected, 3 if stale else 0, 5 if stale else 2)
+    assert check_domain(status(spark, response), root, "trade", DAY, now) == expected
 
 
 def listed(spark, root, name):
@@ -109,39 +109,60 @@ def listed(spark, root, name):
 
 
 def test_lists_follow_the_verdict(spark, root):
-    early, late = "2021-03-05 14:00:00", "2021-03-05 20:00:00"
-    ready = {t: RESPONSE[t] for t in ("db1.INS", "db1.ACCT")}
-    assert check_domain(status(spark), root, "acct", "2021-03-05", early) == "WAIT"
-    assert listed(spark, root, "failed") == ["db2.CIN", "db2.SAG"]
-    assert check_domain(status(spark, ready), root, "acct", "2021-03-05", early) == "READY"
-    assert listed(spark, root, "ready") == ["db1.ACCT", "db1.INS"]
-    assert listed(spark, root, "failed") == ["db2.CIN", "db2.SAG"]
+    early, late = f"{DAY} 14:00:00", f"{DAY} 20:00:00"
+    ready = {t: RESPONSE[t] for t in FRESH}
+    assert check_domain(status(spark), root, "trade", DAY, early) == "WAIT"
+    assert listed(spark, root, "failed") == STALE
+    assert check_domain(status(spark, ready), root, "trade", DAY, early) == "READY"
+    assert listed(spark, root, "ready") == FRESH
+    assert listed(spark, root, "failed") == STALE
     # Too late with nothing stale: an empty list replaces the old one.
-    assert check_domain(status(spark, ready), root, "acct", "2021-03-05", late) == "FAILED"
+    assert check_domain(status(spark, ready), root, "trade", DAY, late) == "FAILED"
     assert listed(spark, root, "failed") == []
 
 
+def test_all_domains_at_once(spark, root):
+    ready = status(spark, {t: RESPONSE[t] for t in FRESH}, "calm")
+    both = status(spark).unionByName(ready)
+    assert check_domains(both, root, DAY, f"{DAY} 14:00:00") == {"trade": "WAIT", "calm": "READY"}
+    assert listed(spark, root, "failed") == STALE and listed(spark, root, "ready") == FRESH
+    assert check_domains(both, root, DAY, f"{DAY} 20:00:00") == {"trade": "FAILED", "calm": "FAILED"}
+    assert listed(spark, root, "failed") == STALE and listed(spark, root, "ready") == FRESH
+    assert check_domains(both.where("false"), root, DAY, f"{DAY} 20:00:00") == {}
+
+
 def test_domain_without_records_has_nothing_stale(spark, root):
-    assert check_domain(status(spark), root, "none", "2021-03-05", "2021-03-05 14:00:00") == "READY"
+    assert check_domain(status(spark), root, "none", DAY, f"{DAY} 14:00:00") == "READY"
 
 
 def test_publish_replaces_one_domain_in_one_file(spark, root, tmp_path):
     for _ in range(2):
-        assert publish_status(status(spark), root, "acct", "2021-03-05") == 2
-    publish_status(status(spark, domain="other"), root, "other", "2021-03-05")
-    assert publish_status(status(spark), root, "acct", "2021-03-05") == 2
+        assert publish_status(status(spark), root, DAY, "trade") == 2
+    publish_status(status(spark, domain="other"), root, DAY, "other")
+    assert publish_status(status(spark), root, DAY, "trade") == 2
     stored = spark.read.parquet(root)
-    assert rows(stored, "dest_tbl", "table") == [
-        ("acct", "db1.ACCT"), ("acct", "db1.INS"), ("other", "db1.ACCT"), ("other", "db1.INS")]
+    expected = [(domain, t) for domain in ("other", "trade") for t in FRESH]
+    assert rows(stored, "dest_tbl", "table") == expected
     assert len(list((tmp_path / "lake").rglob("*.parquet"))) == 2
 
 
+def test_publish_all_domains(spark, root):
+    both = status(spark).unionByName(status(spark, domain="other"))
+    assert publish_status(both, root, DAY) == 4
+    assert publish_status(status(spark, domain="other"), root, NEXT) == 1
+    stored = spark.read.parquet(root)
+    assert rows(stored.groupBy("dest_tbl").count()) == [("other", 3), ("trade", 2)]
+    assert publish_status(both.where("false"), root, DAY) == 0
+
+
 LIST = {
-    "defaults": {"action": "poll", "jarPath": "/x.jar", "messageType": "status",
-                 "subject": "None", "app_prefix": "AB1", "pipeline": "Retail"},
-    "db1": {"app_prefix": "AB1", "pipeline": "Retail_Ingestion", "db": "db1"},
-    "db2": {"app_prefix": "CD2", "pipeline": "Platform_Ingestion", "db": "db2"},
-    "acct": {"db1": ["INS", "ACCT"], "db2": ["SAG", "CIN"]},
+    "defaults": {"action": "ask", "jarPath": "/lib/poll.jar", "messageType": "state",
+                 "subject": "tables", "app_prefix": "XY", "pipeline": "night"},
+    "sales": {"app_prefix": "SA", "pipeline": "SalesNight", "db": "sales"},
+    "stock": {"app_prefix": "ST", "pipeline": "StockHourly", "db": "stock_v2"},
+    "geo": {"app_prefix": "GE", "pipeline": "GeoWeekly", "db": "geo"},
+    "trade": {"sales": ["invoices", "refunds"], "stock": ["moves"], "geo": []},
+    "maps": {"geo": ["sites"]},
 }
 
 
@@ -153,22 +174,37 @@ def documents(spark, tmp_path, content):
 
 def test_table_list(spark, tmp_path):
     docs = documents(spark, tmp_path, LIST)
-    assert rows(expand_tables(docs, "acct")) == [
-        ("AB1", "Retail_Ingestion", "db1", "ACCT"), ("AB1", "Retail_Ingestion", "db1", "INS"),
-        ("CD2", "Platform_Ingestion", "db2", "CIN"), ("CD2", "Platform_Ingestion", "db2", "SAG"),
+    trade = [
+        ("trade", "SA", "SalesNight", "sales", "invoices"), ("trade", "SA", "SalesNight", "sales", "refunds"),
+        ("trade", "ST", "StockHourly", "stock_v2", "moves"),
     ]
+    maps = [("maps", "GE", "GeoWeekly", "geo", "sites")]
+    assert rows(expand_tables(docs, "trade")) == trade and rows(expand_tables(docs)) == maps + trade
     assert expand_tables(docs, "none").count() == 0
-    assert rows(poll_defaults(docs)) == [("poll", "/x.jar", "status", "None", "AB1", "Retail")]
+    assert rows(poll_defaults(docs)) == [("ask", "/lib/poll.jar", "state", "tables", "XY", "night")]
+
+
+def test_a_domain_may_use_a_database_called_db(spark, tmp_path):
+    docs = documents(spark, tmp_path, {
+        "db": {"app_prefix": "A", "pipeline": "P", "db": "db"}, "own": {"db": ["t"]}})
+    assert rows(expand_tables(docs)) == [("own", "A", "P", "db", "t")]
 
 
-def test_table_list_with_unknown_database(spark, tmp_path):
-    docs = documents(spark, tmp_path, {**LIST, "acct": {"db9": ["X"]}})
-    with pytest.raises(PySparkException, match="no attributes for database db9"):
-        expand_tables(docs, "acct").collect()
+def test_table_list_with_unknown_or_conflicting_database(spark, tmp_path):
+    docs = documents(spark, tmp_path, {**LIST, "trade": {"moon": ["craters"]}})
+    with pytest.raises(PySparkException, match="no attributes for database moon"):
+        expand_tables(docs, "trade").collect()
+    again = spark.createDataFrame(
+        [(json.dumps({"geo": {"app_prefix": "GE", "pipeline": "GeoDaily", "db": "earth"}}),)], "value string")
+    same = spark.createDataFrame([(json.dumps({"sales": LIST["sales"]}),)], "value string")
+    docs = documents(spark, tmp_path, LIST).unionByName(again).unionByName(same)
+    with pytest.raises(PySparkException, match="conflicting attributes for database geo"):
+        expand_tables(docs, "maps").collect()
+    assert expand_tables(docs, "trade").count() == 3
 
 
 def test_summary_by_hand(spark):
-    at = lambda hour: dt.datetime(2021, 3, 5, hour)
+    at = lambda hour: dt.datetime(2022, 7, 5, hour)
     data = [
         ("d", "a", "SUCCESS", at(1)), ("d", "a", "FAILURE", at(3)), ("d", "a", "SUCCESS", at(2)),
         ("d", "b", "NO_CHANGE", at(1)), ("d", "b", "MAINTENANCE", at(1)), ("d", "c", "other", at(1)),
@@ -200,7 +236,7 @@ def test_watch_ends_where_the_batch_check_does(spark, root, tmp_path):
 
 
 def test_watch_goes_on_where_it_stopped(spark, root, tmp_path):
-    at = lambda day, hour: dt.datetime(2021, 3, day, hour)
+    at = lambda day, hour: dt.datetime(2022, 7, day, hour)
     fields = "domain string, table string, status string, ts timestamp_ntz"
     source, seen = str(tmp_path / "events"), []
     batches = [
@@ -212,7 +248,7 @@ def test_watch_goes_on_where_it_stopped(spark, root, tmp_path):
         spark.createDataFrame(arrived, fields).coalesce(1).write.mode("append").parquet(source)
         events = spark.readStream.schema(fields).parquet(source)
         watch_domain(
-            events, root, "d", "2021-03-05", lambda: "2021-03-05 14:00:00",
+            events, root, "d", "2022-07-05", lambda: "2022-07-05 14:00:00",
             str(tmp_path / "checkpoint"), every=None, on_verdict=seen.append,
         ).awaitTermination()
     assert seen == ["WAIT", "READY", "WAIT"]

@@ -2,17 +2,19 @@ import datetime as dt
 from types import SimpleNamespace
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import rows
 from tidemark.functions import as_date, run_variables
 from tidemark.operators import (
     classify_log, error_code, error_lines, metrics_export, null_check, previous_snapshot,
-    previous_snapshot_date, previous_snapshots, stored_counts, transform_counts,
+    previous_snapshot_dates, previous_snapshots, stored_counts, transform_counts,
 )
 from tidemark.operators.metrics_export import EXPORT_COLUMNS
-from tidemark.plans import export_errors, ingest_domain, report_batch, write_transform_counts
+from tidemark.plans import (
+    IngestionError, export_errors, ingest_domain, report_batch, write_transform_counts,
+)
 from tidemark.schemas import INGESTION_MAPPING, METRIC_MAPPING, SQL_ERRORS, TRANSFORM_COUNTS
 from tidemark.sinks import shared_path, write_lines
 from tidemark.sources import (
@@ -23,38 +25,39 @@ D1, D2, D3 = (dt.date(2023, 1, day) for day in (8, 9, 10))
 RUN_TS = "2023-01-11 06:00:00"
 
 
+# Two databases share a table name; one domain has a single table, one has none.
+LINES = [
+    ("crm_visits", "Visits", "web", "crm", "lake", "traffic"),
+    ("crm_visits_old", "Visits", "web", "crm", "vault", "traffic"),
+    ("wms_bins", "bins", "stock/now", "wms", "lake", "storage"),
+]
+
+
 @pytest.fixture
 def ingestion_file(tmp_path):
     path = tmp_path / "mapping.txt"
-    path.write_text(
-        "|".join(INGESTION_MAPPING.names) + "\n"
-        "act_src|tBalances|Accounts|upstream|lake|account\n"
-        "txn_src|ttransactions|Transactions|upstream|lake|transaction\n"
-    )
+    path.write_text("\n".join("|".join(line) for line in [INGESTION_MAPPING.names, *LINES]) + "\n")
     return str(path)
 
 
 def test_ingestion_mapping(spark, ingestion_file):
-    account = ("act_src", "tBalances", "Accounts", "upstream", "lake", "account")
-    assert rows(read_ingestion_mapping(spark, ingestion_file, "account")) == [account]
-    assert rows(read_ingestion_mapping(spark, ingestion_file, "account", "TBALANCES")) == [account]
-    assert rows(read_ingestion_mapping(spark, ingestion_file, "account", "ttransactions")) == []
+    read = lambda *wanted: rows(read_ingestion_mapping(spark, ingestion_file, *wanted))
+    assert read() == LINES and read("traffic") == LINES[:2] and read("storage") == LINES[2:]
+    assert read("traffic", "VISITS") == LINES[:2] and read(None, "BINS") == LINES[2:]
+    assert read("traffic", "bins") == []
     with pytest.raises(ValueError, match="other"):
         mapped_tables(read_ingestion_mapping(spark, ingestion_file, "other"), "other")
 
 
 def test_metric_mapping_matches_exact_source(spark, tmp_path):
     path = tmp_path / "metrics.txt"
-    path.write_text(
-        "|".join(METRIC_MAPPING.names) + "\n"
-        "act_src|tbalances|upstream|lake|Accounts|nightly\n"
-        "txn_src|ttransactions|upstream|lake|Transactions|nightly\n"
-    )
-    assert read_metric_mapping(spark, str(path), "nightly").count() == 2
-    one = read_metric_mapping(spark, str(path), "nightly", "txn_src")
-    assert rows(one, "target_table", "target_folder") == [("ttransactions", "Transactions")]
-    assert read_metric_mapping(spark, str(path), "nightly", "TXN_SRC").count() == 0
-    assert read_metric_mapping(spark, str(path), "weekly").count() == 0
+    lines = [("crm_visits", "visits", "crm", "lake", "web", "hourly"), ("wms_bins", "bins", "wms", "lake", "", "hourly"),
+             ("wms_bins", "bins", "wms", "vault", "stock", "weekly")]
+    path.write_text("\n".join("|".join(line) for line in [METRIC_MAPPING.names, *lines]) + "\n")
+    read = lambda *wanted: rows(read_metric_mapping(spark, str(path), *wanted))
+    assert read("hourly") == lines[:2] and read() == lines and read("yearly") == []
+    assert read("hourly", "wms_bins") == [lines[1]] and read(None, "wms_bins") == lines[1:]
+    assert read("hourly", "WMS_BINS") == []
 
 
 def test_run_variables():
@@ -67,33 +70,57 @@ def test_run_variables():
 
 
 def test_stored_query(spark, tmp_path):
-    (tmp_path / "tbalances.hql").write_text(
-        "SELECT ${as_of_date} AS a,\n  ${next_ingest_date} AS n, :prev_ingest_date AS p;\n")
-    found = run_stored_query(spark, str(tmp_path), "tBalances", "2023-01-10")
-    assert rows(found) == [("2023-01-10", "2023-01-11 09:00:00", "2023-01-09")]
+    (tmp_path / "visits.hql").write_text(
+        "SELECT ${as_of_date} AS a, -- the day\n  ${next_ingest_date} AS n, :prev_ingest_date AS p, 'a''b' AS q;\n")
+    found = run_stored_query(spark, str(tmp_path), "Visits", "2023-01-10")
+    assert rows(found) == [("2023-01-10", "2023-01-11 09:00:00", "2023-01-09", "a'b")]
+
+
+@pytest.mark.parametrize("text, told", [
+    ("SELECT '${as_of_date}'", "inside quotes"), ('SELECT "day ${as_of_date}"', "inside quotes"),
+    ("SELECT 1 WHERE d LIKE '%${prev_ingest_date}'", "inside quotes"), ("SELECT ${run_date}", "run_date"),
+    ("SELECT ${}", "unknown"),
+])
+def test_stored_query_refuses_what_it_cannot_fill(spark, tmp_path, text, told):
+    (tmp_path / "t.hql").write_text(text)
+    with pytest.raises(ValueError, match=told):
+        run_stored_query(spark, str(tmp_path), "t", "2023-01-10")
+
+
+@pytest.mark.parametrize("names", [(), ("a", "b")])
+def test_stored_query_is_one_file(spark, tmp_path, names):
+    (tmp_path / "t.hql").mkdir()
+    for name in names:
+        (tmp_path / "t.hql" / name).write_text("SELECT 1")
+    with pytest.raises(ValueError, match="one file"):
+        run_stored_query(spark, str(tmp_path), "t", "2023-01-10")
 
 
 def test_ingest_and_rerun(spark, root, ingestion_file):
     for _ in range(2):
         counts = ingest_domain(
-            spark, read_ingestion_mapping(spark, ingestion_file, "account"),
+            spark, read_ingestion_mapping(spark, ingestion_file, "traffic"),
             lambda target: spark.range(7).withColumn("t", F.lit(target)),
-            root, "account", D3, RUN_TS, files=2,
+            root, "traffic", D3, RUN_TS, files=2,
         )
     ingest_domain(
-        spark, read_ingestion_mapping(spark, ingestion_file, "transaction"),
-        lambda target: spark.range(7).where("id > 10"), root, "transaction", D3, RUN_TS,
+        spark, read_ingestion_mapping(spark, ingestion_file, "storage"),
+        lambda target: spark.range(7).where("id > 10"), root, "storage", D3, RUN_TS,
     )
-    stored = spark.read.schema(TRANSFORM_COUNTS).parquet(f"{root}/lake/metrics/transform_counts")
+    lake, vault = (spark.read.schema(TRANSFORM_COUNTS).parquet(f"{root}/{db}/metrics/transform_counts")
+                   for db in ("lake", "vault"))
+    stored = lake.unionByName(vault)
     assert counts.schema.names == stored.schema.names == TRANSFORM_COUNTS.names
-    zeros = (0, 0, 0)
     moment = dt.datetime(2023, 1, 11, 6)
-    assert rows(stored.orderBy("dest_tbl")) == sorted([
-        ("upstream", "act_src", 7, *zeros, "lake", 7, 7, 0, 0, 0, 0, 0, moment, " ", D3, "tBalances"),
-        ("upstream", "txn_src", 0, *zeros, "lake", 0, 0, 0, 0, 0, 0, 0, moment, " ", D3, "ttransactions"),
-    ])
-    data = spark.read.parquet(f"{root}/lake/Accounts/tBalances")
-    assert rows(data.groupBy("as_of_date", "t").count()) == [(D3, "tBalances", 7)]
+
+    def line(source, table, database, size, name):
+        return (source, table, size, 0, 0, 0, database, size, size, 0, 0, 0, 0, 0, moment, " ", D3, name)
+
+    assert rows(stored) == sorted([
+        line("crm", "crm_visits", "lake", 7, "Visits"), line("crm", "crm_visits_old", "vault", 7, "Visits"),
+        line("wms", "wms_bins", "lake", 0, "bins")])
+    data = spark.read.parquet(f"{root}/vault/web/Visits")
+    assert rows(data.groupBy("as_of_date", "t").count()) == [(D3, "Visits", 7)]
 
 
 def test_many_tables_side_by_side(spark, root):
@@ -107,36 +134,47 @@ def test_many_tables_side_by_side(spark, root):
     def broken(target):
         return spark.table("no_such_table") if target == "t3" else spark.range(20)
 
-    with pytest.raises(AnalysisException):
+    with pytest.raises(IngestionError, match="lake.t3") as caught:
         ingest_domain(spark, mapping, broken, root, "d", D3, RUN_TS)
+    assert set(caught.value.failed) == {"lake.t3"}
+    # The others are done and recorded; the failed one keeps its snapshot and its row.
     stored = spark.read.schema(TRANSFORM_COUNTS).parquet(f"{root}/lake/metrics/transform_counts")
-    assert rows(stored, "src_count") == [(i,) for i in range(9)]
+    assert rows(stored, "dest_tbl", "src_count") == [(n, 3 if n == "t3" else 20) for n in names]
     assert spark.read.parquet(f"{root}/lake/F/t3").count() == 3
+    assert spark.read.parquet(f"{root}/lake/F/t4").count() == 20
+
+
+def test_targets_mapped_twice_are_refused(spark, root, tmp_path):
+    mapping = spark.createDataFrame(
+        [("a", "t", "F", "up", "lake", "d"), ("b", "t", "F", "up", "lake", "d")], INGESTION_MAPPING)
+    with pytest.raises(ValueError, match="lake.F.t"):
+        ingest_domain(spark, mapping, lambda target: spark.range(1), root, "d", D3, RUN_TS)
+    assert not (tmp_path / "lake").exists()
 
 
 @pytest.mark.parametrize("key_type", ["DATE", "STRING"])
 def test_ingest_into_a_catalog_table(spark, root, ingestion_file, key_type):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS lake LOCATION '{root}/catalog'")
     spark.sql(
-        f"CREATE TABLE lake.tBalances (id BIGINT, as_of_date {key_type}) USING parquet "
-        f"PARTITIONED BY (as_of_date) LOCATION '{root}/lake/Accounts/tBalances'"
+        f"CREATE TABLE lake.bins (id BIGINT, as_of_date {key_type}) USING parquet "
+        f"PARTITIONED BY (as_of_date) LOCATION '{root}/lake/stock/now/bins'"
     )
-    mapping = read_ingestion_mapping(spark, ingestion_file, "account")
+    mapping = read_ingestion_mapping(spark, ingestion_file, "storage")
     for day, size in ((D1, 7), (D3, 3), (D3, 5)):
         counts = ingest_domain(
-            spark, mapping, lambda target: spark.range(size), root, "account", day, RUN_TS,
+            spark, mapping, lambda target: spark.range(size), root, "storage", day, RUN_TS,
             register=True,
         )
         assert rows(counts, "src_count", "dest_count") == [(size, size)]
-    table = spark.table("lake.tBalances")
-    assert rows(stored_counts(table, "t")) == [("t", D1, 7), ("t", D3, 5)]
-    assert previous_snapshot_date(table, D3) == D1
+    table = spark.table("lake.bins")
+    assert rows(stored_counts(table, "lake", "t")) == [("lake", "t", D1, 7), ("lake", "t", D3, 5)]
+    assert previous_snapshot_dates({"t": table}, D3) == {"t": D1}
     checked = null_check(
         table, [QualityRule("t", ("id",))], table="t", source_type="lake", run_ts=RUN_TS, as_of=D3)
     assert rows(checked, "as_of_date", "null_count") == [(D3, 0)]
     plan = checked._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(as_of_date" in plan and "cast(as_of_date" not in plan
-    spark.sql("DROP TABLE lake.tBalances")
+    spark.sql("DROP TABLE lake.bins")
     spark.sql("DROP DATABASE lake")
 
 
@@ -150,65 +188,92 @@ def test_previous_snapshot(spark):
     assert rows(previous_snapshot(df, D3)) == [(D3, D1)]
     assert rows(previous_snapshot(df, D2)) == [(D2, D1)]
     assert rows(previous_snapshot(df, D1)) == [(D1, None)]
-    assert rows(previous_snapshots(df.withColumn("dest_tbl", F.lit("t")))) == [
-        ("t", D1, None), ("t", D3, D1)]
+    named = df.withColumns({"dest_db": F.lit("d"), "dest_tbl": F.lit("t")})
+    assert rows(previous_snapshots(named)) == [("d", "t", D1, None), ("d", "t", D3, D1)]
 
 
 @pytest.mark.parametrize("gap", [1, 2, 7, 8, 100, 101, 4000])
 def test_previous_date_however_long_ago(spark, gap):
     df = history(spark, D3, D3 - dt.timedelta(days=gap))
-    assert previous_snapshot_date(df, D3) == D3 - dt.timedelta(days=gap)
-    assert previous_snapshot_date(df, D3 - dt.timedelta(days=gap)) is None
+    assert previous_snapshot_dates({"t": df}, D3) == {"t": D3 - dt.timedelta(days=gap)}
+    assert previous_snapshot_dates({"t": df}, D3 - dt.timedelta(days=gap)) == {"t": None}
+
+
+def test_previous_dates_of_many_tables_take_two_jobs(spark):
+    tables = {("db", n): history(spark, D3, D3 - dt.timedelta(days=30 * n)) for n in range(1, 9)}
+    spark.sparkContext.setJobGroup("previous dates", "")
+    found = previous_snapshot_dates(tables, D3)
+    tracker = spark.sparkContext.statusTracker()
+    jobs = len(tracker.getJobIdsForGroup("previous dates"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found == {("db", n): D3 - dt.timedelta(days=30 * n) for n in range(1, 9)}
+    assert jobs <= 2 * 9  # stages of one union each, run together
+    assert previous_snapshot_dates({}, D3) == {}
+
+
+TARGET_DATE = "dest_db string, dest_tbl string, as_of_date date"
 
 
-def counts_of(spark, *keys):
+def counts_of(spark, *keys, stored_only=()):
+    named = {k[:2] for k in (*keys, *stored_only)}
     mapping = spark.createDataFrame(
-        [(f"{t}_src", t, "F", "up", "lake", "d") for t in {t for t, _ in keys}], INGESTION_MAPPING)
-    produced = spark.createDataFrame(
-        [(t, day, 5) for t, day in keys], "dest_tbl string, as_of_date date, src_count long")
+        [(f"{t}_of_{db}", t, "F", "up", db, "d") for db, t in named], INGESTION_MAPPING)
+    produced = spark.createDataFrame([(*k, 5) for k in keys], f"{TARGET_DATE}, src_count long")
     stored = spark.createDataFrame(
-        [(t, day, 4) for t, day in keys if day != D2], "dest_tbl string, as_of_date date, dest_count long")
+        [(*k, 4) for k in (*keys, *stored_only) if k[2] != D2], f"{TARGET_DATE}, dest_count long")
     return transform_counts(produced, stored, mapping, RUN_TS)
 
 
 def test_counts_differ_where_rows_are_missing(spark):
-    found = counts_of(spark, ("a", D1), ("a", D2))
-    assert rows(found, "as_of_date", "src_count", "dest_count", "dest_add") == [(D1, 5, 4, 4), (D2, 5, 0, 0)]
+    found = counts_of(spark, ("x", "a", D1), ("x", "a", D2), stored_only=[("x", "a", D3)])
+    assert rows(found, "as_of_date", "src_count", "dest_count", "dest_add") == [
+        (D1, 5, 4, 4), (D2, 5, 0, 0), (D3, 0, 4, 4)]
+
+
+def test_one_name_in_two_databases(spark):
+    found = counts_of(spark, ("x", "a", D1), ("y", "a", D1), ("x", "b", D1))
+    assert rows(found, "dest_db", "dest_tbl", "src_tbl") == [
+        ("x", "a", "a_of_x"), ("x", "b", "b_of_x"), ("y", "a", "a_of_y")]
+
+
+def test_unmapped_tables_are_refused(spark):
+    produced = spark.createDataFrame([("x", "lost", D1, 5)], f"{TARGET_DATE}, src_count long")
+    stored = spark.createDataFrame([], f"{TARGET_DATE}, dest_count long")
+    mapping = spark.createDataFrame([("s", "lost", "F", "up", "y", "d")], INGESTION_MAPPING)
+    with pytest.raises(PySparkException, match="x.lost"):
+        transform_counts(produced, stored, mapping, RUN_TS).collect()
 
 
 def test_stored_counts_of_every_date(spark):
-    assert rows(stored_counts(history(spark, D1, D3), "t")) == [("t", D1, 2), ("t", D3, 2)]
+    assert rows(stored_counts(history(spark, D1, D3), "x", "t")) == [("x", "t", D1, 2), ("x", "t", D3, 2)]
 
 
 def test_counts_replace_only_their_partition(spark, root):
-    keys = [("a", D1), ("b", D1)]
-    write_transform_counts(counts_of(spark, *keys), root, [D1], ["a", "b"])
-    write_transform_counts(counts_of(spark, ("a", D1)), root, [D1], ["a"])
-    write_transform_counts(counts_of(spark, ("a", D2)), root, [D2], ["a"])
+    write_transform_counts(counts_of(spark, ("x", "a", D1), ("x", "b", D1)), root, [D1], ["a", "b"])
+    write_transform_counts(counts_of(spark, ("x", "a", D1)), root, [D1], ["a"])
+    write_transform_counts(counts_of(spark, ("x", "a", D2)), root, [D2], ["a"])
     stored = spark.read.schema(TRANSFORM_COUNTS).parquet(root)
     assert rows(stored, "as_of_date", "dest_tbl") == [(D1, "a"), (D1, "b"), (D2, "a")]
 
 
 def test_report(spark, root, tmp_path):
-    counts = counts_of(spark, ("a", D3), ("b", D3), ("c", D3), ("a", D1))
+    counts = counts_of(spark, ("x", "a", D3), ("y", "a", D3), ("x", "c", D3), ("x", "a", D1))
     mapping = spark.createDataFrame(
-        [("a_src", "a", "up", "lake", "F", "n"), ("b_src", "b", "up", "lake", "F", "n")], METRIC_MAPPING)
-    snapshots = {"a": history(spark, D1, D3), "b": history(spark, D3)}
-    path = report_batch(counts, snapshots, mapping, root, "nightly", D3)
-    assert path == f"{root}/as_of_date=2023-01-10/nightly"
+        [("a_of_x", "a", "up", "x", "F", "n"), ("a_of_y", "a", "up", "y", "F", "n")], METRIC_MAPPING)
+    snapshots = {("x", "a"): history(spark, D1, D3), ("y", "a"): history(spark, D3)}
+    path = report_batch(counts, snapshots, mapping, root, "hourly", D3)
+    assert path == f"{root}/as_of_date=2023-01-10/hourly"
     files = list((tmp_path / "lake").rglob("part-*"))
     assert len([f for f in files if f.suffix == ".csv"]) == 1
-    tail = "|5|0|0|0|lake|{t}|4|4|0|0|0|0|0|2023-01-11 06:00:00|0|4|{y}|4"
+    line = "2023-01-10|up|a_of_{d}|5|0|0|0|{d}|a|4|4|0|0|0|0|0|2023-01-11 06:00:00|0|4|{y}|4"
     assert rows(spark.read.text(path)) == [
-        ("2023-01-10|up|a_src" + tail.format(t="a", y="2023-01-08"),),
-        ("2023-01-10|up|b_src" + tail.format(t="b", y="NULL"),),
-    ]
+        (line.format(d="x", y="2023-01-08"),), (line.format(d="y", y="NULL"),)]
 
 
 def test_report_columns(spark):
-    previous = spark.createDataFrame([], "dest_tbl string, as_of_date date, yest_ingest_dt date")
-    mapping = spark.createDataFrame([("a_src", "a", "up", "lake", "F", "n")] * 2, METRIC_MAPPING)
-    report = metrics_export(counts_of(spark, ("a", D1)), previous, mapping)
+    previous = spark.createDataFrame([], f"{TARGET_DATE}, yest_ingest_dt date")
+    mapping = spark.createDataFrame([("a_of_x", "a", "up", "x", "F", "n")] * 2, METRIC_MAPPING)
+    report = metrics_export(counts_of(spark, ("x", "a", D1)), previous, mapping)
     assert tuple(report.columns) == EXPORT_COLUMNS and len(EXPORT_COLUMNS) == 21
     assert report.count() == 1
 
@@ -233,15 +298,22 @@ def test_error_export_is_not_repeated(spark, root):
         export_errors(errors(spark, *details), root, [D3], "transaction", ["t", "u"])
     assert export_errors(errors(spark, "x"), root, [D2], "transaction", ["t"]) == 0
     assert export_errors(errors(spark, "x"), root, [D3], "account", ["u"]) == 0
+    with pytest.raises(ValueError, match="third"):
+        export_errors(errors(spark, "x"), root, [D3], "third", ["t"])
     lines = [row.value for row in spark.read.text(root).collect()]
     assert lines == ["2023-01-10|INFO|2000|lake|t|DUP_ERROR:k|2|c|2023-01-11 06:00:00"]
 
 
-LINES = ["an Error here", "ERROR: shouted", "NOTE: then Exception", "plain", "WARN Error", ""]
+LOG = ["an Error here", "ERROR: shouted", "NOTE: then Exception", "plain", "WARN Error", ""]
+
+
+def test_a_domain_may_bring_its_code(spark, root):
+    assert export_errors(errors(spark, "c"), root, [D3], "third", ["t"], code="9001") == 1
+    assert spark.read.text(root).first().value.startswith("2023-01-10|INFO|9001|lake|t|")
 
 
 def test_log_lines(spark, root):
-    log = spark.createDataFrame([(line,) for line in LINES], "value string")
+    log = spark.createDataFrame([(line,) for line in LOG], "value string")
     found = classify_log(log, D3, "account", "data_ingestion")
     head = "2023-01-10|INFO|99|account|account_data_ingestion|"
     assert rows(found) == sorted([

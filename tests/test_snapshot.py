@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tidemark.operators import stored_counts
 from tidemark.plans import replace_snapshot, replace_snapshots
-from tidemark.sinks import partition_path, replace_partition
-from tidemark.sources import read_history, read_snapshot, register_partition
+from tidemark.sinks import replace_partition, replace_partitions
+from tidemark.sources import read_history, read_snapshot, read_snapshots, register_partitions
 
 D1, D2 = dt.date(2024, 1, 14), dt.date(2024, 1, 15)
 SCHEMA = "id long, name string, as_of_date date"
@@ -94,15 +94,36 @@ def test_unwritten_date_reads_as_empty(spark, root):
     replace_snapshot(frame(spark, 1), root, D1)
     missing = read_snapshot(spark, root, D2, schema(spark))
     assert missing.count() == 0 and missing.columns == ["id", "name", "as_of_date"]
-    assert rows(stored_counts(missing, "t", D2)) == [("t", D2, 0)]
+    assert rows(stored_counts(missing, "x", "t", D2)) == [("x", "t", D2, 0)]
 
 
 def test_names_of_partition_directories(spark, root, tmp_path):
     name = "a/b:c=d 100%"
     assert replace_partition(frame(spark, 1), root, {"k": name}) == 1
     assert replace_partition(frame(spark).where("id > 1"), root, {"k": name}) == 0
-    assert spark.read.parquet(root).count() == 0
-    assert [p.name for p in (tmp_path / "lake").glob("k=*")] == [partition_path("", ["k"], [name])[1:]]
+    folders = [p for p in (tmp_path / "lake").glob("k=*")]
+    assert len(folders) == 1 and not list(folders[0].iterdir())
+
+
+@pytest.mark.parametrize("value", [None, ""])
+def test_null_and_empty_keys_are_refused(spark, root, value):
+    with pytest.raises(ValueError, match="null or empty"):
+        replace_partition(frame(spark, 1), root, {"k": value})
+    with pytest.raises(ValueError, match="null or empty"):
+        replace_partitions(frame(spark, 1).withColumn("k", F.lit("a")), root, {"k": ["a", value]})
+    null_key = frame(spark, 1).withColumn("k", F.lit(value).cast("string"))
+    with pytest.raises(PySparkException, match="outside the partitions"):
+        replace_partitions(null_key, root, {"k": ["a"]})
+
+
+def test_several_snapshots_in_one_scan(spark, root):
+    days = [D1, D2]
+    assert read_snapshots(spark, root, days, schema(spark)).count() == 0
+    replace_snapshot(frame(spark, 1), root, D1)
+    replace_snapshot(frame(spark, 2, 3), root, D2)
+    found = read_snapshots(spark, root, days, schema(spark))
+    assert rows(found, "id") == [(1,), (2,), (3,)]
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
 
 
 def test_written_date_becomes_visible_in_a_catalog_table(spark, root):
@@ -112,7 +133,7 @@ def test_written_date_becomes_visible_in_a_catalog_table(spark, root):
     )
     replace_snapshot(frame(spark, 1, 2), root, D1)
     for _ in range(2):
-        register_partition(spark, "visible", D1)
+        register_partitions(spark, "visible", [D1, D2])
     spark.catalog.refreshTable("visible")
     assert spark.table("visible").where(F.col("as_of_date") == F.lit(D1)).count() == 2
     spark.sql("DROP TABLE visible")
@@ -120,7 +141,7 @@ def test_written_date_becomes_visible_in_a_catalog_table(spark, root):
 
 def test_stored_count_reads_no_data_column(spark, root):
     replace_snapshot(frame(spark, 1, 2), root, D1)
-    counted = stored_counts(read_snapshot(spark, root, D1, schema(spark)), "t", D1)
+    counted = stored_counts(read_snapshot(spark, root, D1, schema(spark)), "x", "t", D1)
     plan = counted._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<>" in plan and "PartitionFilters: [isnotnull(as_of_date" in plan
 

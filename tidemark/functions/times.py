@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,18 +46,19 @@ def wall_clock(value: Column | dt.datetime | str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
-def status_time(column: Column) -> Column:
-    """Parse a status time; "no time" and malformed text become NULL.
+# Forms a status time may have besides the standard one: the basic form, a day in front.
+STATUS_PATTERNS = ("yyyyMMdd'T'HHmmss", "yyyyMMdd", "M/d/yyyy HH:mm[:ss]", "M/d/yyyy",
+                   "yyyy-MM-dd'T'HH.mm.ss[.SSS]")
 
-    The date is the one written in the text, whatever the session zone.
-    """
-    return F.nullif(column.cast("string"), F.lit(NOT_AVAILABLE)).try_cast("timestamp_ntz")
 
+def status_time(column: Column, patterns: Sequence[str] = STATUS_PATTERNS) -> Column:
+    """Parse a status time; "no time" and text of no known form become NULL.
 
-def stored_as_of(column: Column) -> Column:
-    """Parse the ``as_of_date`` of a status record, written with dots or colons."""
-    dotted = F.try_to_timestamp(column, F.lit("yyyy-MM-dd'T'HH.mm.ss.SSS"))
-    return F.coalesce(status_time(column), dotted.cast("timestamp_ntz"))
+    The date is the one written in the text, whatever the session zone.
+    """
+    text = F.nullif(column.cast("string"), F.lit(NOT_AVAILABLE))
+    others = [F.try_to_timestamp(text, F.lit(p)).cast("timestamp_ntz") for p in patterns]
+    return F.coalesce(text.try_cast("timestamp_ntz"), *others)
 
 
 def next_ingest_at(day: Column) -> Column:
@@ -68,10 +70,6 @@ def previous_day(day: Column) -> Column:
     return F.date_sub(day, 1)
 
 
-def following_day(day: Column) -> Column:
-    return F.date_add(day, 1)
-
-
 def local_time_of_day(now_utc: Column, zone: str = CUT_OFF_ZONE) -> Column:
     """``HH:mm:ss`` of a UTC moment in a zone, daylight saving included."""
     local = F.convert_timezone(F.lit("UTC"), F.lit(zone), now_utc.cast("timestamp_ntz"))

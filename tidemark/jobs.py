@@ -9,11 +9,12 @@ import argparse
 import datetime as dt
 import sys
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.times import as_date
-from tidemark.operators import READY, WAIT, classify_log
+from tidemark.operators import READY, WAIT, classify_log, error_code
 from tidemark.plans import (
     check_domain, check_quality, export_errors, ingest_domain, publish_status, report_batch,
 )
@@ -21,7 +22,7 @@ from tidemark.schemas import SQL_ERRORS, TRANSFORM_COUNTS
 from tidemark.sinks import write_lines
 from tidemark.sources import (
     layout, quality_rules, read_ingestion_mapping, read_log, read_metric_mapping,
-    read_rule_mapping, read_status, run_stored_query,
+    read_or_nothing, read_rule_mapping, read_status, run_stored_query,
 )
 
 
@@ -35,6 +36,8 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def quality(spark: SparkSession, args: argparse.Namespace) -> int:
+    # Known before anything is written.
+    code = (args.code or error_code(args.domain)) if args.out else None
     rules = read_rule_mapping(spark, args.mapping, args.domain)
     check_quality(
         rules, lambda table: spark.table(f"{args.database}.{table}"),
@@ -42,24 +45,25 @@ def quality(spark: SparkSession, args: argparse.Namespace) -> int:
     )
     tables = {rule.table for rule in quality_rules(rules)}
     if args.out and tables:
-        errors = spark.read.schema(SQL_ERRORS).parquet(
-            layout.sql_errors_root(args.root, args.database)
-        )
-        export_errors(errors, args.out, [args.as_of], args.domain, sorted(tables))
+        errors = read_or_nothing(spark, layout.sql_errors_root(args.root, args.database), SQL_ERRORS)
+        export_errors(errors, args.out, [args.as_of], args.domain, sorted(tables), code)
     return 0
 
 
 def metrics(spark: SparkSession, args: argparse.Namespace) -> int:
     mapping = read_metric_mapping(spark, args.mapping, args.batch, args.table)
     snapshots = {
-        row.target_table: spark.table(f"{row.target_database}.{row.target_table}")
+        (row.target_database, row.target_table):
+            spark.table(f"{row.target_database}.{row.target_table}")
         for row in mapping.collect()
     }
     if not snapshots:
         return 0
-    counts = spark.read.schema(TRANSFORM_COUNTS).parquet(
-        layout.transform_counts_root(args.root, args.database)
-    )
+    # Every database stores the counts of its own tables.
+    counts = reduce(DataFrame.unionByName, [
+        read_or_nothing(spark, layout.transform_counts_root(args.root, database), TRANSFORM_COUNTS)
+        for database in sorted({database for database, _ in snapshots})
+    ])
     report_batch(counts, snapshots, mapping, args.out, args.batch, args.as_of)
     return 0
 
@@ -70,7 +74,7 @@ def freshness(spark: SparkSession, args: argparse.Namespace) -> int:
     verdict = check_domain(status, args.out, args.domain, args.as_of, args.now)
     if verdict == READY:
         root = layout.table_status_root(args.root, args.database)
-        publish_status(status, root, args.domain, args.as_of)
+        publish_status(status, root, args.as_of, args.domain)
         return 0
     return 2 if verdict == WAIT else 1
 
@@ -106,9 +110,10 @@ def parser() -> argparse.ArgumentParser:
 
     added = job(quality, "root", "mapping", "database", "domain")
     added.add_argument("--out")
+    added.add_argument("--code")
     added.add_argument("--run-ts", default=stamp)
 
-    added = job(metrics, "root", "mapping", "database", "batch", "out")
+    added = job(metrics, "root", "mapping", "batch", "out")
     added.add_argument("--table")
 
     added = job(freshness, "root", "status", "database", "domain", "out")

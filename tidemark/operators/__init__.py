@@ -5,7 +5,7 @@ from tidemark.operators.freshness import (
 from tidemark.operators.metrics_export import metrics_export
 from tidemark.operators.null_check import null_check
 from tidemark.operators.previous_snapshot import (
-    previous_snapshot, previous_snapshot_date, previous_snapshots,
+    previous_snapshot, previous_snapshot_dates, previous_snapshots,
 )
 from tidemark.operators.reconcile import stored_counts, transform_counts
 from tidemark.operators.text_lines import classify_log, error_code, error_lines
@@ -13,6 +13,6 @@ from tidemark.operators.text_lines import classify_log, error_code, error_lines
 __all__ = [
     "FAILED", "READY", "WAIT", "classify_freshness", "classify_log", "duplicate_check",
     "error_code", "error_lines", "metrics_export", "null_check", "previous_snapshot",
-    "previous_snapshot_date", "previous_snapshots", "readiness", "status_summary",
+    "previous_snapshot_dates", "previous_snapshots", "readiness", "status_summary",
     "stored_counts", "transform_counts", "verdict",
 ]

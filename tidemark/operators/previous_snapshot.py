@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import as_date, day_in
+from tidemark.operators.reconcile import TARGET
+
+K = TypeVar("K")
 
 
 def previous_snapshot(df: DataFrame, as_of: dt.date | str) -> DataFrame:
@@ -19,30 +25,42 @@ def previous_snapshot(df: DataFrame, as_of: dt.date | str) -> DataFrame:
     )
 
 
-def previous_snapshot_date(
-    df: DataFrame, as_of: dt.date | str, probe_days: int = 7, window_days: int = 100
-) -> dt.date | None:
-    """The same as a date, reading as little history as possible.
+def previous_snapshot_dates(
+    tables: Mapping[K, DataFrame], as_of: dt.date | str, window_days: int = 100
+) -> dict[K, dt.date | None]:
+    """The latest earlier date with rows of every table: one job for all of them.
 
-    The last days are probed one by one, which takes a single row of the partition
-    found. Only when they hold nothing is the latest date looked for in a window, and
-    after that in the whole history.
+    Only partitions of the last ``window_days`` are read; tables that hold nothing there
+    share a second job over their older ones.
     """
     day = as_date(as_of)
-    for back in range(1, probe_days + 1):
-        earlier = day - dt.timedelta(days=back)
-        if not df.where(F.col("as_of_date") == day_in(df, earlier)).isEmpty():
-            return earlier
-    start = day_in(df, day - dt.timedelta(days=window_days))
-    recent = previous_snapshot(df.where(F.col("as_of_date") >= start), day).first()
-    return recent["yest_ingest_dt"] or previous_snapshot(df, day).first()["yest_ingest_dt"]
+    start = day - dt.timedelta(days=window_days)
+    found = _latest(tables, start, day)
+    older = {key: df for key, df in tables.items() if found[key] is None}
+    return found | _latest(older, None, start)
+
+
+def _latest(
+    tables: Mapping[K, DataFrame], start: dt.date | None, end: dt.date
+) -> dict[K, dt.date | None]:
+    """Latest date from ``start`` up to but not including ``end``."""
+    parts = []
+    for n, df in enumerate(tables.values()):
+        dates = df.where(F.col("as_of_date") < day_in(df, end))
+        if start is not None:
+            dates = dates.where(F.col("as_of_date") >= day_in(df, start))
+        parts.append(dates.agg(F.max("as_of_date").cast("date").alias("day")).select(
+            F.lit(n).alias("n"), "day"))
+    rows = reduce(DataFrame.unionByName, parts).collect() if parts else []
+    days = {row["n"]: row["day"] for row in rows}
+    return {key: days[n] for n, key in enumerate(tables)}
 
 
-def previous_snapshots(df: DataFrame, table_column: str = "dest_tbl") -> DataFrame:
+def previous_snapshots(df: DataFrame, table_columns: Sequence[str] = TARGET) -> DataFrame:
     """For every snapshot of every table its predecessor, NULL for the first.
 
     Rows are reduced to one per table and date before the window is applied.
     """
-    order = Window.partitionBy(table_column).orderBy("as_of_date")
-    dates = df.select(table_column, "as_of_date").distinct()
+    order = Window.partitionBy(*table_columns).orderBy("as_of_date")
+    dates = df.select(*table_columns, "as_of_date").distinct()
     return dates.withColumn("yest_ingest_dt", F.lag("as_of_date").over(order))

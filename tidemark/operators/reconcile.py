@@ -14,10 +14,13 @@ from tidemark.functions.times import day_in, timestamp
 NO_ERROR = " "
 
 
+TARGET = ("dest_db", "dest_tbl")
+
+
 def stored_counts(
-    df: DataFrame, table: str, as_of: dt.date | str | None = None
+    df: DataFrame, database: str, table: str, as_of: dt.date | str | None = None
 ) -> DataFrame:
-    """Rows per snapshot as (dest_tbl, as_of_date, dest_count).
+    """Rows per snapshot as (dest_db, dest_tbl, as_of_date, dest_count).
 
     One row for ``as_of``, 0 when nothing is stored; one per date in ``df`` otherwise.
     Reads no column but the partition key, so row counts come from file footers.
@@ -29,34 +32,42 @@ def stored_counts(
         day = day_in(df, as_of)
         counted = df.where(F.col("as_of_date") == day).agg(size).withColumn("as_of_date", day)
     return counted.select(
-        F.lit(table).alias("dest_tbl"), F.col("as_of_date").cast("date"), "dest_count"
+        F.lit(database).alias("dest_db"), F.lit(table).alias("dest_tbl"),
+        F.col("as_of_date").cast("date"), "dest_count",
     )
 
 
 def transform_counts(
     produced: DataFrame, stored: DataFrame, mapping: DataFrame, run_ts: dt.datetime | str
 ) -> DataFrame:
-    """One metric row per mapped table and date.
+    """One metric row per target table and date, produced or stored.
 
-    ``produced`` holds (dest_tbl, as_of_date, src_count), ``stored`` what
-    :func:`stored_counts` returns, ``mapping`` ingestion mapping rows. The inputs hold
-    one row per table and date, never data rows. Every stored row counts as added;
-    edits and deletes are not tracked and stay 0.
+    ``produced`` holds (dest_db, dest_tbl, as_of_date, src_count), ``stored`` what
+    :func:`stored_counts` returns, ``mapping`` ingestion mapping rows, one per target. A
+    date on one side only counts 0 on the other; a target that no mapping names fails the
+    job. The inputs hold one row per table and date, never data rows. Every stored row
+    counts as added; edits and deletes are not tracked and stay 0.
     """
     names = mapping.select(
         F.col("source_database").alias("src_db"),
         F.col("source_table").alias("src_tbl"),
         F.col("target_database").alias("dest_db"),
         F.col("target_table").alias("dest_tbl"),
+        F.lit(True).alias("is_mapped"),
     )
-    stored_rows = F.coalesce("dest_count", F.lit(0)).cast("long")
+    unmapped = F.raise_error(F.concat(
+        F.lit("no mapping names the table "), F.concat_ws(".", *TARGET)))
     untracked = F.lit(0).cast("long")
     counted = (
-        produced.join(names, "dest_tbl")
-        .join(stored, ["dest_tbl", "as_of_date"], "left")
+        produced.join(stored, [*TARGET, "as_of_date"], "full")
+        .join(names, [*TARGET], "left")
+        .withColumns({
+            "src_count": F.when(F.col("is_mapped"), F.coalesce("src_count", untracked))
+            .otherwise(unmapped),
+            "dest_count": F.coalesce("dest_count", untracked),
+        })
         .withColumns({
-            "dest_count": stored_rows,
-            "dest_add": stored_rows,
+            "dest_add": F.col("dest_count"),
             "lst_updt_ts": timestamp(run_ts),
             "error_msg": F.lit(NO_ERROR),
         })

@@ -1,12 +1,12 @@
 from tidemark.plans.ingestion import (
-    ingest_domain, replace_snapshot, replace_snapshots, write_transform_counts,
+    IngestionError, ingest_domain, replace_snapshot, replace_snapshots, write_transform_counts,
 )
 from tidemark.plans.metrics import report_batch
 from tidemark.plans.quality import check_quality, export_errors, run_quality, write_errors
-from tidemark.plans.readiness import check_domain, publish_status, write_list
+from tidemark.plans.readiness import check_domain, check_domains, publish_status, write_lists
 
 __all__ = [
-    "check_domain", "check_quality", "export_errors", "ingest_domain", "publish_status", "replace_snapshot",
-    "replace_snapshots", "report_batch", "run_quality", "write_errors", "write_list",
-    "write_transform_counts",
+    "IngestionError", "check_domain", "check_domains", "check_quality", "export_errors",
+    "ingest_domain", "publish_status", "replace_snapshot", "replace_snapshots", "report_batch",
+    "run_quality", "write_errors", "write_lists", "write_transform_counts",
 ]

@@ -3,20 +3,28 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.functions.times import as_date
 from tidemark.operators.reconcile import stored_counts, transform_counts
 from tidemark.sinks.partitions import replace_partition, replace_partitions
 from tidemark.sources import layout
 from tidemark.sources.mappings import mapped_tables
-from tidemark.sources.snapshots import read_snapshot, register_partition
+from tidemark.sources.snapshots import read_snapshot, register_partitions
+
+
+class IngestionError(Exception):
+    """Tables that could not be ingested, by name, with the error of each."""
+
+    def __init__(self, failed: Mapping[str, Exception]) -> None:
+        told = "; ".join(f"{name}: {error}" for name, error in sorted(failed.items()))
+        super().__init__(f"{len(failed)} tables failed: {told}")
+        self.failed = dict(failed)
 
 
 def replace_snapshot(
@@ -56,7 +64,7 @@ def write_transform_counts(
 ) -> int:
     """Replace the metric rows of the given dates and tables."""
     return replace_partitions(
-        counts, root, {"as_of_date": [as_date(day) for day in days], "dest_tbl": tables}
+        counts.hint("rebalance", "as_of_date", "dest_tbl"), root, {"as_of_date": [as_date(day) for day in days], "dest_tbl": tables}
     )
 
 
@@ -76,10 +84,19 @@ def ingest_domain(
 
     ``query`` gives the rows of a target table; each table is one write job, some of
     which run side by side. With ``register`` the targets are catalog tables over their
-    paths: the date is added to them and counted through them. Returns the metric rows.
+    paths: the date is added to them and counted through them. Targets named twice are
+    refused before anything is written.
+
+    The metric row of a table is stored as soon as the table is done. A table that fails keeps
+    its old snapshot and metric row and does not stop the others; :class:`IngestionError` names
+    all that failed. Returns the metric rows.
     """
     day = as_date(as_of)
     tables = mapped_tables(mapping, domain)
+    named = [(row.target_database, row.target_folder, row.target_table) for row in tables]
+    twice = sorted({".".join(target) for target in named if named.count(target) > 1})
+    if twice:
+        raise ValueError(f"mapped more than once: {', '.join(twice)}")
 
     def ingest(row: Row) -> tuple[int, DataFrame]:
         target = layout.snapshot_root(
@@ -89,27 +106,34 @@ def ingest_domain(
         size = replace_snapshot(df, target, day, files)
         if register:
             name = f"{row.target_database}.{row.target_table}"
-            register_partition(spark, name, day)
+            register_partitions(spark, name, [day])
             readable = spark.table(name)
         else:
             schema = df.drop("as_of_date").schema.add("as_of_date", "date")
             readable = read_snapshot(spark, target, day, schema)
-        return size, stored_counts(readable, row.target_table, day)
+        return size, stored_counts(readable, row.target_database, row.target_table, day)
 
-    with ThreadPoolExecutor(at_once) as pool:
-        done = list(pool.map(inheritable_thread_target(spark)(ingest), tables))
-    produced = [(row.target_table, day, size) for row, (size, _) in zip(tables, done)]
-    counts = transform_counts(
-        spark.createDataFrame(produced, "dest_tbl string, as_of_date date, src_count long"),
-        reduce(DataFrame.unionByName, [stored for _, stored in done]),
-        mapping,
-        run_ts,
-    )
-    for database in dict.fromkeys(row.target_database for row in tables):
-        own = [row.target_table for row in tables if row.target_database == database]
-        write_transform_counts(
-            counts.where(F.col("dest_db") == database),
-            layout.transform_counts_root(root, database),
-            [day], own,
+    def record(row: Row, size: int, stored: DataFrame) -> DataFrame:
+        produced = spark.createDataFrame(
+            [(row.target_database, row.target_table, day, size)],
+            "dest_db string, dest_tbl string, as_of_date date, src_count long",
         )
-    return counts
+        own = spark.createDataFrame([row], mapping.schema)
+        counts = transform_counts(produced, stored, own, run_ts)
+        metrics = layout.transform_counts_root(root, row.target_database)
+        write_transform_counts(counts, metrics, [day], [row.target_table])
+        return counts
+
+    done, failed = [], {}
+    with ThreadPoolExecutor(at_once) as pool:
+        started = {pool.submit(inheritable_thread_target(spark)(ingest), row): row for row in tables}
+        # Metric rows share a folder, so they are written here, one table after the other.
+        for future in as_completed(started):
+            row = started[future]
+            try:
+                done.append(record(row, *future.result()))
+            except Exception as error:
+                failed[f"{row.target_database}.{row.target_table}"] = error
+    if failed:
+        raise IngestionError(failed)
+    return reduce(DataFrame.unionByName, done)

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import as_date
 from tidemark.operators.metrics_export import metrics_export
-from tidemark.operators.previous_snapshot import previous_snapshot_date
+from tidemark.operators.previous_snapshot import previous_snapshot_dates
 from tidemark.sinks.exports import write_delimited
 from tidemark.sources import layout
 
 
 def report_batch(
     counts: DataFrame,
-    snapshots: Mapping[str, DataFrame],
+    snapshots: Mapping[tuple[str, str], DataFrame],
     mapping: DataFrame,
     root: str,
     batch_type: str,
@@ -25,15 +25,16 @@ def report_batch(
 ) -> str:
     """Write the report of all tables of a batch for a date and return its path.
 
-    ``snapshots`` holds the history of each mapped target table, of which only the
-    partitions needed to find the previous date are read.
+    ``snapshots`` holds the history of each mapped target, by database and table; only the
+    partitions needed to find the previous dates are read, for all tables in one job.
     """
     day = as_date(as_of)
+    found = previous_snapshot_dates(snapshots, day)
     previous = counts.sparkSession.createDataFrame(
-        [(table, day, previous_snapshot_date(df, day)) for table, df in snapshots.items()],
-        "dest_tbl string, as_of_date date, yest_ingest_dt date",
+        [(*target, day, before) for target, before in found.items()],
+        "dest_db string, dest_tbl string, as_of_date date, yest_ingest_dt date",
     )
-    rows = counts.where((F.col("as_of_date") == F.lit(day)) & F.col("dest_tbl").isin(*snapshots))
     path = layout.metrics_export_path(root, str(day), batch_type)
+    rows = counts.where(F.col("as_of_date") == F.lit(day))
     write_delimited(metrics_export(rows, previous, mapping), path)
     return path

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark import schemas
 from tidemark.functions.times import as_date
 from tidemark.operators.duplicate_check import duplicate_check
 from tidemark.operators.null_check import null_check
@@ -31,6 +32,7 @@ def run_quality(
 
     Each table is scanned once for all its blank-field rules and once per distinct key
     that must be unique. The parts are independent, so one action runs them side by side.
+    Rules that check nothing find nothing.
     """
     options = dict(source_type=source_type, run_ts=run_ts, as_of=as_of, type_column=type_column)
     parts = []
@@ -40,6 +42,9 @@ def run_quality(
             parts.append(null_check(tables[table], own, table=table, **options))
         if any(rule.duplicate_keys for rule in own):
             parts.append(duplicate_check(tables[table], own, table=table, **options))
+    if not parts:
+        nothing = schemas.SQL_ERRORS
+        return next(iter(tables.values())).sparkSession.createDataFrame([], nothing)
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -52,7 +57,7 @@ def write_errors(
     touched. Returns the number of rows written.
     """
     return replace_partitions(
-        errors, root, {"as_of_date": [as_date(day) for day in days], "tbl_nm": tables}
+        errors.hint("rebalance", "as_of_date", "tbl_nm"), root, {"as_of_date": [as_date(day) for day in days], "tbl_nm": tables}
     )
 
 
@@ -66,12 +71,13 @@ def check_quality(
 ) -> int:
     """Run a domain's mapped rules for a date and replace its stored errors.
 
-    ``table`` gives the rows of a table. Returns the number of error rows, 0 where no
-    rule is mapped.
+    ``table`` gives the rows of a table. Mapped tables lose their earlier errors of the date
+    even where all their checks are switched off. Returns the number of error rows, 0 where
+    no rule is mapped.
     """
     rules = quality_rules(mapping)
     tables = {name: table(name) for name in dict.fromkeys(rule.table for rule in rules)}
-    if not any(rule.null_fields or rule.duplicate_keys for rule in rules):
+    if not tables:
         return 0
     errors = run_quality(tables, rules, source_type=database, run_ts=run_ts, as_of=as_of)
     return write_errors(errors, layout.sql_errors_root(root, database), [as_of], list(tables))
@@ -83,12 +89,18 @@ def export_errors(
     days: Sequence[dt.date | str],
     domain: str,
     tables: Sequence[str],
+    code: str | None = None,
 ) -> int:
     """Deliver the errors of a domain's tables as text lines; returns their number.
 
-    Lines delivered before for these dates are replaced.
+    ``code`` defaults to the one known for the domain. Lines delivered before for these
+    dates are replaced.
     """
+    code = code or error_code(domain)
     dates = [as_date(day) for day in days]
     wanted = errors.where(F.col("as_of_date").isin(*dates) & F.col("tbl_nm").isin(*tables))
-    lines = error_lines(wanted, error_code(domain)).withColumn("domain", F.lit(domain))
-    return replace_partitions(lines, root, {"as_of_date": dates, "domain": [domain]}, "text")
+    lines = error_lines(wanted, code).withColumn("domain", F.lit(domain))
+    return replace_partitions(
+        lines.hint("rebalance", "as_of_date", "domain"), root,
+        {"as_of_date": dates, "domain": [domain]}, "text",
+    )

@@ -1,8 +1,8 @@
 from tidemark.sinks.exports import write_delimited, write_lines
-from tidemark.sinks.partitions import partition_path, replace_partition, replace_partitions
+from tidemark.sinks.partitions import replace_partition, replace_partitions
 from tidemark.sinks.shared import shared_path
 
 __all__ = [
-    "partition_path", "replace_partition", "replace_partitions", "shared_path",
+    "replace_partition", "replace_partitions", "shared_path",
     "write_delimited", "write_lines",
 ]

@@ -10,14 +10,13 @@ executor is then counted once, like its file.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from itertools import product
 from math import prod
 from operator import and_
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,8 +30,10 @@ def replace_partition(
     """Make ``df`` the content of one partition and return its number of rows.
 
     The partition's values take the place of columns of that name. Rows are written as
-    they come, without shuffle or sort.
+    they come, without shuffle or sort. Values must not be null or empty: Spark gives both
+    the same folder.
     """
+    _checked({key: [value] for key, value in partition.items()})
     rows = df.drop(*partition)
     written = Observation()
     # The values follow the observation, so that the writer sees them as constants.
@@ -42,7 +43,7 @@ def replace_partition(
     _write(labelled, root, list(partition), file_format, max_rows_per_file)
     count = written.get["rows"]
     if count == 0:
-        _empty(rows, partition_path(root, list(partition), list(partition.values())), file_format)
+        _empty(df.sparkSession, root, {key: [value] for key, value in partition.items()}, set())
     return count
 
 
@@ -56,8 +57,10 @@ def replace_partitions(
     """Make ``df`` the content of many partitions and return its number of rows.
 
     ``partitions`` lists the values of each key; every combination is replaced. A row
-    outside them fails the job before anything is replaced.
+    outside them, one with a null or empty key included, fails the job before anything is
+    replaced.
     """
+    _checked(partitions)
     keys = list(partitions)
     outside = F.raise_error(F.lit("a row lies outside the partitions to replace"))
     rows = df.withColumn(
@@ -73,9 +76,7 @@ def replace_partitions(
     _write(observed, root, keys, file_format, max_rows_per_file)
     filled = {(found,) if single else tuple(found) for found in written.get["filled"]}
     if len(filled) < prod(len(values) for values in partitions.values()):
-        held = _holding_rows(df, root, partitions, file_format)
-        for values in held - filled:
-            _empty(df.drop(*keys), partition_path(root, keys, values), file_format)
+        _empty(df.sparkSession, root, partitions, filled)
     return written.get["rows"]
 
 
@@ -91,37 +92,34 @@ def _write(
     )
 
 
-def _holding_rows(
-    like: DataFrame, root: str, partitions: Mapping[str, Sequence], file_format: str
-) -> set[tuple]:
-    """Those of the partitions that hold rows, found from their keys alone."""
-    reader = like.sparkSession.read.schema(like.schema).format(file_format)
-    try:
-        stored = reader.load(root)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return set()
-    held = stored.where(_listed(partitions)).select(*partitions).distinct()
-    return {tuple(row) for row in held.collect()}
-
+def _empty(
+    spark: SparkSession, root: str, partitions: Mapping[str, Sequence], filled: set[tuple]
+) -> None:
+    """Remove the files of those partitions that received no row; takes no job.
 
-def _empty(like: DataFrame, path: str, file_format: str) -> None:
-    nothing = like.sparkSession.createDataFrame([], like.schema)
-    nothing.write.mode("overwrite").format(file_format).save(path)
+    Spark itself names the folders. They stay, so that a catalog that knows them still finds
+    them.
+    """
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    filled = {tuple(map(str, values)) for values in filled}
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    files = hadoop.Path(root).getFileSystem(conf)
+    for values in product(*partitions.values()):
+        if tuple(map(str, values)) in filled:
+            continue
+        folder = hadoop.Path(root)
+        for key, value in zip(partitions, values):
+            folder = hadoop.Path(folder, names.getPartitionPathString(key, str(value)))
+        if files.exists(folder):
+            for found in files.listStatus(folder):
+                files.delete(found.getPath(), True)
+
+
+def _checked(partitions: Mapping[str, Sequence]) -> None:
+    for key, values in partitions.items():
+        if not values or any(value is None or value == "" for value in values):
+            raise ValueError(f"partition key {key!r} needs values, none of them null or empty")
 
 
 def _listed(partitions: Mapping[str, Sequence]) -> Column:
     return reduce(and_, [F.col(key).isin(*values) for key, values in partitions.items()])
-
-
-def partition_path(root: str, keys: Sequence[str], values: Sequence) -> str:
-    parts = [f"{key}={_escape(str(value))}" for key, value in zip(keys, values)]
-    return "/".join([root, *parts])
-
-
-def _escape(value: str) -> str:
-    # The characters Spark escapes in the name of a partition directory.
-    return re.sub(
-        r"[\x01-\x1f\x7f\"#%'*/:=?\\{\[\]^]", lambda match: f"%{ord(match[0]):02X}", value
-    )

@@ -25,19 +25,23 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return rows.na.fill("")
 
 
+def _only(rows: DataFrame, column: str, wanted: str | None) -> DataFrame:
+    return rows if wanted is None else rows.where(F.col(column) == wanted)
+
+
 def read_ingestion_mapping(
-    spark: SparkSession, path: str, domain: str, target_table: str | None = None
+    spark: SparkSession, path: str, domain: str | None = None, target_table: str | None = None
 ) -> DataFrame:
-    """Tables to ingest for a domain, optionally one of them by name in any case."""
-    rows = _read(spark, path, schemas.INGESTION_MAPPING).where(F.col("domain_name") == domain)
+    """Tables to ingest for a domain or all, optionally one of them by name in any case."""
+    rows = _only(_read(spark, path, schemas.INGESTION_MAPPING), "domain_name", domain)
     if target_table is not None:
         rows = rows.where(F.lower("target_table") == target_table.lower())
     return rows
 
 
-def read_rule_mapping(spark: SparkSession, path: str, domain: str) -> DataFrame:
-    """Quality rules of a domain, with the field and override lists split."""
-    rows = _read(spark, path, schemas.RULE_MAPPING).where(F.col("domain") == domain)
+def read_rule_mapping(spark: SparkSession, path: str, domain: str | None = None) -> DataFrame:
+    """Quality rules of a domain or all, with the field and override lists split."""
+    rows = _only(_read(spark, path, schemas.RULE_MAPPING), "domain", domain)
     return rows.select(
         F.col("input_fname").alias("target_table"),
         F.split("null_check", ",").alias("null_check"),
@@ -48,13 +52,11 @@ def read_rule_mapping(spark: SparkSession, path: str, domain: str) -> DataFrame:
 
 
 def read_metric_mapping(
-    spark: SparkSession, path: str, batch_type: str, source_table: str | None = None
+    spark: SparkSession, path: str, batch_type: str | None = None, source_table: str | None = None
 ) -> DataFrame:
-    """Tables to report for a batch, optionally one of them by exact source name."""
-    rows = _read(spark, path, schemas.METRIC_MAPPING).where(F.col("batch_type") == batch_type)
-    if source_table is not None:
-        rows = rows.where(F.col("source_table") == source_table)
-    return rows
+    """Tables to report for a batch or all, optionally one of them by exact source name."""
+    rows = _only(_read(spark, path, schemas.METRIC_MAPPING), "batch_type", batch_type)
+    return _only(rows, "source_table", source_table)
 
 
 def mapped_tables(mapping: DataFrame, domain: str) -> list[Row]:

@@ -3,22 +3,37 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.times import run_variables
 
+VARIABLE = re.compile(r"\$\{([^}]*)\}")
+QUOTED = re.compile(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*\"""")
+
 
 def run_stored_query(
     spark: SparkSession, directory: str, target_table: str, as_of: dt.date | str
 ) -> DataFrame:
     """Run the query stored for a table, with the run's dates as named parameters.
 
-    The text may name them ``:as_of_date`` or, as older files do, ``${as_of_date}``.
+    The text may name them ``:as_of_date`` or, as older files do, ``${as_of_date}``. The
+    values bring their own quotes: a variable inside quotes, which would be read as text, and
+    an unknown one are refused, and so is a folder of several files.
     """
     path = f"{directory}/{target_table.lower()}.hql"
-    text = spark.read.text(path, wholetext=True).first()[0].strip().rstrip(";")
+    files = spark.read.text(path, wholetext=True).take(2)
+    if len(files) != 1:
+        raise ValueError(f"{path} must be one file, or a folder that holds one")
+    text = files[0][0].strip().rstrip(";")
     variables = run_variables(as_of)
+    unknown = set(VARIABLE.findall(text)) - set(variables)
+    if unknown:
+        raise ValueError(f"{path} names unknown variables: {', '.join(sorted(unknown))}")
+    quoted = [literal for literal in QUOTED.findall(text) if VARIABLE.search(literal)]
+    if quoted:
+        raise ValueError(f"{path} has variables inside quotes: {', '.join(quoted)}")
     for name in variables:
         text = text.replace("${" + name + "}", f":{name}")
     return spark.sql(text, args=variables)

@@ -7,7 +7,7 @@ over many documents is treated as a whole.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -27,35 +27,38 @@ def _entries(documents: DataFrame) -> DataFrame:
     return documents.select(F.explode(F.from_json("value", "map<string,string>")))
 
 
-def expand_tables(documents: DataFrame, domain: str) -> DataFrame:
-    """One row per upstream table of a domain with its database's attributes.
+def expand_tables(documents: DataFrame, domain: str | None = None) -> DataFrame:
+    """One row per upstream table with its domain and its database's attributes.
 
-    A table whose database has no attributes raises when the row is read.
+    Of one domain or of all: an entry whose members are lists is a domain's, one with
+    a ``db`` describes a database. A table whose database has no attributes, or different
+    ones in different documents, raises when the row is read.
     """
-    entries = _entries(documents)
+    entries = _entries(documents).withColumn("found", F.from_json("value", schemas.DATABASE_ATTRIBUTES))
+    described = F.coalesce(~F.startswith("found.db", F.lit("[")), F.lit(False))
+    wanted = F.col("key") != "defaults" if domain is None else F.col("key") == domain
     tables = (
-        entries.where(F.col("key") == domain)
-        .select(F.explode(F.from_json("value", "map<string,array<string>>")))
-        .select(F.col("key").alias("database"), F.explode("value").alias("table"))
+        entries.where(wanted & ~described)
+        .select(F.col("key").alias("domain"), F.explode(F.from_json("value", "map<string,array<string>>")))
+        .select("domain", F.col("key").alias("database"), F.explode("value").alias("table"))
     )
     # One row per database however often it is described, so the join cannot multiply tables.
     attributes = (
-        entries.where(F.col("key") != domain)
-        .select(
-            F.col("key").alias("database"),
-            F.from_json("value", schemas.DATABASE_ATTRIBUTES).alias("found"),
-        )
-        .where(F.col("found.db").isNotNull())
-        .groupBy("database")
-        .agg(*[F.max(f"found.{name}").alias(name) for name in schemas.DATABASE_ATTRIBUTES.names])
+        entries.where(described)
+        .groupBy(F.col("key").alias("database"))
+        .agg(F.min("found").alias("found"), F.max("found").alias("other"))
     )
-    unknown = F.raise_error(F.concat(F.lit("no attributes for database "), F.col("database")))
-    return tables.join(attributes, "database", "left").select(
-        "app_prefix",
-        "pipeline",
-        F.when(F.col("db").isNull(), unknown).otherwise(F.col("db")).alias("db"),
-        "table",
+
+    def refused(why: str) -> Column:
+        return F.raise_error(F.concat(F.lit(f"{why} database "), F.col("database")))
+
+    db = (
+        F.when(F.col("found").isNull(), refused("no attributes for"))
+        .when(~F.col("found").eqNullSafe(F.col("other")), refused("conflicting attributes for"))
+        .otherwise(F.col("found.db"))
     )
+    return tables.join(attributes, "database", "left").select(
+        "domain", "found.app_prefix", "found.pipeline", db.alias("db"), "table")
 
 
 def poll_defaults(documents: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workload.tables import BALANCES, DAY, LAST_DAY, RUN_TS, STATUS_EVENTS, SUMMARY, TRANSACTIONS
+from workload.tables import BALANCES, DAY, FIRST_DAY, LAST_DAY, RUN_TS, STATUS_EVENTS, SUMMARY, TRANSACTIONS
 
 D, LAST = f"DATE '{DAY}'", f"DATE '{LAST_DAY}'"
 VBA = "account_type IN ('VBA')"
@@ -63,37 +63,45 @@ QUALITY = union(
 
 DOCUMENTS = f"docs AS (SELECT *, {D} AS as_of_date FROM documents)"
 
-# Rows of a date produced and stored; both come from the same tables here.
-COUNTS = """
+# Rows of a date produced (n) and stored (m): one table was not asked for its first date and
+# misses its last.
+COUNTS = f"""
+found AS (
+  SELECT 'lake' AS dest_db, 'balances' AS dest_tbl, as_of_date, count(*) AS n FROM balances GROUP BY ALL
+  UNION ALL SELECT 'vault', 'balances', as_of_date, count(*) FROM balances
+    WHERE account_type = 'VBA' GROUP BY ALL
+  UNION ALL SELECT 'lake', 'transactions', as_of_date, count(*) FROM transactions GROUP BY ALL),
 counts AS (
-  SELECT 'balances' AS dest_tbl, as_of_date, count(*) AS n FROM balances GROUP BY as_of_date
-  UNION ALL
-  SELECT 'transactions', as_of_date, count(*) FROM transactions GROUP BY as_of_date)"""
+  SELECT dest_db, dest_tbl, as_of_date,
+    CASE WHEN dest_db || dest_tbl = 'lakebalances' AND as_of_date = DATE '{FIRST_DAY}' THEN 0 ELSE n END AS n,
+    CASE WHEN dest_db || dest_tbl = 'lakebalances' AND as_of_date = {LAST} THEN 0 ELSE n END AS m
+  FROM found)"""
 
 
-def metric_row(source: str = "dest_tbl || '_src'") -> str:
+def metric_row() -> str:
     zeros = ", ".join(
         f"CAST(0 AS BIGINT) AS {name}" for name in
         ("src_add", "src_edit", "src_delete", "dest_edit", "dest_delete", "dest_edit_add",
          "dest_delete_add", "dest_add_change")
     )
     return (
-        f"'upstream' AS src_db, {source} AS src_tbl, n AS src_count, 'lake' AS dest_db, "
-        f"n AS dest_count, n AS dest_add, {zeros}, '{RUN_TS}' AS lst_updt_ts, "
+        f"'upstream' AS src_db, dest_tbl || '_feed' AS src_tbl, CAST(n AS BIGINT) AS src_count, dest_db, "
+        f"CAST(m AS BIGINT) AS dest_count, CAST(m AS BIGINT) AS dest_add, {zeros}, '{RUN_TS}' AS lst_updt_ts, "
         f"CAST(as_of_date AS VARCHAR) AS as_of_date, dest_tbl"
     )
 
 
 PREVIOUS = """
-SELECT dest_tbl, as_of_date,
-  lag(as_of_date) OVER (PARTITION BY dest_tbl ORDER BY as_of_date) AS yest_ingest_dt
+SELECT dest_db, dest_tbl, as_of_date,
+  lag(as_of_date) OVER (PARTITION BY dest_db, dest_tbl ORDER BY as_of_date) AS yest_ingest_dt
 FROM counts"""
 
 REPORT = f"""
-SELECT {metric_row()}, CAST(0 AS INTEGER) AS yest_count, n AS today_total, n AS today_count,
+SELECT {metric_row()}, CAST(0 AS INTEGER) AS yest_count, CAST(m AS BIGINT) AS today_total,
+  CAST(m AS BIGINT) AS today_count,
   coalesce(CAST(yest_ingest_dt AS VARCHAR), 'NULL') AS yest_ingest_dt
 FROM (SELECT c.*, p.yest_ingest_dt FROM counts c
-      JOIN ({PREVIOUS}) p ON p.dest_tbl = c.dest_tbl AND p.as_of_date = c.as_of_date)"""
+      JOIN ({PREVIOUS}) p ON p.dest_db = c.dest_db AND p.dest_tbl = c.dest_tbl AND p.as_of_date = c.as_of_date)"""
 
 REPORT_ORDER = (
     "as_of_date", "src_db", "src_tbl", "src_count", "src_add", "src_edit", "src_delete",
@@ -149,6 +157,22 @@ def error_line(code: str) -> str:
     )
 
 
+def ingested(*databases: str) -> str:
+    parts = []
+    for day in (DAY, LAST_DAY):
+        on = f"DATE '{day}'"
+        parts += [
+            f"""SELECT '{database}' AS dest_db, 'positions' AS dest_tbl, {on} AS as_of_date,
+              count(*) AS n, count(*) AS m FROM (
+              SELECT DISTINCT account_id, account_type FROM balances WHERE as_of_date <= {on})"""
+            for database in databases
+        ]
+        parts.append(f"""SELECT 'lake', 'shipments', {on}, count(*), count(*) FROM lineitem
+            WHERE l_shipdate < CAST({on} AS TIMESTAMP) + INTERVAL 33 HOURS - INTERVAL 28 YEARS
+              AND l_shipdate >= CAST({on} AS TIMESTAMP) - INTERVAL 1 DAY - INTERVAL 29 YEARS""")
+    return f"SELECT {metric_row()}, ' ' AS error_msg FROM ({union(*parts)})"
+
+
 ORACLE = {
     "null_check": with_(BALANCES, nulls("balances", ("dirty",))),
     "null_check_scope_vba": with_(BALANCES, nulls("balances", ("dirty",), VBA)),
@@ -162,6 +186,10 @@ ORACLE = {
         nulls("transactions", ("amount",), VBA),
         nulls("transactions", ("flag", "amount")),
     )),
+    "null_check_overrides": with_(BALANCES, union(
+        nulls("balances", ("dirty",), VBA), nulls("balances", ("dirty",), NOT_VBO),
+        duplicates("balances", ("account_id",), VBA_TA),
+    )),
     "null_check_day": with_(BALANCES, union(*[
         nulls("balances", ("dirty",), scope, f"as_of_date = {D}")
         for scope in ("TRUE", VBA, VBA_TA, NOT_VBO)
@@ -190,6 +218,10 @@ ORACLE = {
         nulls("balances", ("amount",), VBA),
         duplicates("balances", ("account_id",), VBA_TA),
     )),
+    "quality_check": with_(
+        f"customers AS (SELECT c_mktsegment, {D} AS as_of_date FROM customer)",
+        duplicates("customers", ("c_mktsegment",)),
+    ),
     "ingestion_mapping": """
         SELECT lower(c_name) AS source_table, upper(c_name) AS target_table,
           'folder_' || CAST(c_nationkey AS VARCHAR) AS target_folder,
@@ -223,25 +255,19 @@ ORACLE = {
                    ELSE as_of_date <> {D} - INTERVAL 1 DAY END
         GROUP BY as_of_date"""),
     "snapshot_scan": with_(BALANCES, f"""
-        SELECT event_id, account_id, account_type, dirty,
+        SELECT event_id, account_id, account_type, dirty, amount,
           CAST(as_of_date AS VARCHAR) AS as_of_date
-        FROM balances"""),
+        FROM balances JOIN (SELECT 'all' AS pick UNION ALL SELECT 'one')
+          ON pick = 'all' OR as_of_date = {D}"""),
     "catalog_partitions": with_(BALANCES, """
-        SELECT 'balances' AS dest_tbl, CAST(as_of_date AS VARCHAR) AS as_of_date,
+        SELECT 'lake' AS dest_db, 'balances' AS dest_tbl, CAST(as_of_date AS VARCHAR) AS as_of_date,
           count(*) AS dest_count
         FROM balances GROUP BY as_of_date"""),
     "stored_query": with_(BALANCES, f"""
         SELECT account_id, account_type, count(*) AS n_rows, count(dirty) AS n_dirty
-        FROM balances WHERE as_of_date <= {LAST} GROUP BY account_id, account_type"""),
-    "ingest_domain": with_(BALANCES, f"""
-        SELECT {metric_row("CASE dest_tbl WHEN 'tbalances' THEN 'acct_src' ELSE 'txn_src' END")},
-          ' ' AS error_msg
-        FROM (
-          SELECT 'tbalances' AS dest_tbl, {LAST} AS as_of_date, count(*) AS n FROM (
-            SELECT DISTINCT account_id, account_type FROM balances WHERE as_of_date <= {LAST})
-          UNION ALL
-          SELECT 'ttransactions', {LAST}, count(*) FROM lineitem
-          WHERE l_shipdate < CAST({LAST} AS TIMESTAMP) + INTERVAL 33 HOURS)"""),
+        FROM balances WHERE as_of_date <= {D} GROUP BY account_id, account_type"""),
+    "ingest_domain": with_(BALANCES, ingested("lake", "vault")),
+    "ingest_failing": with_(BALANCES, ingested("lake")),
     "transform_counts": with_(
         f"{BOTH}, {COUNTS}", f"SELECT {metric_row()}, ' ' AS error_msg FROM counts"
     ),
@@ -251,8 +277,11 @@ ORACLE = {
         for day in (DAY, "2024-01-01")
     ])),
     "previous_snapshot_history": with_(f"{BOTH}, {COUNTS}", f"""
-        SELECT dest_tbl, CAST(as_of_date AS VARCHAR) AS as_of_date,
+        SELECT dest_db, dest_tbl, CAST(as_of_date AS VARCHAR) AS as_of_date,
           CAST(yest_ingest_dt AS VARCHAR) AS yest_ingest_dt FROM ({PREVIOUS})"""),
+    "previous_dates": with_(f"{BOTH}, {COUNTS}", f"""
+        SELECT dest_db, dest_tbl, CAST(max(as_of_date) FILTER (as_of_date < {D}) AS VARCHAR) AS yest_ingest_dt
+        FROM found GROUP BY dest_db, dest_tbl"""),
     "run_dates": with_(TRANSACTIONS, f"""
         SELECT DISTINCT CAST(as_of_date AS VARCHAR) AS as_of_date,
           {stamp("CAST(as_of_date AS TIMESTAMP) + INTERVAL 33 HOURS")} AS next_ingest_date,
@@ -263,10 +292,11 @@ ORACLE = {
         SELECT concat_ws('|', {", ".join(REPORT_ORDER)}) AS value FROM ({REPORT})
         WHERE as_of_date = '{DAY}'"""),
     "expand_tables": """
-        SELECT 'P' || CAST(n_nationkey AS VARCHAR) AS app_prefix,
+        SELECT r_name AS domain, 'P' || CAST(n_nationkey AS VARCHAR) AS app_prefix,
           r_name || '_Ingestion' AS pipeline, n_name AS db, c_name AS "table"
         FROM customer JOIN nation ON c_nationkey = n_nationkey
-        JOIN region ON n_regionkey = r_regionkey""",
+        JOIN region ON n_regionkey = r_regionkey
+        JOIN (SELECT 'all' AS pick UNION ALL SELECT 'one') ON pick = 'all' OR r_name = 'ASIA'""",
     "poll_defaults": """
         SELECT 'poll' AS action, 'status' AS "messageType", r_name AS pipeline FROM region""",
     "status_summary": with_(f"{STATUS_EVENTS}, {SUMMARY}", f"""
@@ -299,10 +329,15 @@ ORACLE = {
         SELECT 'all' AS domain, table_name, latest_status AS "latestStatus"
         FROM judged WHERE NOT is_fresh"""),
     "error_export": with_(BOTH, f"SELECT {error_line('2003')} FROM ({QUALITY})"),
+    "error_export_tabs": with_(
+        f"""customers AS (SELECT c_mktsegment || '|' || CAST(c_nationkey AS VARCHAR) AS label,
+            {D} AS as_of_date FROM customer)""",
+        f"SELECT {error_line('2003')} FROM ({duplicates('customers', ('label',))})",
+    ),
     "error_export_file": with_(BALANCES, f"""
-        SELECT {error_line('2003')} FROM ({union(
-            nulls("balances", ("dirty",), NOT_VBO),
-            duplicates("balances", ("account_id", "account_type"), VBA_TA),
+        SELECT {error_line('2417')} FROM ({union(
+            nulls("balances", ("amount", "dirty"), NOT_VBO),
+            duplicates("balances", ("account_type", "account_id"), VBA_TA),
         )})"""),
     "log_classify": f"""
         WITH log AS (

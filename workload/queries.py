@@ -11,36 +11,28 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.operators import (
     classify_freshness, classify_log, duplicate_check, error_lines, metrics_export, null_check,
-    previous_snapshot, previous_snapshots, readiness, status_summary, stored_counts,
+    previous_snapshot, previous_snapshot_dates, previous_snapshots, readiness, status_summary, stored_counts,
     transform_counts, verdict,
 )
 from tidemark.plans import (
-    check_domain, export_errors, ingest_domain, publish_status, replace_snapshot,
-    replace_snapshots, report_batch, run_quality, write_errors,
+    IngestionError, check_domains, check_quality, export_errors, ingest_domain, publish_status,
+    replace_snapshot, replace_snapshots, report_batch, run_quality, write_errors,
 )
 from tidemark.functions import next_ingest_at, normalise_space, previous_day
 from tidemark.sinks import shared_path, write_lines
 from tidemark.sources import (
     QualityRule, expand_tables, poll_defaults, quality_rules, read_document_lines, read_history,
     read_ingestion_mapping, read_log, read_metric_mapping, read_rule_mapping, read_snapshot,
-    read_status, register_partition, run_stored_query, status_records,
+    read_snapshots, read_status, register_partitions, run_stored_query, status_records,
 )
 from tidemark.streaming import watch_domain
 from workload.tables import (
-    DAY, LAST_DAY, RUN_TS, balances, plain, status_events, table, transactions,
+    DAY, FIRST_DAY, LAST_DAY, RUN_TS, balances, plain, status_events, table, transactions,
 )
 
 DATABASE = "lake"
 RUN = dict(source_type=DATABASE, run_ts=RUN_TS)
 
-# The values that play the part of domains and batches in the given tables.
-SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
-PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
-PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
-REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
-DOMAINS = ("domain_0", "domain_1", "domain_2", "domain_3", "domain_4")
-
-
 def _all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
@@ -70,6 +62,16 @@ def null_check_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(null_check(transactions(spark, sf_dir), rules, table="transactions", **RUN))
 
 
+def null_check_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several overrides in one rule: the narrowest scope listed first in the table of scopes wins."""
+    rules = [
+        QualityRule("balances", ("dirty",), (), ("ConditionalNullsNonVBO", "ConditionalNulls")),
+        QualityRule("balances", ("dirty",), (), ("ConditionalDupNonLegacy", "ConditionalNullsNonVBO")),
+        QualityRule("balances", (), ("account_id",), ("ConditionalNulls", "ConditionalDupNonLegacy")),
+    ]
+    return plain(run_quality({"balances": balances(spark, sf_dir)}, rules, **RUN))
+
+
 def null_check_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily use: one snapshot, several rules, one scan."""
     rules = [
@@ -140,6 +142,19 @@ def quality_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(spark.read.schema(schemas.SQL_ERRORS).parquet(root))
 
 
+def quality_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mapped rules run twice for a day; the second time all checks of one table are off."""
+    tables = {"balances": balances(spark, sf_dir), "customers": _customers(spark, sf_dir)}
+    root = shared_path(spark, "checked")
+    for balance_check in ("dirty,amount", "None"):
+        lines = spark.createDataFrame(
+            [("balances", balance_check, "None", "stock", "None"),
+             ("customers", "None", "c_mktsegment", "stock", "None")], schemas.RULE_MAPPING)
+        mapping = read_rule_mapping(spark, _write_mapping(lines, "checks"), "stock")
+        check_quality(mapping, tables.__getitem__, root, DATABASE, DAY, RUN_TS)
+    return plain(spark.read.schema(schemas.SQL_ERRORS).parquet(f"{root}/{DATABASE}/metrics/sql_errors"))
+
+
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").withColumn("as_of_date", F.lit(DAY).cast("date"))
 
@@ -167,9 +182,8 @@ def _ingestion_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingestion_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tables of every domain, and one table by its name in another case."""
     path = _write_mapping(_ingestion_lines(spark, sf_dir), "ingestion_mapping")
-    domains = [read_ingestion_mapping(spark, path, domain) for domain in SEGMENTS]
     one = read_ingestion_mapping(spark, path, "HOUSEHOLD", "customer#000000000")
-    return _all([*domains, one])
+    return read_ingestion_mapping(spark, path).unionByName(one)
 
 
 def rule_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,8 +197,7 @@ def rule_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("None").alias("dq_overrides"),
     )
     path = _write_mapping(lines, "rule_mapping")
-    rules = _all([read_rule_mapping(spark, path, domain) for domain in PART_TYPES])
-    return rules.select(
+    return read_rule_mapping(spark, path).select(
         "target_table",
         F.array_join("null_check", "+").alias("null_check"),
         F.size("null_check").cast("long").alias("n_fields"),
@@ -204,10 +217,9 @@ def metric_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("batch_type"),
     )
     path = _write_mapping(lines, "metric_mapping")
-    batches = [read_metric_mapping(spark, path, batch) for batch in PRIORITIES]
     one = read_metric_mapping(spark, path, "5-LOW", "src_0")
     wrong_case = read_metric_mapping(spark, path, "5-LOW", "SRC_0")
-    return _all([*batches, one, wrong_case])
+    return _all([read_metric_mapping(spark, path), one, wrong_case])
 
 
 # --- ingestion --------------------------------------------------------------------------
@@ -218,12 +230,6 @@ def _days(df: DataFrame) -> list:
     return [row.as_of_date for row in df.select("as_of_date").distinct().collect()]
 
 
-def _stored_history(df: DataFrame, name: str) -> DataFrame:
-    root = shared_path(df.sparkSession, name)
-    replace_snapshots(df, root, _days(df))
-    return read_history(df.sparkSession, root, df.schema)
-
-
 def snapshot_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All dates stored, one replaced by its VBA rows, the day before by nothing."""
     df = balances(spark, sf_dir)
@@ -242,12 +248,12 @@ def snapshot_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stored snapshot, each read by its date."""
+    """Every stored snapshot by its date in one scan, and one date alone."""
     df = balances(spark, sf_dir)
     root, days = shared_path(spark, "scan"), _days(df)
     replace_snapshots(df, root, days)
-    snapshots = [read_snapshot(spark, root, day, df.schema) for day in days]
-    return plain(_all(snapshots)).drop("amount")
+    one = read_snapshot(spark, root, DAY, df.schema)
+    return plain(read_snapshots(spark, root, days, df.schema).unionByName(one))
 
 
 def catalog_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,12 +266,13 @@ def catalog_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (as_of_date) "
         f"LOCATION '{root}'"
     )
-    replace_snapshots(df, root, days)
-    for day in days:
-        register_partition(spark, name, day)
     counts = shared_path(spark, "catalog_counts")
-    stored_counts(spark.table(name), "balances").write.parquet(counts)
-    spark.sql(f"DROP TABLE {name}")
+    try:
+        replace_snapshots(df, root, days)
+        register_partitions(spark, name, days)
+        stored_counts(spark.table(name), DATABASE, "balances").write.parquet(counts)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
     return plain(spark.read.parquet(counts))
 
 
@@ -274,57 +281,95 @@ def _write_query(spark: SparkSession, directory: str, target: str, text: str) ->
 
 
 def _stored_queries(spark: SparkSession, sf_dir: str) -> str:
+    """Line items are of the 1990s, so their cut-off lies as many years before the run date."""
     balances(spark, sf_dir).createOrReplaceTempView("upstream_balances")
     table(spark, sf_dir, "lineitem").createOrReplaceTempView("upstream_lineitem")
     directory = shared_path(spark, "queries")
-    _write_query(spark, directory, "tbalances", """
+    _write_query(spark, directory, "positions", """
         SELECT account_id, account_type, count(*) AS n_rows, count(dirty) AS n_dirty
         FROM upstream_balances WHERE as_of_date <= CAST(${as_of_date} AS DATE)
         GROUP BY account_id, account_type;
     """)
-    _write_query(spark, directory, "ttransactions", """
+    _write_query(spark, directory, "shipments", """
         SELECT l_orderkey AS account_id, l_linenumber AS line, l_returnflag AS flag
-        FROM upstream_lineitem WHERE l_shipdate < CAST(:next_ingest_date AS TIMESTAMP_NTZ)
+        FROM upstream_lineitem
+        WHERE l_shipdate < CAST(:next_ingest_date AS TIMESTAMP_NTZ) - INTERVAL 28 YEARS
+          AND l_shipdate >= CAST(:prev_ingest_date AS TIMESTAMP_NTZ) - INTERVAL 29 YEARS
     """)
+    _write_query(spark, directory, "unusable", "SELECT '${as_of_date}' AS day")
     return directory
 
 
 def stored_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_stored_query(spark, _stored_queries(spark, sf_dir), "tBalances", LAST_DAY)
+    return run_stored_query(spark, _stored_queries(spark, sf_dir), "Positions", DAY)
 
 
-def ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both domains ingested for a day: the metric rows as stored."""
-    directory = _stored_queries(spark, sf_dir)
-    root = shared_path(spark, "lake")
+#: Target databases and tables of an ingestion; one name occurs in two databases.
+TARGETS = (("lake", "positions"), ("vault", "positions"), ("lake", "shipments"))
+
+
+def _ingested(spark: SparkSession, sf_dir: str, targets) -> DataFrame:
+    directory, root = _stored_queries(spark, sf_dir), shared_path(spark, "lake")
     lines = spark.createDataFrame(
-        [("acct_src", "tbalances", "Accounts", "upstream", DATABASE, "account"),
-         ("txn_src", "ttransactions", "Transactions", "upstream", DATABASE, "transaction")],
-        schemas.INGESTION_MAPPING,
-    )
-    path = _write_mapping(lines, "mapping")
-    for domain in ("account", "transaction"):
-        ingest_domain(
-            spark, read_ingestion_mapping(spark, path, domain),
-            lambda target: run_stored_query(spark, directory, target, LAST_DAY),
-            root, domain, LAST_DAY, RUN_TS, files=4,
-        )
-    metrics = f"{root}/{DATABASE}/metrics/transform_counts"
-    return plain(spark.read.schema(schemas.TRANSFORM_COUNTS).parquet(metrics))
+        [(f"{target}_feed", target, f"{database}_{target}", "upstream", database, "stock")
+         for database, target in targets], schemas.INGESTION_MAPPING)
+    mapping = read_ingestion_mapping(spark, _write_mapping(lines, "mapping"), "stock")
+    for day in (LAST_DAY, DAY):
+        try:
+            ingest_domain(
+                spark, mapping, lambda target: run_stored_query(spark, directory, target, day),
+                root, "stock", day, RUN_TS, files=4)
+        except IngestionError as error:
+            assert set(error.failed) == {"lake.unusable"}
+    return plain(_all([
+        spark.read.schema(schemas.TRANSFORM_COUNTS).parquet(f"{root}/{database}/metrics/transform_counts")
+        for database in sorted({database for database, _ in targets})
+    ]))
+
+
+def ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables of two databases ingested for two days: the metric rows as stored."""
+    return _ingested(spark, sf_dir, TARGETS)
+
+
+def ingest_failing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table fails: the metric rows of the others are stored all the same."""
+    return _ingested(spark, sf_dir, (TARGETS[0], ("lake", "unusable"), TARGETS[2]))
+
+
+def _histories(spark: SparkSession, sf_dir: str) -> dict[tuple[str, str], DataFrame]:
+    """Rows of every target, by database and table. One name occurs in two databases."""
+    df = balances(spark, sf_dir)
+    return {
+        ("lake", "balances"): df,
+        ("vault", "balances"): df.where(F.col("account_type") == "VBA"),
+        ("lake", "transactions"): transactions(spark, sf_dir),
+    }
+
+
+def _by_date(df: DataFrame, target: tuple[str, str]) -> DataFrame:
+    """Rows per date, counted in one scan and then kept: one row per date."""
+    counted = stored_counts(df, *target)
+    return df.sparkSession.createDataFrame(counted.collect(), counted.schema)
 
 
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metric rows of every date of two tables, produced against stored."""
-    tables = {"balances": balances(spark, sf_dir), "transactions": transactions(spark, sf_dir)}
+    """Produced against stored: one table misses its last date, and was not asked for its first."""
+    produced, stored = [], []
+    for target, df in _histories(spark, sf_dir).items():
+        found = _by_date(df, target)
+        root = shared_path(spark, "-".join(target))
+        kept = df
+        if target == ("lake", "balances"):
+            kept = df.where(F.col("as_of_date") < F.lit(LAST_DAY).cast("date"))
+            found = found.where(F.col("as_of_date") > F.lit(FIRST_DAY).cast("date"))
+        days = {row.as_of_date for row in found.collect()} | {dt.date.fromisoformat(FIRST_DAY)}
+        replace_snapshots(kept, root, sorted(days))
+        produced.append(found.withColumnRenamed("dest_count", "src_count"))
+        stored.append(_by_date(read_history(spark, root, df.schema), target))
     mapping = spark.createDataFrame(
-        [(f"{name}_src", name, name.title(), "upstream", DATABASE, name) for name in tables],
-        schemas.INGESTION_MAPPING,
-    )
-    produced = [
-        stored_counts(df, name).withColumnRenamed("dest_count", "src_count")
-        for name, df in tables.items()
-    ]
-    stored = [stored_counts(_stored_history(df, name), name) for name, df in tables.items()]
+        [(f"{name}_feed", name, f"{database}_{name}", "upstream", database, "stock")
+         for database, name in _histories(spark, sf_dir)], schemas.INGESTION_MAPPING)
     return transform_counts(_all(produced), _all(stored), mapping, RUN_TS)
 
 
@@ -342,19 +387,20 @@ def previous_snapshot_of_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(days[0].unionByName(days[1]))
 
 
-def _named(df: DataFrame, name: str) -> DataFrame:
-    return df.select(F.lit(name).alias("dest_tbl"), "as_of_date")
-
-
-def _previous(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return previous_snapshots(
-        _named(balances(spark, sf_dir), "balances")
-        .unionByName(_named(transactions(spark, sf_dir), "transactions"))
-    )
+def previous_snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = [
+        df.select(F.lit(database).alias("dest_db"), F.lit(name).alias("dest_tbl"), "as_of_date")
+        for (database, name), df in _histories(spark, sf_dir).items()
+    ]
+    return plain(previous_snapshots(_all(named)))
 
 
-def previous_snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(_previous(spark, sf_dir))
+def previous_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily and monthly tables in one call, on a day of the one and years after the other."""
+    found = previous_snapshot_dates(_histories(spark, sf_dir), DAY)
+    return plain(spark.createDataFrame(
+        [(*target, day) for target, day in found.items()],
+        "dest_db string, dest_tbl string, yest_ingest_dt date"))
 
 
 def run_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -367,26 +413,22 @@ def run_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
-def _metric_rows(spark: SparkSession) -> DataFrame:
+def _metric_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(
-        [(f"{name}_src", name, "upstream", DATABASE, name.title(), "nightly")
-         for name in ("balances", "transactions")],
-        schemas.METRIC_MAPPING,
-    )
+        [(f"{name}_feed", name, "upstream", database, f"{database}_{name}", "evening")
+         for database, name in _histories(spark, sf_dir)], schemas.METRIC_MAPPING)
 
 
 def metrics_export_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts, previous = _counts(spark, sf_dir), _previous(spark, sf_dir)
-    return plain(metrics_export(counts, previous, _metric_rows(spark)))
+    counts = _counts(spark, sf_dir)
+    return plain(metrics_export(counts, previous_snapshots(counts), _metric_rows(spark, sf_dir)))
 
 
 def metrics_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The delivered file of one day, line by line."""
+    """The delivered file of one day, line by line: both tables that have a snapshot then."""
     path = report_batch(
-        _counts(spark, sf_dir),
-        {"balances": balances(spark, sf_dir), "transactions": transactions(spark, sf_dir)},
-        _metric_rows(spark), shared_path(spark, "report"), "nightly", DAY,
-    )
+        _counts(spark, sf_dir), _histories(spark, sf_dir), _metric_rows(spark, sf_dir),
+        shared_path(spark, "report"), "evening", DAY)
     return spark.read.text(path)
 
 
@@ -421,8 +463,9 @@ def _table_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables of all domains at once, and of one."""
     documents = _table_list(spark, sf_dir)
-    return _all([expand_tables(documents, region) for region in REGIONS])
+    return expand_tables(documents).unionByName(expand_tables(documents, "ASIA"))
 
 
 def table_list_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -492,8 +535,8 @@ def poll_response(spark: SparkSession, sf_dir: str) -> DataFrame:
 def status_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_path(spark, "table_status")
     stored = _stored_status(spark, sf_dir)
-    for domain in [*DOMAINS, DOMAINS[0]]:
-        publish_status(stored, root, domain, LAST_DAY)
+    publish_status(stored, root, LAST_DAY)
+    publish_status(stored, root, LAST_DAY, "domain_0")
     return plain(spark.read.parquet(root)).select(
         "as_of_date", "dest_tbl", F.col("table").alias("table_name"), "latestStatus",
         "lastSuccess", "lastNoChange",
@@ -505,9 +548,8 @@ def ready_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_path(spark, "lists")
     stored = _stored_status(spark, sf_dir)
     fresh = classify_freshness(stored, LAST_DAY).where("is_fresh").drop("is_fresh")
-    for domain in DOMAINS:
-        check_domain(stored, root, domain, LAST_DAY, "2024-01-30 20:00:00")
-        check_domain(fresh, root, domain, LAST_DAY, "2024-01-30 14:00:00")
+    check_domains(stored, root, LAST_DAY, "2024-01-30 20:00:00")
+    check_domains(fresh, root, LAST_DAY, "2024-01-30 14:00:00")
     lists = [
         spark.read.schema(schemas.STATUS).json(f"{root}/{name}").select(
             F.lit(name).alias("list"), "domain", F.col("table").alias("table_name"), "latestStatus"
@@ -540,21 +582,27 @@ def error_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return error_lines(run_quality(tables, QUALITY_RULES, **RUN), "2003").select("value")
 
 
+def error_export_tabs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tabs inside a key turn into bars."""
+    keyed = _customers(spark, sf_dir).withColumn("nation", F.col("c_nationkey").cast("string")).withColumn(
+        "label", F.concat_ws("\t", "c_mktsegment", "nation"))
+    found = run_quality({"customers": keyed}, [_rule("customers", keys=["label"])], **RUN)
+    return error_lines(found, "2003").select("value")
+
+
 def error_export_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lines delivered for all dates, from a rule file and stored errors."""
+    """The lines delivered for all dates of a domain with a code of its own."""
     lines = spark.createDataFrame(
-        [("balances", "dirty", "None", "account", "ConditionalNullsNonVBO"),
-         ("balances", "None", "account_id,account_type", "account", "ConditionalDupNonLegacy")],
-        schemas.RULE_MAPPING,
-    )
-    path = _write_mapping(lines, "rules")
-    rules = quality_rules(read_rule_mapping(spark, path, "account"))
+        [("balances", "amount,dirty", "None", "stock", "ConditionalNullsNonVBO"),
+         ("balances", "None", "account_type,account_id", "stock", "ConditionalDupNonLegacy")],
+        schemas.RULE_MAPPING)
+    rules = quality_rules(read_rule_mapping(spark, _write_mapping(lines, "rules"), "stock"))
     stored, root = shared_path(spark, "errors"), shared_path(spark, "error_lines")
     df = balances(spark, sf_dir)
     days = _days(df)
     write_errors(run_quality({"balances": df}, rules, **RUN), stored, days, ["balances"])
     back = spark.read.schema(schemas.SQL_ERRORS).parquet(stored)
-    export_errors(back, root, days, "account", ["balances"])
+    export_errors(back, root, days, "stock", ["balances"], code="2417")
     return spark.read.text(root).select("value")
 
 
@@ -588,6 +636,7 @@ QUERIES = {
     "null_check_numeric": _balance_nulls(fields=("amount",)),
     "null_check_multi": _balance_nulls(fields=("dirty", "account_type")),
     "null_check_transactions": null_check_transactions,
+    "null_check_overrides": null_check_overrides,
     "null_check_day": null_check_day,
     "duplicate_check": _balance_duplicates(("account_id",)),
     "duplicate_check_scope": _balance_duplicates(("account_id",), "ConditionalDupNonLegacy"),
@@ -597,6 +646,7 @@ QUERIES = {
     "duplicate_check_normalised": duplicate_check_normalised,
     "quality_run": quality_run,
     "quality_write": quality_write,
+    "quality_check": quality_check,
     "ingestion_mapping": ingestion_mapping,
     "rule_mapping": rule_mapping,
     "metric_mapping": metric_mapping,
@@ -605,9 +655,11 @@ QUERIES = {
     "catalog_partitions": catalog_partitions,
     "stored_query": stored_query,
     "ingest_domain": ingest,
+    "ingest_failing": ingest_failing,
     "transform_counts": transform_counts_history,
     "previous_snapshot": previous_snapshot_of_days,
     "previous_snapshot_history": previous_snapshot_history,
+    "previous_dates": previous_dates,
     "run_dates": run_dates,
     "metrics_export": metrics_export_history,
     "metrics_report": metrics_report,
@@ -621,6 +673,7 @@ QUERIES = {
     "ready_list": ready_list,
     "readiness_watch": readiness_watch,
     "error_export": error_export,
+    "error_export_tabs": error_export_tabs,
     "error_export_file": error_export_file,
     "log_classify": log_classify,
 }

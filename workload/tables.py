@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DAY = "2024-01-15"
+FIRST_DAY = "2024-01-01"
 LAST_DAY = "2024-01-30"
 RUN_TS = "2024-02-01 06:00:00"
 

@@ -6,10 +6,12 @@ import heapq
 import json
 import re
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import sha256
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -184,11 +186,14 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text_column: str = "text",
     """
     shared = _shared(docs, vocabulary)
 
-    def encode(texts: pd.Series) -> pd.Series:
+    def encode(texts: pa.Array) -> pa.Array:
         encoder = _encoder(shared.value)
-        return pd.Series([encoder.encode(t or "") for t in texts], dtype=object)
+        found = [encoder.encode(text or "") for text in texts.to_pylist()]
+        ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+        ids = np.concatenate(found) if found else np.zeros(0, np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids, pa.int32()))
 
-    return docs.withColumn(ids_column, F.pandas_udf(encode, "array<int>")(F.col(text_column)))
+    return docs.withColumn(ids_column, F.arrow_udf(encode, "array<int>")(F.col(text_column)))
 
 
 def bpe_decode(docs: DataFrame, vocabulary: str, ids_column: str = "ids",
@@ -196,21 +201,27 @@ def bpe_decode(docs: DataFrame, vocabulary: str, ids_column: str = "ids",
     """``docs`` with the text that the ids stand for; null ids give an empty text."""
     shared = _shared(docs, vocabulary)
 
-    def decode(ids: pd.Series) -> pd.Series:
+    def decode(ids: pa.Array) -> pa.Array:
         encoder = _encoder(shared.value)
-        return pd.Series(["" if n is None else encoder.decode(n) for n in ids], dtype=object)
+        return pa.array(map(encoder.decode, _lists(ids)), pa.string())
 
-    return docs.withColumn(decoded_column, F.pandas_udf(decode, "string")(F.col(ids_column)))
+    return docs.withColumn(decoded_column, F.arrow_udf(decode, "string")(F.col(ids_column)))
 
 
 def ids_sha256(ids: Column) -> Column:
     """Lowercase hex digest of the ids as little-endian unsigned 32-bit integers."""
-    import hashlib
+    def digest(ids: pa.Array) -> pa.Array:
+        return pa.array(
+            (sha256(n.astype("<u4").tobytes()).hexdigest() for n in _lists(ids)), pa.string())
 
-    def digest(ids: pd.Series) -> pd.Series:
-        return pd.Series([hashlib.sha256(np.asarray(n, "<u4").tobytes()).hexdigest() for n in ids])
+    return F.arrow_udf(digest, "string")(ids)
 
-    return F.pandas_udf(digest, "string")(ids)
+
+def _lists(ids: pa.Array) -> Iterator[np.ndarray]:
+    """The ids of every row; none for null."""
+    values, ends = ids.values.to_numpy(), ids.offsets.to_numpy()
+    for valid, start, end in zip(ids.is_valid().to_pylist(), ends[:-1], ends[1:]):
+        yield values[start:end] if valid else values[:0]
 
 
 def _shared(docs: DataFrame, vocabulary: str):

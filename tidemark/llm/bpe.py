@@ -5,7 +5,6 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
@@ -18,7 +17,8 @@ from pyspark.sql import functions as F
 
 KEPT = 400_000  # chunks a worker keeps the ids of; then it starts anew
 LONGEST_KEPT = 64
-LONG = 256
+AT_ONCE = 100_000  # chunks encoded together
+LONG = 256  # bytes of a fragment that is merged by a heap
 PAIR = 24  # bits of an id within the key of a pair
 
 # The published pattern of byte-level tokenizers, and Unicode's white space.
@@ -62,65 +62,134 @@ class Encoder:
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         pairs = [(as_bytes(a), as_bytes(b)) for a, b in merges]
         self.ranks = {self.ids[a] << PAIR | self.ids[b]: n for n, (a, b) in enumerate(pairs)}
-        self.results = [self.ids[a + b] for a, b in pairs]
-        self.single = [self.ids[bytes([b])] for b in range(256)]
-        self.inside = {token[i : i + 2] for token in self.ids for i in range(len(token) - 1)}
+        self.results = np.array([self.ids[a + b] for a, b in pairs])
+        self.single = np.array([self.ids[bytes([b])] for b in range(256)])
+        # The same ranks to look up for many pairs at once.
+        self.keys = np.array(sorted(self.ranks))
+        self.sorted_ranks = np.array([self.ranks[key] for key in self.keys.tolist()])
+        self.inside = np.zeros((256, 256), bool)
+        for token in self.ids:
+            code = np.frombuffer(token, np.uint8)
+            self.inside[code[:-1], code[1:]] = True
         # Cuts before white space, unless some token has white space after another ASCII byte.
-        white = b"\t\n\x0b\x0c\r "
-        certain = not any(p[1] in white and p[0] < 128 and p[0] not in white for p in self.inside)
+        white = np.frombuffer(b"\t\n\x0b\x0c\r ", np.uint8)
+        certain = not self.inside[np.ix_(np.setdiff1d(np.arange(128), white), white)].any()
         self.chunks = re.compile(
             f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+" if certain else "(?s:.+)").findall
         self.pieces = regex.compile(PATTERN).findall
         self.special = re.compile("|".join(map(re.escape, self.added))) if self.added else None
-        self.kept = _Kept(self)
-
-    def encode(self, text: str) -> np.ndarray:
-        found: list[bytes] = []
-        start = 0
-        for match in self.special.finditer(text) if self.special else ():
-            found.extend(map(self.kept.__getitem__, self.chunks(text[start : match.start()])))
-            found.append(_packed([self.added[match[0]]]))
-            start = match.end()
-        found.extend(map(self.kept.__getitem__, self.chunks(text[start:] if start else text)))
-        self.kept.trim()
-        return np.frombuffer(b"".join(found), np.int32)
+        self.kept: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text. Chunks that are not known yet are encoded together."""
+        if len(self.kept) > KEPT:
+            self.kept.clear()
+        parts = [self._parts(text) for text in texts]
+        kept = self.kept
+        new = list(dict.fromkeys(chunk for chunks in parts for chunk in chunks if chunk not in kept))
+        for start in range(0, len(new), AT_ONCE):
+            self._learn(new[start : start + AT_ONCE])
+        found = [np.frombuffer(b"".join(map(kept.__getitem__, c)), np.int32) for c in parts]
+        for chunk in new:
+            if len(chunk) > LONGEST_KEPT:
+                del kept[chunk]
+        return found
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.tokens.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
-    def encode_chunk(self, chunk: str) -> bytes:
-        # A word of letters, with or without a space before it, is one piece of the pattern.
-        word = chunk[1:] if chunk[0] == " " else chunk
-        pieces = [chunk] if word.isalpha() else self.pieces(chunk)
-        return _packed([
-            n for piece in pieces for fragment in self.fragments(piece.encode())
-            for n in self.merged(fragment)
-        ])
-
-    def fragments(self, piece: bytes) -> list[bytes]:
-        inside = self.inside
-        cuts = [i for i in range(1, len(piece)) if piece[i - 1 : i + 1] not in inside]
-        return [piece[a:b] for a, b in zip([0, *cuts], [*cuts, len(piece)])]
-
-    def merged(self, fragment: bytes) -> list[int]:
-        """Merge the pair of the lowest rank, the leftmost first."""
-        parts = [self.single[b] for b in fragment]
-        if len(parts) > LONG:
-            return self._merged_long(parts)
-        known, none = self.ranks.get, len(self.results)
-        ranks = [known(a << PAIR | b, none) for a, b in zip(parts, parts[1:])]
-        while ranks:
-            rank = min(ranks)
-            if rank == none:
-                break
-            at = ranks.index(rank)
-            parts[at : at + 2] = [self.results[rank]]
-            del ranks[at]
-            if at < len(ranks):
-                ranks[at] = known(parts[at] << PAIR | parts[at + 1], none)
-            if at:
-                ranks[at - 1] = known(parts[at - 1] << PAIR | parts[at], none)
-        return parts
+    def _parts(self, text: str) -> list[str]:
+        """Chunks, and added tokens as chunks of their own."""
+        if self.special is None or not self.special.search(text):
+            return self.chunks(text)
+        found, start = [], 0
+        for match in self.special.finditer(text):
+            found += [*self.chunks(text[start : match.start()]), match[0]]
+            start = match.end()
+        return found + self.chunks(text[start:])
+
+    def _learn(self, chunks: list[str]) -> None:
+        pieces: list[bytes] = []
+        first = []
+        for chunk in chunks:
+            first.append(len(pieces))
+            # A word of letters, with or without a space before it, is one piece of the pattern.
+            word = chunk[1:] if chunk[0] == " " else chunk
+            if word.isalpha():
+                pieces.append(chunk.encode())
+            else:
+                pieces += map(str.encode, self.pieces(chunk))
+        ids, owner = self.merged(pieces)
+        ends = np.searchsorted(owner, [*first, len(pieces)]) * 4
+        packed = ids.astype(np.int32).tobytes()
+        for chunk, start, end in zip(chunks, ends[:-1].tolist(), ends[1:].tolist()):
+            self.kept[chunk] = packed[start:end]
+        for token in self.added.keys() & set(chunks):
+            self.kept[token] = np.int32(self.added[token]).tobytes()
+
+    def fragments(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All bytes, and where a fragment starts: with a piece, and at every forced cut."""
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        starts = np.zeros(len(data), bool)
+        starts[np.cumsum([0, *map(len, pieces[:-1])])] = True
+        starts[1:] |= ~self.inside[data[:-1], data[1:]]
+        return data, starts
+
+    def merged(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces in order, and the number of the piece that each belongs to.
+
+        In every fragment the pair of the lowest rank is merged, the leftmost first, until no
+        pair has a rank; a round takes one pair of every fragment.
+        """
+        data, starts = self.fragments(pieces)
+        piece = np.repeat(np.arange(len(pieces)), list(map(len, pieces)))
+        owner = np.cumsum(starts) - 1  # fragments
+        of_piece = piece[starts]
+        symbols, none = self.single[data], len(self.results)
+        done_symbols, done_owner = [], []
+        sizes = np.bincount(owner)
+        for long in np.flatnonzero(sizes > LONG):
+            found = self._merged_long(symbols[owner == long].tolist())
+            done_symbols.append(np.array(found))
+            done_owner.append(np.full(len(found), long))
+        short = (sizes <= LONG)[owner]
+        symbols, owner = symbols[short], owner[short]
+        ranks = self._ranks(symbols, owner, np.arange(len(symbols)))
+        while len(symbols):
+            first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            sizes = np.diff(np.r_[first, len(owner)])
+            least = np.repeat(np.minimum.reduceat(ranks, first), sizes)
+            going = least < none
+            if not going.all():
+                done_symbols.append(symbols[~going])
+                done_owner.append(owner[~going])
+                symbols, owner, ranks, least = symbols[going], owner[going], ranks[going], least[going]
+                if not len(symbols):
+                    break
+            at = np.flatnonzero(ranks == least)
+            at = at[np.r_[True, owner[at[1:]] != owner[at[:-1]]]]
+            symbols[at] = self.results[ranks[at]]
+            stays = np.ones(len(symbols), bool)
+            stays[at + 1] = False
+            symbols, owner, ranks = symbols[stays], owner[stays], ranks[stays]
+            at -= np.arange(len(at))
+            ranks[at] = self._ranks(symbols, owner, at)
+            before = at[at > 0] - 1
+            ranks[before] = self._ranks(symbols, owner, before)
+        symbols, owner = np.concatenate(done_symbols), np.concatenate(done_owner)
+        order = np.argsort(owner, kind="stable")
+        return symbols[order], of_piece[owner[order]]
+
+    def _ranks(self, symbols: np.ndarray, owner: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Rank of each symbol with the next of its fragment; the number of ranks if none."""
+        found = np.full(len(at), len(self.results))
+        inner = np.flatnonzero(at + 1 < len(symbols))
+        inner = inner[owner[at[inner]] == owner[at[inner] + 1]]
+        keys = symbols[at[inner]] << PAIR | symbols[at[inner] + 1]
+        place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        known = self.keys[place] == keys
+        found[inner[known]] = self.sorted_ranks[place[known]]
+        return found
 
     def _merged_long(self, parts: list[int]) -> list[int]:
         """The same by a heap: n log n, for words without end."""
@@ -141,7 +210,7 @@ class Encoder:
             then = after[at]
             if then < 0 or parts[at] << PAIR | parts[then] != pair:
                 continue
-            parts[at], parts[then] = self.results[rank], -1
+            parts[at], parts[then] = int(self.results[rank]), -1
             after[at], after[then] = after[then], -1
             if after[at] >= 0:
                 before[after[at]] = at
@@ -150,28 +219,6 @@ class Encoder:
         return [part for part in parts if part >= 0]
 
 
-class _Kept(dict):
-    """Chunks and their ids, packed; a bounded number of short ones."""
-
-    def __init__(self, encoder: Encoder) -> None:
-        super().__init__()
-        self.encoder = encoder
-
-    def __missing__(self, chunk: str) -> bytes:
-        found = self.encoder.encode_chunk(chunk)
-        if len(chunk) <= LONGEST_KEPT:
-            self[chunk] = found
-        return found
-
-    def trim(self) -> None:
-        if len(self) > KEPT:
-            self.clear()
-
-
-def _packed(ids: list[int]) -> bytes:
-    return array("i", ids).tobytes()
-
-
 @lru_cache(maxsize=2)
 def _encoder(spec: str) -> Encoder:
     return Encoder(spec)
@@ -188,12 +235,15 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text_column: str = "text",
 
     def encode(texts: pa.Array) -> pa.Array:
         encoder = _encoder(shared.value)
-        found = [encoder.encode(text or "") for text in texts.to_pylist()]
+        found = encoder.encode([text or "" for text in texts.to_pylist()])
         ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
         ids = np.concatenate(found) if found else np.zeros(0, np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids, pa.int32()))
 
-    return docs.withColumn(ids_column, F.arrow_udf(encode, "array<int>")(F.col(text_column)))
+    # Declared so, Spark keeps it in a step of its own, where it runs once however often the
+    # ids are used.
+    coded = F.arrow_udf(encode, "array<int>").asNondeterministic()
+    return docs.withColumn(ids_column, coded(F.col(text_column)))
 
 
 def bpe_decode(docs: DataFrame, vocabulary: str, ids_column: str = "ids",

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.sinks.shared import shared_path
@@ -52,6 +54,19 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Needed where it is neither installed nor on PYTHONPATH. On a cluster without a common file
+    system ship it with ``--py-files`` instead.
+    """
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    home = str(Path(__file__).resolve().parents[2])
+    if home not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, home])
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read back: lineage ends here, and sizes are known.
 

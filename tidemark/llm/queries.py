@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from tidemark.llm.bpe import bpe_decode, bpe_encode, ids_sha256
 from tidemark.llm.chat import canonical_turns, chat_format, read_back
-from tidemark.llm.common import text_or_empty
+from tidemark.llm.common import find_package, text_or_empty
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.mixing import mix
@@ -29,6 +29,7 @@ URL_RULES = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 

@@ -12,7 +12,7 @@ from helpers import awkward, empty, prose
 from pyspark.sql import functions as F
 
 from tidemark.llm import quality_classifier, toxicity
-from tidemark.llm.bpe import Encoder, bpe_decode, bpe_encode
+from tidemark.llm.bpe import Decoder, Encoder, bpe_decode, bpe_encode
 from tidemark.llm.chat import (
     LAYOUTS, canonical_turns, chat_format, path_fingerprint, read_back, record_fingerprint,
 )
@@ -41,11 +41,13 @@ def test_tokens_of_random_texts(encoder):
         "&&&", "|", "\u200d", "\u0301", "\x00", "\u180e", "\ufeff", "½", "zz" * 40,
     ]
     pick = random.Random(1)
+    with open(VOCABULARY, encoding="utf-8") as file:
+        decoder = Decoder(file.read())
     texts = ["".join(pick.choices(pieces, k=pick.randint(0, 9))) for _ in range(5000)]
     for text, ids in zip(texts, encoder.encode(texts)):
         wanted = library.encode(text, add_special_tokens=False).ids
         assert ids.tolist() == wanted, repr(text)
-        assert encoder.decode(np.array(wanted, int)) == library.decode(wanted, skip_special_tokens=False)
+        assert decoder.decode(np.array(wanted, int)) == library.decode(wanted, skip_special_tokens=False)
     long = "ab" * 50_000 + " " * 5000 + "é" * 5000
     assert encoder.encode([long])[0].tolist() == library.encode(long, add_special_tokens=False).ids
 

@@ -15,9 +15,10 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KEPT = 400_000  # chunks a worker keeps the ids of; then it starts anew
+KEPT = 150_000  # chunks a worker keeps the ids of; then it starts anew
 LONGEST_KEPT = 64
-AT_ONCE = 100_000  # chunks encoded together
+AT_ONCE = 50_000  # chunks encoded together
+CHARS_AT_ONCE = 1 << 21
 LONG = 256  # bytes of a fragment that is merged by a heap
 PAIR = 24  # bits of an id within the key of a pair
 
@@ -37,7 +38,7 @@ def byte_letters() -> dict[str, int]:
 
 
 class Encoder:
-    """Encodes and decodes with one vocabulary file.
+    """Encodes with one vocabulary file.
 
     A pair of neighbouring bytes that no token of the vocabulary contains can lie in no
     token of an encoding, so every such pair is a certain cut: what stands on its two sides is
@@ -53,12 +54,10 @@ class Encoder:
     def __init__(self, spec: str) -> None:
         data = json.loads(spec)
         letters = byte_letters()
-        as_bytes = lambda token: bytes(letters[c] for c in token)
+        as_bytes = lambda token: bytes(map(letters.__getitem__, token))
         model = data["model"]
         self.added = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.ids = {as_bytes(t): n for t, n in model["vocab"].items() if t not in self.added}
-        self.tokens = {n: t for t, n in self.ids.items()} | {
-            n: t.encode() for t, n in self.added.items()}
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         pairs = [(as_bytes(a), as_bytes(b)) for a, b in merges]
         self.ranks = {self.ids[a] << PAIR | self.ids[b]: n for n, (a, b) in enumerate(pairs)}
@@ -81,7 +80,18 @@ class Encoder:
         self.kept: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text. Chunks that are not known yet are encoded together."""
+        """Ids of each text; some millions of characters at a time bound the memory."""
+        found: list[np.ndarray] = []
+        start = size = 0
+        for end, text in enumerate(texts, 1):
+            size += len(text)
+            if size >= CHARS_AT_ONCE or end == len(texts):
+                found += self._encode(texts[start:end])
+                start, size = end, 0
+        return found
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Chunks that are not known yet are encoded together."""
         if len(self.kept) > KEPT:
             self.kept.clear()
         parts = [self._parts(text) for text in texts]
@@ -95,9 +105,6 @@ class Encoder:
                 del kept[chunk]
         return found
 
-    def decode(self, ids: np.ndarray) -> str:
-        return b"".join(map(self.tokens.__getitem__, ids.tolist())).decode("utf-8", "replace")
-
     def _parts(self, text: str) -> list[str]:
         """Chunks, and added tokens as chunks of their own."""
         if self.special is None or not self.special.search(text):
@@ -219,6 +226,25 @@ class Encoder:
         return [part for part in parts if part >= 0]
 
 
+class Decoder:
+    """The bytes of every id of a vocabulary file."""
+
+    def __init__(self, spec: str) -> None:
+        data, letters = json.loads(spec), byte_letters()
+        self.tokens = {
+            n: bytes(map(letters.__getitem__, token)) for token, n in data["model"]["vocab"].items()
+            if all(c in letters for c in token)
+        } | {t["id"]: t["content"].encode() for t in data["added_tokens"]}
+
+    def decode(self, ids: np.ndarray) -> str:
+        return b"".join(map(self.tokens.__getitem__, ids.tolist())).decode("utf-8", "replace")
+
+
+@lru_cache(maxsize=2)
+def _decoder(spec: str) -> Decoder:
+    return Decoder(spec)
+
+
 @lru_cache(maxsize=2)
 def _encoder(spec: str) -> Encoder:
     return Encoder(spec)
@@ -252,8 +278,7 @@ def bpe_decode(docs: DataFrame, vocabulary: str, ids_column: str = "ids",
     shared = _shared(docs, vocabulary)
 
     def decode(ids: pa.Array) -> pa.Array:
-        encoder = _encoder(shared.value)
-        return pa.array(map(encoder.decode, _lists(ids)), pa.string())
+        return pa.array(map(_decoder(shared.value).decode, _lists(ids)), pa.string())
 
     return docs.withColumn(decoded_column, F.arrow_udf(decode, "string")(F.col(ids_column)))
 

@@ -7,18 +7,17 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-KEPT = 150_000  # chunks a worker keeps the ids of; then it starts anew
+KEPT = 60_000  # chunks a worker keeps the ids of; then it starts anew
 LONGEST_KEPT = 64
-AT_ONCE = 50_000  # chunks encoded together
-CHARS_AT_ONCE = 1 << 21
+AT_ONCE = 20_000  # chunks encoded together
+CHARS_AT_ONCE = 1 << 20
 LONG = 256  # bytes of a fragment that is merged by a heap
 PAIR = 24  # bits of an id within the key of a pair
 
@@ -283,13 +282,23 @@ def bpe_decode(docs: DataFrame, vocabulary: str, ids_column: str = "ids",
     return docs.withColumn(decoded_column, F.arrow_udf(decode, "string")(F.col(ids_column)))
 
 
-def ids_sha256(ids: Column) -> Column:
-    """Lowercase hex digest of the ids as little-endian unsigned 32-bit integers."""
-    def digest(ids: pa.Array) -> pa.Array:
-        return pa.array(
-            (sha256(n.astype("<u4").tobytes()).hexdigest() for n in _lists(ids)), pa.string())
+def bpe_round_trip(docs: DataFrame, vocabulary: str, text_column: str = "text",
+                   column: str = "coded") -> DataFrame:
+    """``docs`` with ``ids``, packed as little-endian 32-bit integers, and the ``decoded`` text.
 
-    return F.arrow_udf(digest, "string")(ids)
+    Both in one struct from one Python worker, so a text crosses to it and is encoded once.
+    """
+    shared = _shared(docs, vocabulary)
+
+    def both(texts: pa.Array) -> pa.Array:
+        encoder, decoder = _encoder(shared.value), _decoder(shared.value)
+        found = encoder.encode([text or "" for text in texts.to_pylist()])
+        packed = pa.array((n.astype("<u4").tobytes() for n in found), pa.binary())
+        return pa.StructArray.from_arrays(
+            [packed, pa.array(map(decoder.decode, found), pa.string())], ["ids", "decoded"])
+
+    coded = F.arrow_udf(both, "struct<ids:binary,decoded:string>").asNondeterministic()
+    return docs.withColumn(column, coded(F.col(text_column)))
 
 
 def _lists(ids: pa.Array) -> Iterator[np.ndarray]:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tidemark.llm.bpe import bpe_decode, bpe_encode, ids_sha256
+from tidemark.llm.bpe import bpe_round_trip
 from tidemark.llm.chat import canonical_turns, chat_format, read_back
 from tidemark.llm.common import find_package, text_or_empty
 from tidemark.llm.exact_dedup import exact_dedup
@@ -58,11 +58,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_digests(docs: DataFrame) -> DataFrame:
-    coded = bpe_decode(bpe_encode(docs, VOCABULARY), VOCABULARY)
+    coded = bpe_round_trip(docs, VOCABULARY)
     return coded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        ids_sha256(F.col("ids")).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+        "doc_id", (F.length("coded.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("coded.ids", 256).alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"))
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

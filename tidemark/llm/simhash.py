@@ -23,9 +23,14 @@ PAIRS_AT_ONCE = 1 << 22
 _WORD = re.compile(SPACE.replace("[", "[^").encode() + b"+")
 
 
+def words_of(text: str | None) -> list[bytes]:
+    """The words, A-Z lower-cased."""
+    return _WORD.findall((text or "").encode().lower())
+
+
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     """64 majority bits over the hashes of all shingles, repeats included; 0 without a word."""
-    found = _WORD.findall((text or "").encode().lower())
+    found = words_of(text)
     if not found:
         return 0
     ends = range(max(len(found) - shingle + 1, 1))
@@ -156,11 +161,12 @@ def simhash(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
 def components_of(marked: DataFrame, radius: int = RADIUS, most: int = MOST_IN_BUCKET) -> DataFrame:
     """``fp``, ``root`` (the smallest fingerprint), ``component_id`` from rows of id and fp."""
     values = stored(marked.groupBy("fp").agg(F.min("id").alias("least_id")), "values")
-    roots = components(links(values.select("fp"), radius, most))
-    rooted = values.join(roots, values["fp"] == roots["node"], "left").select(
-        "fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    least = stored(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "least")
-    return stored(rooted.join(least, "root").select("fp", "root", "component_id"), "components")
+    return _rooted(values, components(links(values.select("fp"), radius, most)))
+
+
+def rooted(marked: DataFrame, roots: DataFrame) -> DataFrame:
+    """As ``components_of``, from ``node`` and ``root`` of the linked fingerprints."""
+    return _rooted(stored(marked.groupBy("fp").agg(F.min("id").alias("least_id")), "values"), roots)
 
 
 def without_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
@@ -175,7 +181,13 @@ def without_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column:
         named(id_column).alias("id"), fingerprints(named(text_column), shingle).alias("fp"),
         F.xxhash64(named(text_column)).alias("hash"),
     ), "fingerprints")
-    places = marked.join(components_of(marked, radius, most), "fp")
+    return without_others(docs, marked, components_of(marked, radius, most), id_column, text_column)
+
+
+def without_others(docs: DataFrame, marked: DataFrame, ids: DataFrame, id_column: str,
+                   text_column: str) -> DataFrame:
+    """The rows of ``docs`` that stay, from ``id``, ``fp``, ``hash`` of each and the components."""
+    places = marked.join(ids, "fp")
     first = F.min(F.when(F.col("id").eqNullSafe(F.col("component_id")), F.struct("fp", "hash")))
     best = stored(places.groupBy("root").agg(first.alias("best")), "best")
     settled = places.join(best, "root").withColumn(
@@ -192,6 +204,13 @@ def without_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column:
     return unpacked(kept if alone else kept.dropDuplicates(["id", "hash"]))
 
 
+def _rooted(values: DataFrame, roots: DataFrame) -> DataFrame:
+    members = values.join(roots, values["fp"] == roots["node"], "left").select(
+        "fp", "least_id", F.coalesce("root", "fp").alias("root"))
+    least = stored(members.groupBy("root").agg(F.min("least_id").alias("component_id")), "least")
+    return stored(members.join(least, "root").select("fp", "root", "component_id"), "components")
+
+
 def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 

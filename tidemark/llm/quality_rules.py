@@ -130,7 +130,8 @@ def measured(docs: DataFrame, text_column: str = "text",
 
 
 def estimates(rows: DataFrame, share: float = SHARE, steps: int = STEPS) -> DataFrame:
-    """Location and scatter of every group: minimum covariance determinant.
+    """Location and scatter of every group: minimum covariance determinant, approximated by
+    one start and a fixed number of steps, without a test of convergence.
 
     ``rows`` holds the group and the axes of the documents that pass the fixed limits. The
     start is the axis-wise median; each concentration step keeps the ``share`` of a group

@@ -1,5 +1,6 @@
 """The queries of this package as DuckDB SQL, where SQL can express them."""
 
+from tidemark.llm import collocations as phrases
 from tidemark.llm import quality_rules as rules
 from tidemark.llm.mixing import MOST, WEIGHTS
 from tidemark.llm.queries import URL_RULES
@@ -248,6 +249,40 @@ SELECT conv_id, count(*) AS n_turns,
 FROM shown GROUP BY conv_id
 """
 
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, '{phrases.UNKNOWN}') AS lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS words
+  FROM (SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), {_LOWER}), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)),
+totals AS (SELECT lang, sum(len(words))::HUGEINT AS n FROM pieces GROUP BY lang),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(words) - k + 2), lambda i: array_to_string(words[i:i + k - 1], ' '))) AS phrase
+  FROM pieces, (SELECT unnest(range(1, {phrases.LONGEST + 1})) AS k) WHERE len(words) >= k),
+counts AS (
+  SELECT lang, k, phrase, count(*)::HUGEINT AS a FROM grams GROUP BY ALL HAVING count(*) >= {phrases.LEAST}),
+candidates AS (SELECT *, string_split(phrase, ' ') AS parts FROM counts WHERE k > 1),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM candidates),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r, n, cut, (1000::HUGEINT * c.a * n) // (x.a * y.a) AS score
+  FROM cuts c
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(parts[1:cut], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(parts[cut + 1:], ' ')
+  JOIN totals t ON t.lang = c.lang),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_ AS (
+  SELECT lang, a, array_to_string(parts[start:start + size - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, k - size + 2)) AS start FROM (
+    SELECT *, unnest(range(2, k)) AS size FROM candidates WHERE k > 2))),
+longer AS (SELECT lang, phrase, max(a) AS longest FROM inner_ GROUP BY ALL)
+SELECT lang, row_number() OVER best_first AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r,
+  n::BIGINT AS n, score::BIGINT AS score
+FROM best LEFT JOIN longer USING (lang, phrase)
+WHERE longest IS NULL OR 100 * longest < {phrases.SHARE} * a
+WINDOW best_first AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY rank <= {phrases.TOP}
+"""
+
 ORACLE = {
     "op1_url_filter": URL_FILTER,
     "op4_exact_dedup": EXACT_DEDUP,
@@ -255,4 +290,5 @@ ORACLE = {
     "op7_chat": CHAT,
     "op8_quality_rules": QUALITY_RULES,
     "op9_mixing": MIXING,
+    "op11_collocations": COLLOCATIONS,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from tidemark.llm.bpe import bpe_round_trip
 from tidemark.llm.chat import canonical_turns, chat_format, read_back
+from tidemark.llm.collocations import collocations
 from tidemark.llm.common import find_package, text_or_empty
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.line_dedup import line_dedup
@@ -131,9 +132,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents", "text", "lang"))
+
+
 QUERIES = {
     query.__name__: query for query in (
         op1_url_filter, op2_quality_classifier, op3_bpe, op4_exact_dedup, op5_line_dedup,
         op6_simhash, op7_chat, op8_quality_rules, op9_mixing, op10_toxicity,
+        op11_collocations,
     )
 }

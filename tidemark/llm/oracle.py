@@ -283,6 +283,85 @@ WINDOW best_first AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
 QUALIFY rank <= {phrases.TOP}
 """
 
+# Spark's crc32 of a short ASCII string, bit by bit.
+_CRC = """xor(list_reduce(list_concat([4294967295], flatten(list_transform(
+    string_split(conv || ':' || number, ''), lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+  ), 4294967295)"""
+
+
+def _option(letter: str, cost: str, after: str, role: str | None, text: str) -> str:
+    """A way from a turn to the end: cost, audit and repaired text."""
+    said = f"{role} || ':' || {text} || CASE WHEN {after}.said IS NULL THEN '' ELSE chr(10) || {after}.said END"
+    return (f"{{'cost': {after}.cost + {cost}, 'audit': '{letter}' || {after}.audit, "
+            f"'said': {f'{after}.said' if role is None else said}}}")
+
+
+def _least(options: list[str]) -> str:
+    return f"list_min([{', '.join(options)}])"
+
+
+def _edits(follow: str, keep: str) -> str:
+    """The best of Delete, Keep (where the condition holds) and Rerole, for one state."""
+    role, state = ("'user'", "u") if follow == "u" else ("'assistant'", "a")
+    own = {"u": [("u", "f.after.u")], "a": [("a", "f.after.a")], "0": [("s", "f.after.s"), ("u", "f.after.u")]}[keep]
+    kept = [f"CASE WHEN NOT gone AND initial = '{c}' THEN {_option('K', 'extra', then, 'role', 'body')} END"
+            for c, then in own]
+    return _least([*kept, f"CASE WHEN NOT gone THEN {_option('R', '3 + extra', f'f.after.{state}', role, 'body')} END"])
+
+
+_END = "{'cost': %d, 'audit': '%s', 'said': %s}"
+_STATES = ("n", "s", "u", "a")
+_FINISH = ", ".join(f"'{q}': " + _END % x for q, x in zip(_STATES, (
+    (0, "", "NULL::VARCHAR"), (6, "II", "'user:' || chr(10) || 'assistant:'"), (3, "I", "'assistant:'"), (0, "", "NULL::VARCHAR"))))
+_DELETED = {q: _option("D", "4", f"f.after.{q}", None, "") for q in _STATES}
+TURN_REPAIR = rf"""
+WITH RECURSIVE shown AS (
+  SELECT conv_id, turn, coalesce(CAST(conv_id AS VARCHAR), ' ') AS conv, coalesce(CAST(turn AS VARCHAR), ' ') AS number,
+    coalesce(role, ' ') AS role, coalesce(text, ' ') AS body
+  FROM conversations),
+faulty AS (SELECT *, {_CRC} % 20 AS fault FROM shown),
+damaged AS (
+  SELECT conv_id, conv, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(body, '[.!?]', '', 'g') ELSE body END AS body,
+    unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM faulty WHERE fault <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, body) AS i FROM damaged),
+marked AS (
+  SELECT *, substr(role, 1, 1) AS initial, NOT regexp_matches(body, '[^ 	-
+]') AS blank,
+    row_number() OVER (PARTITION BY conv, role, body ORDER BY i) > 1 AS again,
+    NOT regexp_matches(body, '[.!?][ 	-
+]*\z') AS open_end,
+    lag(substr(role, 1, 1)) OVER (PARTITION BY conv ORDER BY i) AS before
+  FROM placed),
+turns AS (
+  SELECT *, blank OR again AS gone, CASE WHEN open_end THEN 3 ELSE 0 END AS extra FROM marked),
+counts AS (
+  SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (open_end AND NOT gone) AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS last
+  FROM turns GROUP BY conv),
+best AS (
+  SELECT conv, last + 1 AS i, {{{_FINISH}}} AS after FROM counts
+  UNION ALL
+  SELECT conv, i, {{'n': least(n, {_option("I", "3", "u", "'user'", "''")}), 's': least(s, {_option("I", "3", "u", "'user'", "''")}), 'u': u, 'a': a}}
+  FROM (
+    SELECT conv, i, n, s, {_least(["u", _option("I", "3", "a", "'assistant'", "''")])} AS u,
+      {_least(["a", _option("I", "3", "u", "'user'", "''")])} AS a
+    FROM (
+      SELECT f.conv, t.i,
+        {_least([_DELETED["n"], _edits("u", "0")])} AS n, {_least([_DELETED["s"], _edits("u", "u")])} AS s,
+        {_least([_DELETED["u"], _edits("a", "a")])} AS u, {_least([_DELETED["a"], _edits("u", "u")])} AS a
+      FROM best f JOIN turns t ON t.conv = f.conv AND t.i = f.i - 1))),
+done AS (SELECT conv, after.n AS x FROM best WHERE i = 1)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(x.cost, 0)::BIGINT AS cost,
+  coalesce(x.audit, '') AS audit, sha256(coalesce(x.said, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, conv FROM shown) LEFT JOIN counts USING (conv) LEFT JOIN done USING (conv)
+"""
+
 ORACLE = {
     "op1_url_filter": URL_FILTER,
     "op4_exact_dedup": EXACT_DEDUP,
@@ -291,4 +370,5 @@ ORACLE = {
     "op8_quality_rules": QUALITY_RULES,
     "op9_mixing": MIXING,
     "op11_collocations": COLLOCATIONS,
+    "op12_turn_repair": TURN_REPAIR,
 }

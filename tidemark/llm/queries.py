@@ -17,6 +17,7 @@ from tidemark.llm.quality_classifier import quality_scores
 from tidemark.llm.quality_rules import STATS, quality_rules
 from tidemark.llm.simhash import as_hex, simhash
 from tidemark.llm.toxicity import toxicity_scores
+from tidemark.llm.turn_repair import damaged, repair_turns
 from tidemark.llm.url_filter import ListRule, url_filter
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -136,10 +137,22 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents", "text", "lang"))
 
 
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    said = F.zip_with("roles", "texts", lambda role, text: F.concat(role, F.lit(":"), text))
+    repaired = repair_turns(damaged(turns)).withColumn("repaired", F.array_join(said, "\n"))
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    every = turns.select("conv_id").distinct().alias("c")
+    return every.join(repaired, F.col("c.conv_id").eqNullSafe(repaired["conv_id"]), "left").select(
+        "c.conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        text_or_empty("audit").alias("audit"),
+        F.sha2(text_or_empty("repaired"), 256).alias("repaired_sha256"))
+
+
 QUERIES = {
     query.__name__: query for query in (
         op1_url_filter, op2_quality_classifier, op3_bpe, op4_exact_dedup, op5_line_dedup,
         op6_simhash, op7_chat, op8_quality_rules, op9_mixing, op10_toxicity,
-        op11_collocations,
+        op11_collocations, op12_turn_repair,
     )
 }

@@ -89,7 +89,7 @@ def test_trie_bursts_and_spills():
 
     def take(everything=False):
         for rows, counts in trie.spill(everything):
-            for row, n in zip(rows.tolist(), counts):
+            for row, n in zip(rows.tolist(), counts.tolist()):
                 seen[tuple(row)] += n
 
     spilled = 0
@@ -110,10 +110,10 @@ def test_trie_bursts_and_spills():
 def test_small_tasks_give_the_same(spark, monkeypatch):
     """Chunks of a few words, a trie that spills all the time, word numbers that start anew."""
     docs = corpus(4, 40)
-    counter = module._Counter(2, np.full(1, 2**64 - 1, np.uint64), 0, 1)
+    counter = module._Counter((2,), 1, np.full(1, 2**64 - 1, np.uint64), 0, 1, None)
     monkeypatch.setattr(module, "TOKENS_AT_ONCE", 7)
     monkeypatch.setattr(module, "MOST_WORDS", 5)
-    counter.trie = HatTrie(burst=2, most=4)
+    counter.tries[2] = HatTrie(burst=2, most=4)
     found = Counter()
     batches = [b for lang, text in docs for b in counter.read(lang or "und", text.encode())]
     for batch in [*batches, *counter.end()]:

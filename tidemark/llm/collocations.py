@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
-from itertools import count, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -46,9 +45,10 @@ class Node(dict):
 class HatTrie:
     """Counts of word-id sequences of one length.
 
-    Hash containers hold the rest of a sequence below the word ids that lead to them. One that
-    outgrows ``burst`` entries becomes a node with a container for each next word. Beyond
-    ``most`` entries the largest subtrees leave as sorted runs, whole, until half is free.
+    Hash containers hold the rest of a sequence, packed (one last id: as a number), below the word
+    ids that lead to them. One that outgrows ``burst`` entries becomes a node with a container for
+    each next word. Beyond ``most`` entries the largest subtrees leave as sorted runs, whole,
+    until half is free.
     """
 
     def __init__(self, burst: int = BURST, most: int = MOST_ENTRIES):
@@ -58,29 +58,27 @@ class HatTrie:
 
     def add(self, sequences: np.ndarray, counts: np.ndarray) -> None:
         """Different sequences, one a row, sorted by id, and how often each was seen."""
-        if not len(sequences):
-            return
-        rows = np.ascontiguousarray(sequences, np.int32)
-        keys = rows.view(f"V{4 * rows.shape[1]}").ravel().tolist()
-        self.root = self._put(self.root, list(zip(keys, counts.tolist())))
+        if len(sequences):
+            self.root = self._put(self.root, np.ascontiguousarray(sequences, np.int32), counts)
 
-    def _put(self, at: dict, items: list[tuple[bytes, int]]) -> dict:
+    def _put(self, at: dict, rows: np.ndarray, counts: np.ndarray) -> dict:
         if isinstance(at, Node):
-            for word, own in groupby(items, key=lambda item: item[0][:4]):
-                at[word] = self._put(at.get(word, {}), [(key[4:], n) for key, n in own])
+            heads, rest = rows[:, 0], np.ascontiguousarray(rows[:, 1:])
+            cuts = np.flatnonzero(np.r_[True, heads[1:] != heads[:-1], True]).tolist()
+            for word, lo, hi in zip(heads[cuts[:-1]].tolist(), cuts, cuts[1:]):
+                at[word] = self._put(at.get(word, {}), rest[lo:hi], counts[lo:hi])
             return at
         before = len(at)
-        for key, n in items:
+        for key, n in zip(_keys(rows), counts.tolist()):
             at[key] = at.get(key, 0) + n
         self.entries += len(at) - before
-        if len(at) <= self.burst or len(items[0][0]) == 4:
+        if len(at) <= self.burst or rows.shape[1] == 1:
             return at
-        node = Node()
-        for key, n in at.items():
-            node.setdefault(key[:4], {})[key[4:]] = n
-        return node
+        rows, counts = _sorted(_ids(at), np.fromiter(at.values(), np.int64, len(at)))
+        self.entries -= len(at)
+        return self._put(Node(), rows, counts)
 
-    def spill(self, everything: bool = False) -> Iterator[tuple[np.ndarray, list[int]]]:
+    def spill(self, everything: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Subtrees as (sequences, counts), removed while they are handed out."""
         least = 0 if everything else self.most // 2
         if self.entries <= (0 if everything else self.most):
@@ -91,10 +89,10 @@ class HatTrie:
                     return
                 tree = self.root.pop(word)
                 self.entries -= _size(tree)
-                yield from _flat(tree, word)
+                yield _flat(tree, (word,))
         else:
             tree, self.root, self.entries = self.root, {}, 0
-            yield from _flat(tree, b"")
+            yield _flat(tree, ())
 
 
 def phrase_counts(docs: DataFrame, text_column: str = "text", lang_column: str = "lang",
@@ -102,10 +100,10 @@ def phrase_counts(docs: DataFrame, text_column: str = "text", lang_column: str =
     """Phrases of up to ``longest`` words seen ``least`` times in their language, and words in all.
 
     The first table has ``lang``, ``phrase``, ``k`` (words), ``n`` (occurrences); the second
-    ``lang``, ``total``. Lengths are counted one after the other. A sequence is inserted only
-    if both its shorter parts may be frequent, as a filter of their hashes says; a false
-    positive costs room, never a count. Each task's sorted runs meet by whole phrase: a common
-    first word or pair of words thus makes no partition larger than others.
+    ``lang``, ``total``. Lengths are counted in the order of ``steps``. A sequence is inserted only
+    if all its parts of the length counted last may be frequent, as a filter of their hashes says;
+    a false positive costs room, never a count. Each task's sorted runs meet by whole phrase: a
+    common first word or pair of words thus makes no partition larger than others.
 
     The filter has ``BITS_EACH`` bits for each frequent phrase. Where that would pass
     ``max_bits``, the phrases are dealt by hash into several filters, and as many passes over the
@@ -114,23 +112,33 @@ def phrase_counts(docs: DataFrame, text_column: str = "text", lang_column: str =
     texts = docs.select(
         F.coalesce(named(lang_column), F.lit(UNKNOWN)).alias("lang"),
         text_or_empty(named(text_column)).alias("text"))
-    first = stored(_merged(_runs(texts, 1, None, 0, 1)).where((F.col("n") >= least) | F.isnull("phrase")), "phrases")
+    first = stored(_merged(_runs(texts, (1,))).where((F.col("n") >= least) | F.isnull("phrase")), "phrases")
     totals = first.where("phrase is null").select("lang", F.col("n").alias("total"))
     levels = [first.where(F.col("phrase").isNotNull() & (F.col("n") >= least)).withColumn("k", F.lit(1))]
-    for k in range(2, longest + 1):
-        known = levels[-1].count()
+    words, last = None, levels[0]
+    for sizes, part_size in zip(steps(longest)[1:], steps(longest)):
+        known = last.count()
         if not known:
             break
         passes = -(-known * BITS_EACH // max_bits)
         bits = min(max_bits, 1 << max(known * BITS_EACH // passes, 64).bit_length())
-        parts = [
-            _runs(texts, k, _filter(levels[-1], bits, n, passes), n, passes) for n in range(passes)
-        ]
+        parts = []
+        for n in range(passes):
+            table = _filter(last, bits, n, passes)
+            words = table if sizes == (2,) and passes == 1 else words
+            parts.append(_runs(texts, sizes, part_size[-1], table, n, passes, words))
         counted = _merged(reduce(DataFrame.union, parts)).where(F.col("n") >= least)
-        levels.append(stored(counted.withColumn("k", F.lit(k)), "phrases"))
+        levels.append(stored(counted.withColumn("k", F.size(F.split("phrase", " "))), "phrases"))
+        last = levels[-1].where(F.col("k") == sizes[-1])
     return reduce(DataFrame.union, levels).select("lang", "phrase", "k", "n"), totals
 
 
+def steps(longest: int) -> list[tuple[int, ...]]:
+    """Lengths counted in one pass: 1, 2 and 3 alone, then two at a time."""
+    return [(k,) for k in range(1, min(longest, 3) + 1)] + [
+        tuple(range(k, min(k + 2, longest + 1))) for k in range(4, longest + 1, 2)]
+
+
 def collocations(docs: DataFrame, text_column: str = "text", lang_column: str = "lang",
                  longest: int = LONGEST, least: int = LEAST, share: int = SHARE, top: int = TOP,
                  max_bits: int = MAX_BITS) -> DataFrame:
@@ -186,10 +194,11 @@ def _merged(runs: DataFrame) -> DataFrame:
     return runs.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
-def _runs(texts: DataFrame, size: int, known, part: int, passes: int) -> DataFrame:
+def _runs(texts: DataFrame, sizes: tuple[int, ...], part_size: int = 0, known=None, part: int = 0,
+          passes: int = 1, words=None) -> DataFrame:
     """Each task's counts of sequences, as sorted runs; with size 1 also its words in all."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _Counter(size, known and known.value, part, passes)
+        counter = _Counter(sizes, part_size, known and known.value, part, passes, words and words.value)
         for batch in batches:
             langs, bodies = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()
             for name, body in zip(langs, bodies):
@@ -217,28 +226,52 @@ def _filter(phrases: DataFrame, bits: int, part: int, passes: int):
     return phrases.sparkSession.sparkContext.broadcast(table)
 
 
+class _Words(dict):
+    """Ids of a language's words; 0 for what cannot be part of a frequent phrase."""
+
+    def __init__(self, counter: "_Counter", lang: str):
+        super().__init__({b".": 0})
+        self.counter, self.lang, self.seed = counter, lang, xxhash.xxh32_intdigest(lang)
+
+    def __missing__(self, word: bytes) -> int:
+        own = self.counter
+        hashed = xxhash.xxh64_intdigest(word, self.seed)
+        if own.words is not None:
+            place = hashed % (8 * len(own.words))
+            if not own.words[place >> 3] >> (place & 7) & 1:
+                self[word] = 0
+                return 0
+        self[word] = at = len(own.names)
+        own.names.append(word)
+        own.langs.append(self.lang)
+        own.hashes.append(hashed)
+        return at
+
+
 class _Counter:
-    """Reads the texts of one task into a trie."""
+    """Reads the texts of one task into tries, one for each size."""
 
-    def __init__(self, size: int, known: np.ndarray | None, part: int, passes: int):
-        self.size, self.known, self.part, self.passes = size, known, part, passes
-        self.trie = HatTrie()
+    def __init__(self, sizes: tuple[int, ...], part_size: int, known: np.ndarray | None, part: int,
+                 passes: int, words: np.ndarray | None):
+        self.part_size, self.known, self.part, self.passes = part_size, known, part, passes
+        self.words = None if words is None else words.tobytes()
+        self.tries = {size: HatTrie() for size in sizes}
         self.totals: dict[str, int] = defaultdict(int)
         self.waiting: list[int] = []
         self._renumber()
 
     def _renumber(self) -> None:
-        """Word ids, from 1, differ between languages; 0 stands between pieces."""
-        following = count(1).__next__
-        self.ids: dict[str, dict[bytes, int]] = defaultdict(lambda: defaultdict(following, {b".": 0}))
-        self.order: list[tuple[str, bytes]] = [("", b".")]
-        self.hashes = np.zeros(1, np.uint64)
+        """Word ids, from 1, differ between languages; 0 also stands between pieces."""
+        self.ids: dict[str, _Words] = {}
+        self.names, self.langs, self.hashes = [b"."], [""], [0]
 
     def read(self, lang: str, body: bytes) -> Iterator[pa.RecordBatch]:
         found = tokens(body)
+        if lang not in self.ids:
+            self.ids[lang] = _Words(self, lang)
         self.waiting += map(self.ids[lang].__getitem__, found)
         self.waiting.append(0)
-        if self.size == 1:
+        if 1 in self.tries:
             self.totals[lang] += len(found) - found.count(b".")
         if len(self.waiting) >= TOKENS_AT_ONCE:
             yield from self._count()
@@ -253,81 +286,97 @@ class _Counter:
 
     def _count(self) -> Iterator[pa.RecordBatch]:
         ids, self.waiting = np.array(self.waiting, np.int64), []
-        n_known = len(self.order)
-        self.order += [("", b"")] * (sum(len(own) - 1 for own in self.ids.values()) + 1 - n_known)
-        for lang, own in self.ids.items():
-            for word in _newest(own, n_known):
-                self.order[own[word]] = lang, word
-        self.hashes = np.concatenate([self.hashes, np.array(
-            [_word_hash(*pair) for pair in self.order[n_known:]], np.uint64)])
-        self.trie.add(*_distinct(self._sequences(ids)))
+        hashes = np.array(self.hashes, np.uint64)
+        for size, trie in self.tries.items():
+            trie.add(*_distinct(self._sequences(ids, hashes, size)))
         yield from self._written()
-        if len(self.order) > MOST_WORDS:
+        if sum(map(len, self.ids.values())) > MOST_WORDS:
             yield from self._written(everything=True)
             self._renumber()
 
-    def _sequences(self, ids: np.ndarray) -> np.ndarray:
-        """Runs of ``size`` words whose shorter parts may be frequent, one a row."""
-        inside = ids > 0
-        if self.size == 1:
-            return ids[inside][:, None]
-        n = len(ids) - self.size + 2  # shorter parts
-        if n < 2:
-            return np.zeros((0, self.size), np.int64)
-        whole, hashed = inside[:n].copy(), self.hashes[ids[:n]]
-        for step in range(1, self.size - 1):
-            whole &= inside[step : n + step]
-            hashed = _mixed(hashed, self.hashes[ids[step : n + step]])
-        passes, bits = np.uint64(self.passes), np.uint64(64 * len(self.known))
-        own = whole & (hashed % passes == self.part)
-        place = hashed // passes % bits
-        found = own & (self.known[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
-        at = np.flatnonzero(found[:-1] & (found | whole & ~own)[1:])
-        return ids[at[:, None] + np.arange(self.size)]
+    def _sequences(self, ids: np.ndarray, hashes: np.ndarray, size: int) -> np.ndarray:
+        """Runs of ``size`` words whose parts may be frequent, one a row."""
+        whole = ids[: max(len(ids) - size + 1, 0)] > 0
+        for step in range(1, size):
+            whole &= ids[step : step + len(whole)] > 0
+        at = np.flatnonzero(whole)
+        if size > 1:
+            for start in range(size - self.part_size + 1):
+                hashed = hashes[ids[at + start]]
+                for step in range(start + 1, start + self.part_size):
+                    hashed = _mixed(hashed, hashes[ids[at + step]])
+                at = at[self._may_be(hashed, start > 0)]
+        return ids[at[:, None] + np.arange(size)]
+
+    def _may_be(self, hashed: np.ndarray, elsewhere: bool) -> np.ndarray:
+        """What this pass's filter holds, and what falls to another pass if ``elsewhere``."""
+        passes = np.uint64(self.passes)
+        place = hashed // passes % np.uint64(64 * len(self.known))
+        word = self.known[(place >> np.uint64(6)).astype(np.int64)]
+        found = (word >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+        if self.passes == 1:
+            return found
+        own = hashed % passes == self.part
+        return found & own | ~own if elsewhere else found & own
 
     def _written(self, everything: bool = False) -> Iterator[pa.RecordBatch]:
-        names, phrases, counts = [], [], []
-        for rows, n in self.trie.spill(everything):
-            run = []
-            for row, times in zip(rows.tolist(), n):
-                run.append((self.order[row[0]][0], b" ".join([self.order[i][1] for i in row]), times))
-            run.sort()
-            for name, phrase, times in run:
-                names.append(name)
-                phrases.append(phrase)
-                counts.append(times)
-            if len(names) >= ROWS_AT_ONCE:
-                yield _batch(names, phrases, counts)
-                names, phrases, counts = [], [], []
-        if names:
-            yield _batch(names, phrases, counts)
-
-
-def _newest(own: dict[bytes, int], n_known: int) -> Iterator[bytes]:
-    """Words numbered ``n_known`` or later; a dict keeps its order."""
-    for word in reversed(own):
-        if own[word] < n_known:
-            return
-        yield word
-
-
-def _batch(names: list[str], phrases: list[bytes], counts: list[int]) -> pa.RecordBatch:
+        names = None
+        for trie in self.tries.values():
+            runs = []
+            for rows, counts in trie.spill(everything):
+                if names is None:
+                    names = np.empty(len(self.names), object)
+                    names[:] = self.names
+                phrases = names[rows[:, 0]]
+                for step in range(1, rows.shape[1]):
+                    phrases = phrases + b" " + names[rows[:, step]]
+                run = sorted(zip([self.langs[i] for i in rows[:, 0].tolist()], phrases.tolist(), counts.tolist()))
+                runs += run
+                if len(runs) >= ROWS_AT_ONCE:
+                    yield _batch(runs)
+                    runs = []
+            if runs:
+                yield _batch(runs)
+
+
+def _batch(rows: list[tuple[str, bytes, int]]) -> pa.RecordBatch:
+    names, phrases, counts = zip(*rows)
     return pa.record_batch([
         pa.array(names, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()),
         pa.array(counts, pa.int64())], schema=_ARROW)
 
 
+def _keys(rows: np.ndarray) -> list:
+    if rows.shape[1] == 1:
+        return rows[:, 0].tolist()
+    return rows.view(f"V{4 * rows.shape[1]}").ravel().tolist()
+
+
+def _ids(container: dict) -> np.ndarray:
+    """The keys of a container as rows of ids."""
+    if isinstance(next(iter(container)), int):
+        return np.fromiter(container, np.int32, len(container))[:, None]
+    return np.frombuffer(b"".join(container), np.int32).reshape(len(container), -1)
+
+
+def _sorted(rows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(rows[:, 0], kind="stable")
+    return rows[order], counts[order]
+
+
 def _size(tree: dict) -> int:
     return sum(map(_size, tree.values())) if isinstance(tree, Node) else len(tree)
 
 
-def _flat(tree: dict, prefix: bytes) -> Iterator[tuple[np.ndarray, list[int]]]:
+def _flat(tree: dict, prefix: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """All sequences of a subtree and their counts."""
     if isinstance(tree, Node):
-        for word, below in tree.items():
-            yield from _flat(below, prefix + word)
-    elif tree:
-        keys = np.frombuffer(b"".join([prefix + key for key in tree]), np.int32)
-        yield keys.reshape(len(tree), -1), list(tree.values())
+        parts = [_flat(below, (*prefix, word)) for word, below in tree.items()]
+        return np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts])
+    rest = _ids(tree)
+    rows = np.empty((len(rest), len(prefix) + rest.shape[1]), np.int32)
+    rows[:, : len(prefix)], rows[:, len(prefix) :] = prefix, rest
+    return rows, np.fromiter(tree.values(), np.int64, len(tree))
 
 
 def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -2,6 +2,7 @@
 
 from tidemark.llm import collocations as phrases
 from tidemark.llm import quality_rules as rules
+from tidemark.llm.embedding_graph import LEAST
 from tidemark.llm.mixing import MOST, WEIGHTS
 from tidemark.llm.queries import URL_RULES
 from tidemark.llm.url_filter import DEFAULT, MIN_CONFIDENCE, MIN_SUPPORT
@@ -362,6 +363,22 @@ SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank,
 FROM (SELECT DISTINCT conv_id, conv FROM shown) LEFT JOIN counts USING (conv) LEFT JOIN done USING (conv)
 """
 
+EMBEDDING_GRAPH = rf"""
+WITH RECURSIVE rows_ AS (SELECT row_number() OVER () AS n, vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+usable AS (
+  SELECT *, list_transform(v, lambda x: x / list_max(list_transform(v, lambda y: abs(y)))) AS w FROM rows_
+  WHERE label IS NOT NULL AND list_count(v) = len(v)
+    AND len(list_filter(v, lambda x: NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.n, b.n AS m FROM usable a JOIN usable b ON a.label = b.label AND a.n <> b.n AND len(a.w) = len(b.w)
+  WHERE list_dot_product(a.w, b.w) / sqrt(list_dot_product(a.w, a.w)) / sqrt(list_dot_product(b.w, b.w)) >= {LEAST}::DOUBLE),
+reach AS (SELECT n, n AS m FROM rows_ UNION SELECT r.n, l.m FROM reach r JOIN links l ON l.n = r.m),
+least_ AS (SELECT r.n, min(vec_id) AS component_id FROM reach r JOIN rows_ o ON o.n = r.m GROUP BY r.n)
+SELECT vec_id, (SELECT count(*) FROM links l WHERE l.n = rows_.n) AS n_links, component_id,
+  vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM rows_ JOIN least_ USING (n)
+"""
+
 ORACLE = {
     "op1_url_filter": URL_FILTER,
     "op4_exact_dedup": EXACT_DEDUP,
@@ -371,4 +388,5 @@ ORACLE = {
     "op9_mixing": MIXING,
     "op11_collocations": COLLOCATIONS,
     "op12_turn_repair": TURN_REPAIR,
+    "op13_embedding_graph": EMBEDDING_GRAPH,
 }

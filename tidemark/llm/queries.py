@@ -10,6 +10,7 @@ from tidemark.llm.bpe import bpe_round_trip
 from tidemark.llm.chat import canonical_turns, chat_format, read_back
 from tidemark.llm.collocations import collocations
 from tidemark.llm.common import find_package, text_or_empty
+from tidemark.llm.embedding_graph import embedding_links
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.mixing import mix
@@ -149,10 +150,16 @@ def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(text_or_empty("repaired"), 256).alias("repaired_sha256"))
 
 
+def op13_embedding_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    return embedding_links(vectors).withColumnRenamed("id", "vec_id").select(
+        "vec_id", "n_links", "component_id", "kept")
+
+
 QUERIES = {
     query.__name__: query for query in (
         op1_url_filter, op2_quality_classifier, op3_bpe, op4_exact_dedup, op5_line_dedup,
         op6_simhash, op7_chat, op8_quality_rules, op9_mixing, op10_toxicity,
-        op11_collocations, op12_turn_repair,
+        op11_collocations, op12_turn_repair, op13_embedding_graph,
     )
 }

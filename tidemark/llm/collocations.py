@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,7 +29,7 @@ BURST = 4096
 MOST_ENTRIES = 1 << 20
 #: Different words a task numbers before it starts anew.
 MOST_WORDS = 1 << 20
-TOKENS_AT_ONCE = 1 << 20
+TOKENS_AT_ONCE = 1 << 21
 ROWS_AT_ONCE = 1 << 16
 #: Bits of a broadcast filter. More frequent phrases than it holds are taken in several passes.
 MAX_BITS = 1 << 28
@@ -257,7 +259,7 @@ class _Counter:
         self.words = None if words is None else words.tobytes()
         self.tries = {size: HatTrie() for size in sizes}
         self.totals: dict[str, int] = defaultdict(int)
-        self.waiting: list[int] = []
+        self.waiting = array("i")
         self._renumber()
 
     def _renumber(self) -> None:
@@ -269,7 +271,7 @@ class _Counter:
         found = tokens(body)
         if lang not in self.ids:
             self.ids[lang] = _Words(self, lang)
-        self.waiting += map(self.ids[lang].__getitem__, found)
+        self.waiting.extend(map(self.ids[lang].__getitem__, found))
         self.waiting.append(0)
         if 1 in self.tries:
             self.totals[lang] += len(found) - found.count(b".")
@@ -285,7 +287,7 @@ class _Counter:
                 pa.array(self.totals.values(), pa.int64())], schema=_ARROW)
 
     def _count(self) -> Iterator[pa.RecordBatch]:
-        ids, self.waiting = np.array(self.waiting, np.int64), []
+        ids, self.waiting = np.array(self.waiting, np.int64), array("i")
         hashes = np.array(self.hashes, np.uint64)
         for size, trie in self.tries.items():
             trie.add(*_distinct(self._sequences(ids, hashes, size)))
@@ -320,30 +322,29 @@ class _Counter:
         return found & own | ~own if elsewhere else found & own
 
     def _written(self, everything: bool = False) -> Iterator[pa.RecordBatch]:
-        names = None
+        names = langs = None
         for trie in self.tries.values():
-            runs = []
-            for rows, counts in trie.spill(everything):
+            held, n = [], 0
+            for run in trie.spill(everything):
                 if names is None:
-                    names = np.empty(len(self.names), object)
-                    names[:] = self.names
-                phrases = names[rows[:, 0]]
-                for step in range(1, rows.shape[1]):
-                    phrases = phrases + b" " + names[rows[:, step]]
-                run = sorted(zip([self.langs[i] for i in rows[:, 0].tolist()], phrases.tolist(), counts.tolist()))
-                runs += run
-                if len(runs) >= ROWS_AT_ONCE:
-                    yield _batch(runs)
-                    runs = []
-            if runs:
-                yield _batch(runs)
-
-
-def _batch(rows: list[tuple[str, bytes, int]]) -> pa.RecordBatch:
-    names, phrases, counts = zip(*rows)
-    return pa.record_batch([
-        pa.array(names, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()),
-        pa.array(counts, pa.int64())], schema=_ARROW)
+                    names, langs = pa.array(self.names, pa.binary()), pa.array(self.langs, pa.string())
+                held.append(run)
+                n += len(run[0])
+                if n >= ROWS_AT_ONCE:
+                    yield _run(held, names, langs)
+                    held, n = [], 0
+            if held:
+                yield _run(held, names, langs)
+
+
+def _run(subtrees: list[tuple[np.ndarray, np.ndarray]], names: pa.Array, langs: pa.Array) -> pa.RecordBatch:
+    """Whole subtrees, spelt out and sorted by phrase."""
+    rows, counts = (np.concatenate(part) for part in zip(*subtrees))
+    words = [names.take(pa.array(rows[:, i])) for i in range(rows.shape[1])]
+    phrases = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.binary())).cast(pa.string())
+    order = pc.sort_indices(phrases)
+    columns = langs.take(pa.array(rows[:, 0])), phrases, pa.array(counts)
+    return pa.record_batch([column.take(order) for column in columns], schema=_ARROW)
 
 
 def _keys(rows: np.ndarray) -> list:

@@ -242,6 +242,7 @@ def embedding_links(vectors: DataFrame, id_column: str = "vec_id", vector_column
     place = F.pmod(F.xxhash64("vec"), F.col("shards")).alias("shard")
     graphs = stored(
         sized.join(many, ["label", "d"]).select("label", "d", "shards", place, "node", "copies", "vec")
+        .repartition("label", "d", "shard")  # else the join's dealing by label would do for the groups
         .groupBy("label", "d", "shard").applyInPandas(_within, f"label {kind}, d int, shard long, shards long, graph binary, {_FOUND}"),
         "vector-graphs")
     keys = ["label", "d"]

@@ -10,7 +10,7 @@ from tidemark.operators import classify_freshness, readiness, status_summary
 from tidemark.plans import check_domain, check_domains, publish_status
 from tidemark.schemas import STATUS
 from tidemark.sources import expand_tables, poll_defaults, read_documents, status_records
-from tidemark.streaming import watch_domain
+from tidemark.streaming import await_verdict, watch_domain
 from workload.tables import status_events
 
 
@@ -253,3 +253,79 @@ def test_watch_goes_on_where_it_stopped(spark, root, tmp_path):
         ).awaitTermination()
     assert seen == ["WAIT", "READY", "WAIT"]
     assert listed(spark, root, "ready") == ["a", "b"] and listed(spark, root, "failed") == ["new"]
+
+
+EVENT = "domain string, table string, status string, ts timestamp_ntz"
+
+
+def arrived(spark, source, *events):
+    spark.createDataFrame(list(events), EVENT).coalesce(1).write.mode("append").parquet(source)
+    return spark.readStream.schema(EVENT).parquet(source)
+
+
+def moving(*moments):
+    """A clock that goes on with every look and then stands still."""
+    left = list(moments)
+    return lambda: left.pop(0) if len(left) > 1 else left[0]
+
+
+def test_deadline_passes_after_the_last_event(spark, root, tmp_path):
+    """One event, then silence: WAIT before the cut-off, FAILED from it on."""
+    at = dt.datetime(2022, 7, 5, 1)
+    events = arrived(spark, str(tmp_path / "events"), ("d", "a", "SUCCESS", at), ("d", "b", "FAILURE", at))
+    seen = []
+    clock = moving("2022-07-05 14:00:00", "2022-07-05 15:58:59", "2022-07-05 15:59:00")
+    query = watch_domain(events, root, "d", "2022-07-05", clock, str(tmp_path / "checkpoint"),
+                         every="0 seconds", on_verdict=seen.append)
+    while "FAILED" not in seen:
+        assert not query.awaitTermination(0.2)
+    query.stop()
+    assert seen[:3] == ["WAIT", "WAIT", "FAILED"] and listed(spark, root, "failed") == ["b"]
+
+
+def test_deadline_holds_after_a_restart(spark, root, tmp_path):
+    at = dt.datetime(2022, 7, 5, 1)
+    source, checkpoint = str(tmp_path / "events"), str(tmp_path / "checkpoint")
+    events = arrived(spark, source, ("d", "a", "FAILURE", at), ("x", "c", "SUCCESS", at))
+    seen = []
+    query = watch_domain(events, root, "d", "2022-07-05", lambda: "2022-07-05 14:00:00", checkpoint,
+                         every="0 seconds", on_verdict=seen.append)
+    while len(seen) < 2:
+        assert not query.awaitTermination(0.2)
+    query.stop()
+    assert set(seen) == {"WAIT"}
+    # Nothing new but the time of day.
+    again = spark.readStream.schema(EVENT).parquet(source)
+    verdict = await_verdict(again, root, "d", "2022-07-05", lambda: "2022-07-05 16:30:00", checkpoint, "0 seconds")
+    assert verdict == "FAILED" and listed(spark, root, "failed") == ["a"]
+
+
+def test_watch_ends_when_ready(spark, root, tmp_path):
+    at = dt.datetime(2022, 7, 5, 1)
+    events = arrived(spark, str(tmp_path / "events"), ("d", "a", "SUCCESS", at))
+    verdict = await_verdict(events, root, "d", "2022-07-05", lambda: "2022-07-05 14:00:00",
+                            str(tmp_path / "checkpoint"), "0 seconds")
+    assert verdict == "READY" and listed(spark, root, "ready") == ["a"]
+
+
+def test_expected_tables_that_never_report(spark, root, tmp_path):
+    at = dt.datetime(2022, 7, 5, 1)
+    expected = spark.createDataFrame([("d", "a"), ("d", "silent"), ("x", "b"), ("d", "a")], "domain string, table string")
+    events = arrived(spark, str(tmp_path / "events"), ("d", "a", "SUCCESS", at), ("d", "more", "SUCCESS", at))
+    clock = moving("2022-07-05 14:00:00", "2022-07-05 16:00:00")
+    verdict = await_verdict(events, root, "d", "2022-07-05", clock, str(tmp_path / "checkpoint"), "0 seconds", expected)
+    assert verdict == "FAILED" and listed(spark, root, "failed") == ["silent"]
+    nothing = spark.readStream.schema(EVENT).parquet(str(tmp_path / "events")).where("false")
+    clock = moving("2022-07-05 14:00:00", "2022-07-05 16:00:00")
+    verdict = await_verdict(nothing, root, "d", "2022-07-05", clock, str(tmp_path / "other"), "0 seconds", expected)
+    assert verdict == "FAILED" and listed(spark, root, "failed") == ["a", "silent"]
+
+
+def test_a_watch_that_fails_says_so(spark, root, tmp_path):
+    events = arrived(spark, str(tmp_path / "events"), ("d", "a", "SUCCESS", dt.datetime(2022, 7, 5, 1)))
+
+    def broken():
+        raise OSError("no clock")
+
+    with pytest.raises(PySparkException, match="no clock"):
+        await_verdict(events, root, "d", "2022-07-05", broken, str(tmp_path / "checkpoint"), "0 seconds")

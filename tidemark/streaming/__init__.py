@@ -1,3 +1,3 @@
-from tidemark.streaming.readiness import watch_domain
+from tidemark.streaming.readiness import await_verdict, watch_domain, with_expected
 
-__all__ = ["watch_domain"]
+__all__ = ["await_verdict", "watch_domain", "with_expected"]

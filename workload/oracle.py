@@ -328,6 +328,9 @@ ORACLE = {
     "readiness_watch": with_(JUDGED, """
         SELECT 'all' AS domain, table_name, latest_status AS "latestStatus"
         FROM judged WHERE NOT is_fresh"""),
+    "readiness_deadline": with_(JUDGED, """
+        SELECT 'FAILED' AS verdict, table_name, latest_status AS "latestStatus"
+        FROM judged WHERE NOT is_fresh"""),
     "error_export": with_(BOTH, f"SELECT {error_line('2003')} FROM ({QUALITY})"),
     "error_export_tabs": with_(
         f"""customers AS (SELECT c_mktsegment || '|' || CAST(c_nationkey AS VARCHAR) AS label,

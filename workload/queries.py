@@ -25,7 +25,7 @@ from tidemark.sources import (
     read_ingestion_mapping, read_log, read_metric_mapping, read_rule_mapping, read_snapshot,
     read_snapshots, read_status, register_partitions, run_stored_query, status_records,
 )
-from tidemark.streaming import watch_domain
+from tidemark.streaming import await_verdict, watch_domain
 from workload.tables import (
     DAY, FIRST_DAY, LAST_DAY, RUN_TS, balances, plain, status_events, table, transactions,
 )
@@ -573,6 +573,20 @@ def readiness_watch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.select("domain", F.col("table").alias("table_name"), "latestStatus")
 
 
+def readiness_deadline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nothing arrives after the events of all tables, and the cut-off comes: who failed."""
+    source, root = shared_path(spark, "status_events"), shared_path(spark, "deadline")
+    events = status_events(table(spark, sf_dir, "events")).withColumn("domain", F.lit("all"))
+    events.repartitionByRange(2, "ts").write.parquet(source)
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    looks = iter(["2024-01-30 14:00:00"] * 3)
+    outcome = await_verdict(
+        arriving, root, "all", LAST_DAY, lambda: next(looks, "2024-01-30 16:59:00"),
+        shared_path(spark, "deadline_checkpoint"), "0 seconds")
+    listed = spark.read.schema(schemas.STATUS).json(f"{root}/failed")
+    return listed.select(F.lit(outcome).alias("verdict"), F.col("table").alias("table_name"), "latestStatus")
+
+
 # --- text for the indexer ---------------------------------------------------------------
 
 
@@ -672,6 +686,7 @@ QUERIES = {
     "status_publish": status_publish,
     "ready_list": ready_list,
     "readiness_watch": readiness_watch,
+    "readiness_deadline": readiness_deadline,
     "error_export": error_export,
     "error_export_tabs": error_export_tabs,
     "error_export_file": error_export_file,

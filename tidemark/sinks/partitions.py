@@ -1,8 +1,9 @@
 """Replace partitions of a path table, and nothing else.
 
-In both forms one job writes and counts. The old files go when the new ones are
-committed, so a query that fails leaves them, and it may read the table it replaces.
-Partitions that receive no row are emptied afterwards; all others keep what they hold.
+In both forms one job writes and counts. New files are staged and put in place once all are
+written, so a query that fails leaves the old ones, and it may read the table it replaces.
+Partitions that receive no row are emptied; all others keep what they hold. A driver lost on the
+way leaves a journal by which the next run completes the change (``sinks/journal.py``).
 
 Counting happens in the tasks that write the files: a task repeated after the loss of an
 executor is then counted once, like its file.
@@ -12,13 +13,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from itertools import product
-from math import prod
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tidemark.sinks.journal import Replacement
+
 
 def replace_partition(
     df: DataFrame,
@@ -40,11 +41,9 @@ def replace_partition(
     labelled = rows.observe(written, F.count(F.lit(1)).alias("rows")).withColumns(
         {key: F.lit(value) for key, value in partition.items()}
     )
-    _write(labelled, root, list(partition), file_format, max_rows_per_file)
-    count = written.get["rows"]
-    if count == 0:
-        _empty(df.sparkSession, root, {key: [value] for key, value in partition.items()}, set())
-    return count
+    only = {key: [value] for key, value in partition.items()}
+    _write(labelled, root, only, file_format, max_rows_per_file)
+    return written.get["rows"]
 
 
 def replace_partitions(
@@ -66,53 +65,27 @@ def replace_partitions(
     rows = df.withColumn(
         keys[0], F.when(_listed(partitions), F.col(keys[0])).otherwise(outside)
     )
-    # The set holds at most the listed partitions. Without a struct it costs next to nothing.
-    single = len(keys) == 1
-    partition = F.col(keys[0]) if single else F.struct(*keys)
     written = Observation()
-    observed = rows.observe(
-        written, F.count(F.lit(1)).alias("rows"), F.collect_set(partition).alias("filled")
-    )
-    _write(observed, root, keys, file_format, max_rows_per_file)
-    filled = {(found,) if single else tuple(found) for found in written.get["filled"]}
-    if len(filled) < prod(len(values) for values in partitions.values()):
-        _empty(df.sparkSession, root, partitions, filled)
+    observed = rows.observe(written, F.count(F.lit(1)).alias("rows"))
+    _write(observed, root, partitions, file_format, max_rows_per_file)
     return written.get["rows"]
 
 
 def _write(
-    df: DataFrame, root: str, keys: Sequence[str], file_format: str, max_rows_per_file: int
+    df: DataFrame, root: str, partitions: Mapping[str, Sequence], file_format: str, max_rows_per_file: int
 ) -> None:
-    (
-        df.write.mode("overwrite").format(file_format)
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", max_rows_per_file)
-        .partitionBy(*keys)
-        .save(root)
-    )
-
-
-def _empty(
-    spark: SparkSession, root: str, partitions: Mapping[str, Sequence], filled: set[tuple]
-) -> None:
-    """Remove the files of those partitions that received no row; takes no job.
-
-    Spark itself names the folders. They stay, so that a catalog that knows them still finds
-    them.
-    """
-    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
-    filled = {tuple(map(str, values)) for values in filled}
-    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    files = hadoop.Path(root).getFileSystem(conf)
-    for values in product(*partitions.values()):
-        if tuple(map(str, values)) in filled:
-            continue
-        folder = hadoop.Path(root)
-        for key, value in zip(partitions, values):
-            folder = hadoop.Path(folder, names.getPartitionPathString(key, str(value)))
-        if files.exists(folder):
-            for found in files.listStatus(folder):
-                files.delete(found.getPath(), True)
+    change = Replacement(df.sparkSession, root, list(partitions), list(partitions.values()))
+    try:
+        (
+            df.write.format(file_format)
+            .option("maxRecordsPerFile", max_rows_per_file)
+            .partitionBy(*partitions)
+            .save(change.folder)
+        )
+    except BaseException:
+        change.abandon()
+        raise
+    change.commit()
 
 
 def _checked(partitions: Mapping[str, Sequence]) -> None:

@@ -13,12 +13,13 @@ from tidemark.operators import (
 )
 from tidemark.operators.metrics_export import EXPORT_COLUMNS
 from tidemark.plans import (
-    IngestionError, export_errors, ingest_domain, report_batch, write_transform_counts,
+    IngestionError, export_errors, ingest_domain, replace_snapshot, report_batch, write_transform_counts,
 )
 from tidemark.schemas import INGESTION_MAPPING, METRIC_MAPPING, SQL_ERRORS, TRANSFORM_COUNTS
 from tidemark.sinks import shared_path, write_lines
 from tidemark.sources import (
-    QualityRule, mapped_tables, read_ingestion_mapping, read_metric_mapping, run_stored_query,
+    QualityRule, mapped_tables, previous_stored_dates, read_ingestion_mapping, read_metric_mapping,
+    run_stored_query, stored_days,
 )
 
 D1, D2, D3 = (dt.date(2023, 1, day) for day in (8, 9, 10))
@@ -199,6 +200,63 @@ def test_previous_date_however_long_ago(spark, gap):
     assert previous_snapshot_dates({"t": df}, D3 - dt.timedelta(days=gap)) == {"t": None}
 
 
+def stored_history(spark, root, *days, name="t"):
+    path = f"{root}/{name}"
+    for day in days:
+        replace_snapshot(spark.range(2), path, day)
+    return path
+
+
+def days_read(spark, call):
+    """What a call returns, and the dates whose files it opened."""
+    opened = set()
+    real = spark.read.__class__.parquet
+
+    def parquet(self, *paths, **options):
+        opened.update(path.rpartition("=")[2] for path in paths if "as_of_date=" in path)
+        return real(self, *paths, **options)
+
+    spark.read.__class__.parquet = parquet
+    try:
+        return call(), opened
+    finally:
+        spark.read.__class__.parquet = real
+
+
+def test_previous_stored_date_opens_no_older_file(spark, root):
+    days = [D3 - dt.timedelta(days=n) for n in (0, 1, 2, 200, 1000)]
+    path = stored_history(spark, root, *days)
+    (found, opened) = days_read(spark, lambda: previous_stored_dates(spark, {"t": path}, D3))
+    assert found == {"t": days[1]} and opened == {str(days[1])}
+    # Emptied partitions are passed over: one has no file left, one a file without a row.
+    replace_snapshot(spark.range(0), path, days[1])
+    spark.range(0).coalesce(1).write.mode("overwrite").parquet(f"{path}/as_of_date={days[2]}")
+    (found, opened) = days_read(spark, lambda: previous_stored_dates(spark, {"t": path}, D3))
+    assert found == {"t": days[3]} and opened == {str(days[2]), str(days[3])}
+    assert stored_days(spark, path, days[3]) == [days[4]]
+
+
+def test_previous_stored_dates_of_many_tables(spark, root):
+    paths = {n: stored_history(spark, root, D1, D2, name=f"t{n}") for n in range(3)}
+    paths["none"] = f"{root}/never"
+    assert previous_stored_dates(spark, paths, D2) == {0: D1, 1: D1, 2: D1, "none": None}
+    assert previous_stored_dates(spark, paths, D1) == dict.fromkeys(paths)
+
+
+def test_previous_date_from_a_catalog(spark):
+    spark.sql("DROP TABLE IF EXISTS listed_dates")
+    spark.sql("CREATE TABLE listed_dates (id long, region string, as_of_date date) USING parquet "
+              "PARTITIONED BY (as_of_date, region)")
+    for day in (D1, D2):
+        spark.sql(f"INSERT INTO listed_dates VALUES (1, 'x', DATE '{day}'), (1, 'y', DATE '{day}'), (1, 'z', NULL)")
+    spark.sql(f"ALTER TABLE listed_dates ADD PARTITION (as_of_date = '{D3}', region = 'x')")
+    later = D3 + dt.timedelta(days=1)
+    assert stored_days(spark, "listed_dates", later) == [D3, D2, D1]
+    assert previous_stored_dates(spark, {"t": "listed_dates"}, later) == {"t": D2}
+    assert previous_stored_dates(spark, {"t": "default.listed_dates"}, D2) == {"t": D1}
+    spark.sql("DROP TABLE listed_dates")
+
+
 def test_previous_dates_of_many_tables_take_two_jobs(spark):
     tables = {("db", n): history(spark, D3, D3 - dt.timedelta(days=30 * n)) for n in range(1, 9)}
     spark.sparkContext.setJobGroup("previous dates", "")

@@ -50,11 +50,16 @@ def quality(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0
 
 
+def _history(spark: SparkSession, name: str) -> str | DataFrame:
+    """A table by name if its dates are partitions that can be listed, else its rows."""
+    dated = any(c.name == "as_of_date" and c.isPartition for c in spark.catalog.listColumns(name))
+    return name if dated else spark.table(name)
+
+
 def metrics(spark: SparkSession, args: argparse.Namespace) -> int:
     mapping = read_metric_mapping(spark, args.mapping, args.batch, args.table)
     snapshots = {
-        (row.target_database, row.target_table):
-            spark.table(f"{row.target_database}.{row.target_table}")
+        (row.target_database, row.target_table): _history(spark, f"{row.target_database}.{row.target_table}")
         for row in mapping.collect()
     }
     if not snapshots:

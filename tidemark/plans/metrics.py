@@ -13,11 +13,12 @@ from tidemark.operators.metrics_export import metrics_export
 from tidemark.operators.previous_snapshot import previous_snapshot_dates
 from tidemark.sinks.exports import write_delimited
 from tidemark.sources import layout
+from tidemark.sources.partition_dates import previous_stored_dates
 
 
 def report_batch(
     counts: DataFrame,
-    snapshots: Mapping[tuple[str, str], DataFrame],
+    snapshots: Mapping[tuple[str, str], DataFrame | str],
     mapping: DataFrame,
     root: str,
     batch_type: str,
@@ -25,11 +26,14 @@ def report_batch(
 ) -> str:
     """Write the report of all tables of a batch for a date and return its path.
 
-    ``snapshots`` holds the history of each mapped target, by database and table; only the
-    partitions needed to find the previous dates are read, for all tables in one job.
+    ``snapshots`` tells by database and table where each mapped target is: its path or catalog
+    name, of which the names of partitions are listed, or its history as a frame, of which the
+    partitions of the last months are read. All tables share a job.
     """
     day = as_date(as_of)
-    found = previous_snapshot_dates(snapshots, day)
+    listed = {key: table for key, table in snapshots.items() if isinstance(table, str)}
+    frames = {key: df for key, df in snapshots.items() if key not in listed}
+    found = previous_snapshot_dates(frames, day) | previous_stored_dates(counts.sparkSession, listed, day)
     previous = counts.sparkSession.createDataFrame(
         [(*target, day, before) for target, before in found.items()],
         "dest_db string, dest_tbl string, as_of_date date, yest_ingest_dt date",

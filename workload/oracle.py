@@ -282,6 +282,11 @@ ORACLE = {
     "previous_dates": with_(f"{BOTH}, {COUNTS}", f"""
         SELECT dest_db, dest_tbl, CAST(max(as_of_date) FILTER (as_of_date < {D}) AS VARCHAR) AS yest_ingest_dt
         FROM found GROUP BY dest_db, dest_tbl"""),
+    "previous_dates_listed": with_(f"{BOTH}, {COUNTS}", f"""
+        SELECT dest_db, dest_tbl, CAST(max(as_of_date) FILTER (as_of_date < {D} AND NOT (
+          as_of_date = DATE '2024-01-14' AND (dest_db, dest_tbl) = (SELECT min((dest_db, dest_tbl)) FROM found))
+        ) AS VARCHAR) AS yest_ingest_dt
+        FROM found GROUP BY dest_db, dest_tbl"""),
     "run_dates": with_(TRANSACTIONS, f"""
         SELECT DISTINCT CAST(as_of_date AS VARCHAR) AS as_of_date,
           {stamp("CAST(as_of_date AS TIMESTAMP) + INTERVAL 33 HOURS")} AS next_ingest_date,

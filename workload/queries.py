@@ -21,7 +21,7 @@ from tidemark.plans import (
 from tidemark.functions import next_ingest_at, normalise_space, previous_day
 from tidemark.sinks import shared_path, write_lines
 from tidemark.sources import (
-    QualityRule, expand_tables, poll_defaults, quality_rules, read_document_lines, read_history,
+    QualityRule, expand_tables, poll_defaults, previous_stored_dates, quality_rules, read_document_lines, read_history,
     read_ingestion_mapping, read_log, read_metric_mapping, read_rule_mapping, read_snapshot,
     read_snapshots, read_status, register_partitions, run_stored_query, status_records,
 )
@@ -403,6 +403,21 @@ def previous_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "dest_db string, dest_tbl string, yest_ingest_dt date"))
 
 
+def previous_dates_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the names of stored partitions; one table's newest one holds no row."""
+    root, emptied = shared_path(spark, "listed"), "2024-01-14"
+    paths = {}
+    for target, df in _histories(spark, sf_dir).items():
+        paths[target] = f"{root}/{'/'.join(target)}"
+        days = [row[0] for row in df.select("as_of_date").distinct().collect()]
+        replace_snapshots(df, paths[target], [*days, emptied])
+    replace_snapshot(spark.range(0), paths[min(paths)], emptied)
+    found = previous_stored_dates(spark, paths, DAY)
+    return plain(spark.createDataFrame(
+        [(*target, day) for target, day in found.items()],
+        "dest_db string, dest_tbl string, yest_ingest_dt date"))
+
+
 def run_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Next ingest time and previous day of every snapshot date."""
     days = transactions(spark, sf_dir).select("as_of_date").distinct()
@@ -674,6 +689,7 @@ QUERIES = {
     "previous_snapshot": previous_snapshot_of_days,
     "previous_snapshot_history": previous_snapshot_history,
     "previous_dates": previous_dates,
+    "previous_dates_listed": previous_dates_listed,
     "run_dates": run_dates,
     "metrics_export": metrics_export_history,
     "metrics_report": metrics_report,

@@ -81,6 +81,13 @@ def test_stored_query(spark, tmp_path):
     ("SELECT '${as_of_date}'", "inside quotes"), ('SELECT "day ${as_of_date}"', "inside quotes"),
     ("SELECT 1 WHERE d LIKE '%${prev_ingest_date}'", "inside quotes"), ("SELECT ${run_date}", "run_date"),
     ("SELECT ${}", "unknown"),
+    ("-- don't touch\nSELECT 1 WHERE d = '${as_of_date}'", "inside quotes"),
+    ("/* it's */ SELECT 1 WHERE d = '${as_of_date}'", "inside quotes"),
+    ("SELECT `${as_of_date}` FROM t", "inside quotes"), ("SELECT r'\\${as_of_date}'", "inside quotes"),
+    ("SELECT 'it\\'s ${as_of_date}'", "inside quotes"), ("SELECT 'it''s ${as_of_date}'", "inside quotes"),
+    ("SELECT '-- ${as_of_date}'", "inside quotes"), ("SELECT /*+ ${as_of_date} */ 1", "inside quotes"),
+    ("SELECT 'open ${as_of_date}", "inside quotes"), ("SELECT 1 /* open ${as_of_date}", "not closed"),
+    ("SELECT 1 /* a /* b */ ${as_of_date}", "not closed"),
 ])
 def test_stored_query_refuses_what_it_cannot_fill(spark, tmp_path, text, told):
     (tmp_path / "t.hql").write_text(text)
@@ -88,6 +95,22 @@ def test_stored_query_refuses_what_it_cannot_fill(spark, tmp_path, text, told):
         run_stored_query(spark, str(tmp_path), "t", "2023-01-10")
 
 
+@pytest.mark.parametrize(("text", "wanted"), [
+    ("-- don't touch ${nobody}\nSELECT ${as_of_date} AS d", "2023-01-10"),
+    ("/* it's ${nobody} */ SELECT ${as_of_date} AS d /* 'tis done */;\n-- ; ${x}", "2023-01-10"),
+    ("SELECT /* a /* nested ' */ ` */ ${as_of_date} AS d", "2023-01-10"),
+    ("SELECT concat('--', ${as_of_date}, '/*') AS d -- '", "--2023-01-10/*"),
+    ("SELECT concat('it\\'s ', ${as_of_date}) AS d", "it's 2023-01-10"),
+    ("SELECT concat(r'\\', ${as_of_date}) AS d", "\\2023-01-10"),
+    ("SELECT concat(\"'\", ${as_of_date}) AS `the ' day`", "'2023-01-10"),
+    ("SELECT /*+ REPARTITION(2) */ ${as_of_date} AS d", "2023-01-10"),
+    ("-- goes on \\\n ' here\nSELECT ${as_of_date} AS d", "2023-01-10"),
+])
+def test_stored_query_knows_comments_and_quotes(spark, tmp_path, text, wanted):
+    (tmp_path / "t.hql").write_text(text)
+    assert rows(run_stored_query(spark, str(tmp_path), "t", "2023-01-10")) == [(wanted,)]
+
+
 @pytest.mark.parametrize("names", [(), ("a", "b")])
 def test_stored_query_is_one_file(spark, tmp_path, names):
     (tmp_path / "t.hql").mkdir()
@@ -248,7 +271,7 @@ def test_previous_date_from_a_catalog(spark):
     spark.sql("CREATE TABLE listed_dates (id long, region string, as_of_date date) USING parquet "
               "PARTITIONED BY (as_of_date, region)")
     for day in (D1, D2):
-        spark.sql(f"INSERT INTO listed_dates VALUES (1, 'x', DATE '{day}'), (1, 'y', DATE '{day}'), (1, 'z', NULL)")
+        spark.sql(f"INSERT INTO listed_dates VALUES (1, DATE '{day}', 'x'), (1, DATE '{day}', 'y'), (1, NULL, 'z')")
     spark.sql(f"ALTER TABLE listed_dates ADD PARTITION (as_of_date = '{D3}', region = 'x')")
     later = D3 + dt.timedelta(days=1)
     assert stored_days(spark, "listed_dates", later) == [D3, D2, D1]

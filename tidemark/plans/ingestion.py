@@ -87,9 +87,10 @@ def ingest_domain(
     paths: the date is added to them and counted through them. Targets named twice are
     refused before anything is written.
 
-    The metric row of a table is stored as soon as the table is done. A table that fails keeps
-    its old snapshot and metric row and does not stop the others; :class:`IngestionError` names
-    all that failed. Returns the metric rows.
+    Once all tables are done, the metric rows of a database are stored in one write. A table that
+    fails keeps its old snapshot and metric row and does not stop the others;
+    :class:`IngestionError` names all that failed. Returns the metric rows, one a table, which take
+    no further look at the data.
     """
     day = as_date(as_of)
     tables = mapped_tables(mapping, domain)
@@ -98,7 +99,8 @@ def ingest_domain(
     if twice:
         raise ValueError(f"mapped more than once: {', '.join(twice)}")
 
-    def ingest(row: Row) -> tuple[int, DataFrame]:
+    def ingest(row: Row) -> tuple[int, int]:
+        """Rows produced and rows readable afterwards."""
         target = layout.snapshot_root(
             root, row.target_database, row.target_folder, row.target_table
         )
@@ -111,29 +113,38 @@ def ingest_domain(
         else:
             schema = df.drop("as_of_date").schema.add("as_of_date", "date")
             readable = read_snapshot(spark, target, day, schema)
-        return size, stored_counts(readable, row.target_database, row.target_table, day)
+        stored = stored_counts(readable, row.target_database, row.target_table, day)
+        return size, stored.first()["dest_count"]
 
-    def record(row: Row, size: int, stored: DataFrame) -> DataFrame:
+    def counts_of(rows: Sequence[tuple[Row, int, int]]) -> DataFrame:
+        keys = "dest_db string, dest_tbl string, as_of_date date"
         produced = spark.createDataFrame(
-            [(row.target_database, row.target_table, day, size)],
-            "dest_db string, dest_tbl string, as_of_date date, src_count long",
-        )
-        own = spark.createDataFrame([row], mapping.schema)
-        counts = transform_counts(produced, stored, own, run_ts)
-        metrics = layout.transform_counts_root(root, row.target_database)
-        write_transform_counts(counts, metrics, [day], [row.target_table])
-        return counts
+            [(row.target_database, row.target_table, day, size) for row, size, _ in rows],
+            f"{keys}, src_count long")
+        stored = spark.createDataFrame(
+            [(row.target_database, row.target_table, day, found) for row, _, found in rows],
+            f"{keys}, dest_count long")
+        own = spark.createDataFrame([row for row, _, _ in rows], mapping.schema)
+        return transform_counts(produced, stored, own, run_ts)
 
     done, failed = [], {}
     with ThreadPoolExecutor(at_once) as pool:
         started = {pool.submit(inheritable_thread_target(spark)(ingest), row): row for row in tables}
-        # Metric rows share a folder, so they are written here, one table after the other.
         for future in as_completed(started):
             row = started[future]
             try:
-                done.append(record(row, *future.result()))
+                done.append((row, *future.result()))
             except Exception as error:
                 failed[f"{row.target_database}.{row.target_table}"] = error
+    counts = []
+    for database in sorted({row.target_database for row, _, _ in done}):
+        own = [part for part in done if part[0].target_database == database]
+        counts.append(counts_of(own))
+        names = [row.target_table for row, _, _ in own]
+        try:
+            write_transform_counts(counts[-1], layout.transform_counts_root(root, database), [day], names)
+        except Exception as error:
+            failed |= {f"{database}.{name}": error for name in names}
     if failed:
         raise IngestionError(failed)
-    return reduce(DataFrame.unionByName, done)
+    return reduce(DataFrame.unionByName, counts)

@@ -287,6 +287,61 @@ def test_the_network_sees_single_words_and_sequences():
     assert right >= 140
 
 
+def test_long_and_null_texts_are_learned_from(spark, monkeypatch):
+    """Whatever their length; the sample is bounded by bytes, in the order of a hash."""
+    seen = []
+    train = toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda texts, *args: seen.append(sorted(texts)) or train(texts, *args))
+    long = "word " * 30_000
+    docs = spark.createDataFrame([(0, long), (1, None), (2, "short"), (3, "other text")], "doc_id long, text string")
+    labels = spark.createDataFrame([(n, n % 2) for n in range(4)], "doc_id long, toxic int")
+    toxicity.toxicity_scores(docs, labels)
+    toxicity.toxicity_scores(docs, labels, training_bytes=1000)
+    assert seen == [sorted([long, "", "short", "other text"]), sorted(["", "other text"] + (["short"] if len(seen[1]) == 3 else []))]
+
+
+def test_scores_are_those_of_a_plain_forward_pass():
+    """Every window of every text, added up word by word and part by part."""
+    pick = random.Random(11)
+    words = "the of and le la der die el los que scoundrel my über naïve x".split()
+    texts = [" ".join(pick.choice(words) + pick.choice(["", "", "s", "ing"]) for _ in range(n))
+             for n in (0, 1, 2, 3, 7, 40, 300)] + [None, "!!", "One, two. THREE"]
+    net = toxicity.train(texts * 6, [n % 3 == 0 for n in range(6 * len(texts))])
+    scorer = toxicity.Scorer(net)
+
+    def plain(text):
+        found = toxicity.split_words(text)
+        vector = []
+        for word in found:
+            parts = [p for p in toxicity.word_parts(word) if p >= 0]
+            vector.append(sum(net.table[p].astype(float) for p in parts) / len(parts) ** 0.5)
+        hidden, place = [], 0
+        for width in toxicity.WIDTHS:
+            for f in range(toxicity.FILTERS):
+                windows = [sum(vector[t + j] @ net.kernel[:, place + j, f] for j in range(width))
+                           for t in range(len(vector) - width + 1)]
+                if len(vector) < width:
+                    windows = [sum(v @ net.kernel[:, place + j, f] for v in vector for j in range(width))]
+                hidden.append(max(0, max(windows) + net.bias[len(hidden)]))
+            place += width
+        votes = [sum(w in common for w in found) for common in toxicity.COMMON]
+        spoken = votes.index(max(votes)) if max(votes) else len(votes)
+        return float(np.dot(hidden, net.out) + net.base - net.cuts[spoken])
+
+    assert [scorer.logit(t) for t in texts] == pytest.approx([plain(t) for t in texts], abs=1e-4)
+
+
+def test_one_id_with_several_texts_trains_one_model(spark):
+    texts = [(n % 40, prose(n, 60 + n % 7)) for n in range(120)]
+    labels = spark.createDataFrame([(n, n % 2) for n in range(40)], "doc_id long, quality int")
+
+    def scores(rows, parts):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        return {(r["row"].doc_id, r["row"].text): r.score for r in quality_classifier.quality_scores(docs, labels).collect()}
+
+    assert scores(texts, 1) == scores(texts[::-1], 5)
+
+
 def test_pooling_is_the_largest_window():
     pick = np.random.default_rng(1)
     seen = pick.normal(size=(9, 6, toxicity.FILTERS)).astype(np.float32)

@@ -146,14 +146,16 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
     ``labels`` holds doc_id and the label; whoever holds rows out leaves them out of it. Texts
     are read once, for their statistics; training and scoring work on these. Null and
     empty texts are scored like any other, from zeros. Rows with a null id are scored but never
-    trained on, repeated rows score alike. Without labels every score is 0.5.
+    trained on, repeated rows score alike. Of several texts under one id the one with the least
+    statistics is learned from. Without labels every score is 0.5.
     """
     measured = stored(docs.select(
         F.struct(*[named(c) for c in columns or docs.columns]).alias("row"),
         named(id_column).alias("id"), features(named(text_column)).alias("features"),
     ), "quality-features")
     sample = training_rows(measured.select("id", "features"), labels, label, training)
-    rows = sorted(sample.dropDuplicates(["id"]).select("id", "features", "label").collect())
+    least = F.min(F.struct("features", "label")).alias("x")
+    rows = sorted(sample.groupBy("id").agg(least).select("id", "x.features", "x.label").collect())
     x = np.array([r["features"] for r in rows], float).reshape(-1, FEATURES)
     y = np.array([r["label"] for r in rows], float)
     model = docs.sparkSession.sparkContext.broadcast(train(x, y))

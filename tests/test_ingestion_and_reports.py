@@ -1,7 +1,9 @@
 import datetime as dt
+from decimal import Decimal
 from types import SimpleNamespace
 
 import pytest
+from pyspark import TaskContext
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from conftest import rows
 from tidemark.functions import as_date, run_variables
 from tidemark.operators import (
     classify_log, error_code, error_lines, metrics_export, null_check, previous_snapshot,
-    previous_snapshot_dates, previous_snapshots, stored_counts, transform_counts,
+    previous_snapshot_dates, previous_snapshots, rows_print, stored_counts, transform_counts,
 )
 from tidemark.operators.metrics_export import EXPORT_COLUMNS
 from tidemark.plans import (
@@ -425,3 +427,55 @@ def test_shared_path(spark):
         shared_path(session_like(None, "yarn"), "x")
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert named is None or shared_path(spark, "x").startswith(named)
+
+
+def printed(df):
+    return df.agg(rows_print(df).alias("p")).first().p
+
+
+def test_prints_tell_rows_apart_in_any_order(spark):
+    data = [(1, "a", None, -0.0), (1, "a", None, 0.0), (2, None, "a", float("nan")), (3, "", "b", 1.5)]
+    fields = "id long, `x.y` string, z string, w double"
+    df = spark.createDataFrame(data, fields)
+    assert printed(df) == printed(spark.createDataFrame(data[::-1], fields).repartition(3))
+    assert printed(df) == printed(df.select("w", "z", "`x.y`", "id").withColumn("as_of_date", F.lit("x")))
+    assert printed(df.where("false")) == 0
+    others = [
+        data[:3], [*data, data[0]], [*data[:3], (3, "b", "", 1.5)], [*data[1:], (1, None, "a", -0.0)],
+        [*data[1:], (1, "a", "", 0.0)], [(n + 1, *rest) for n, *rest in data]]
+    sums = [printed(spark.createDataFrame(other, fields)) for other in others]
+    assert len({printed(df), *sums}) == len(others) + 1
+
+
+def test_a_swapped_row_is_told(spark, root, ingestion_file):
+    mapping = read_ingestion_mapping(spark, ingestion_file, "storage")
+
+    def run():
+        return ingest_domain(spark, mapping, lambda target: spark.range(7).withColumn("v", F.col("id") % 2),
+                             root, "storage", D3, RUN_TS, compare_rows=True)
+
+    assert rows(run(), "dest_tbl", "src_count", "dest_count", "error_msg") == [("bins", 7, 7, " ")]
+    path = f"{root}/lake/stock/now/bins"
+    made = replace_snapshot(spark.range(7), path, D3, also={"p": rows_print(spark.range(7))})
+    assert made["rows"] == 7 and made["p"] == printed(spark.range(7))
+    produced = spark.createDataFrame([("lake", "bins", D3, 7, made["p"]), ("lake", "bins", D1, 0, Decimal(0))],
+                                     f"{TARGET_DATE}, src_count long, src_print decimal(38,0)")
+    for swapped, told in ((0, " "), (1, "stored rows differ from the rows produced")):
+        replace_snapshot(spark.range(swapped, 7 + swapped), path, D3)
+        stored = stored_counts(spark.read.parquet(path), "lake", "bins", prints=True)
+        counts = transform_counts(produced, stored, mapping, RUN_TS)
+        assert rows(counts, "as_of_date", "src_count", "dest_count", "error_msg") == [(D1, 0, 0, " "), (D3, 7, 7, told)]
+
+
+def test_repeated_tasks_print_once(spark, root):
+    """A task that fails once and is repeated has its rows counted and printed once."""
+    def once(batches):
+        for batch in batches:
+            if TaskContext.get().attemptNumber() == 0 and TaskContext.get().partitionId() == 1:
+                raise OSError("lost")
+            yield batch
+
+    df = spark.range(100).repartition(4)
+    shaky = df.mapInPandas(once, "id long")
+    made = replace_snapshot(shaky, root, D1, also={"p": rows_print(shaky)})
+    assert (made["rows"], made["p"]) == (100, printed(df))

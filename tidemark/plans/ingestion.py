@@ -8,10 +8,10 @@ from concurrent.futures import ThreadPoolExecutor, as_completed
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 
 from tidemark.functions.times import as_date
-from tidemark.operators.reconcile import stored_counts, transform_counts
+from tidemark.operators.reconcile import rows_print, stored_counts, transform_counts
 from tidemark.sinks.partitions import replace_partition, replace_partitions
 from tidemark.sources import layout
 from tidemark.sources.mappings import mapped_tables
@@ -33,15 +33,17 @@ def replace_snapshot(
     as_of: dt.date | str,
     files: int | None = None,
     max_rows_per_file: int = 0,
-) -> int:
+    also: Mapping[str, Column] | None = None,
+) -> int | dict:
     """Make ``df`` the snapshot of a date and return how many rows it produced.
 
     Written as it is partitioned unless a number of files is asked for; a snapshot of
     many terabytes is better served by ``max_rows_per_file``, which needs no shuffle.
+    ``also`` as in :func:`replace_partition`.
     """
     rows = df if files is None else df.repartition(files)
     return replace_partition(
-        rows, root, {"as_of_date": as_date(as_of)}, max_rows_per_file=max_rows_per_file
+        rows, root, {"as_of_date": as_date(as_of)}, max_rows_per_file=max_rows_per_file, also=also
     )
 
 
@@ -79,13 +81,15 @@ def ingest_domain(
     files: int | None = None,
     register: bool = False,
     at_once: int = 4,
+    compare_rows: bool = False,
 ) -> DataFrame:
     """Ingest every mapped table for a date and record the counts.
 
     ``query`` gives the rows of a target table; each table is one write job, some of
     which run side by side. With ``register`` the targets are catalog tables over their
     paths: the date is added to them and counted through them. Targets named twice are
-    refused before anything is written.
+    refused before anything is written. ``compare_rows`` reads the stored rows once more and
+    says in a table's message whether they are the rows produced, not only as many.
 
     Once all tables are done, the metric rows of a database are stored in one write. A table that
     fails keeps its old snapshot and metric row and does not stop the others;
@@ -99,13 +103,14 @@ def ingest_domain(
     if twice:
         raise ValueError(f"mapped more than once: {', '.join(twice)}")
 
-    def ingest(row: Row) -> tuple[int, int]:
-        """Rows produced and rows readable afterwards."""
+    def ingest(row: Row) -> tuple[dict, dict]:
+        """What was produced and what is readable afterwards: numbers of rows, and their prints."""
         target = layout.snapshot_root(
             root, row.target_database, row.target_folder, row.target_table
         )
         df = query(row.target_table)
-        size = replace_snapshot(df, target, day, files)
+        prints = {"src_print": rows_print(df)} if compare_rows else {}
+        made = replace_snapshot(df, target, day, files, also=prints)
         if register:
             name = f"{row.target_database}.{row.target_table}"
             register_partitions(spark, name, [day])
@@ -113,17 +118,18 @@ def ingest_domain(
         else:
             schema = df.drop("as_of_date").schema.add("as_of_date", "date")
             readable = read_snapshot(spark, target, day, schema)
-        stored = stored_counts(readable, row.target_database, row.target_table, day)
-        return size, stored.first()["dest_count"]
-
-    def counts_of(rows: Sequence[tuple[Row, int, int]]) -> DataFrame:
-        keys = "dest_db string, dest_tbl string, as_of_date date"
-        produced = spark.createDataFrame(
-            [(row.target_database, row.target_table, day, size) for row, size, _ in rows],
-            f"{keys}, src_count long")
-        stored = spark.createDataFrame(
-            [(row.target_database, row.target_table, day, found) for row, _, found in rows],
-            f"{keys}, dest_count long")
+        stored = stored_counts(readable, row.target_database, row.target_table, day, compare_rows)
+        return {"src_count": made["rows"], **made}, stored.first().asDict()
+
+    def side(rows: Sequence[tuple[Row, dict]], name: str) -> DataFrame:
+        columns = [f"{name}_count long"] + [f"{name}_print decimal(38,0)"] * compare_rows
+        return spark.createDataFrame([
+            (row.target_database, row.target_table, day, *[found[c.split()[0]] for c in columns])
+            for row, found in rows], ", ".join(["dest_db string, dest_tbl string, as_of_date date", *columns]))
+
+    def counts_of(rows: Sequence[tuple[Row, dict, dict]]) -> DataFrame:
+        produced = side([(row, made) for row, made, _ in rows], "src")
+        stored = side([(row, found) for row, _, found in rows], "dest")
         own = spark.createDataFrame([row for row, _, _ in rows], mapping.schema)
         return transform_counts(produced, stored, own, run_ts)
 

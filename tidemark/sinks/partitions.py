@@ -27,23 +27,26 @@ def replace_partition(
     partition: Mapping[str, object],
     file_format: str = "parquet",
     max_rows_per_file: int = 0,
-) -> int:
+    also: Mapping[str, Column] | None = None,
+) -> int | dict:
     """Make ``df`` the content of one partition and return its number of rows.
 
     The partition's values take the place of columns of that name. Rows are written as
     they come, without shuffle or sort. Values must not be null or empty: Spark gives both
-    the same folder.
+    the same folder. ``also`` names further aggregates of the rows to observe in the tasks that
+    write them; the result is then a dictionary of these and ``rows``.
     """
     _checked({key: [value] for key, value in partition.items()})
     rows = df.drop(*partition)
     written = Observation()
     # The values follow the observation, so that the writer sees them as constants.
-    labelled = rows.observe(written, F.count(F.lit(1)).alias("rows")).withColumns(
+    more = [value.alias(name) for name, value in (also or {}).items()]
+    labelled = rows.observe(written, F.count(F.lit(1)).alias("rows"), *more).withColumns(
         {key: F.lit(value) for key, value in partition.items()}
     )
     only = {key: [value] for key, value in partition.items()}
     _write(labelled, root, only, file_format, max_rows_per_file)
-    return written.get["rows"]
+    return written.get["rows"] if also is None else written.get
 
 
 def replace_partitions(

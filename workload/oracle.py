@@ -287,6 +287,10 @@ ORACLE = {
           as_of_date = DATE '2024-01-14' AND (dest_db, dest_tbl) = (SELECT min((dest_db, dest_tbl)) FROM found))
         ) AS VARCHAR) AS yest_ingest_dt
         FROM found GROUP BY dest_db, dest_tbl"""),
+    "reconcile_rows": with_(BALANCES, f"""
+        SELECT CAST(as_of_date AS VARCHAR) AS as_of_date, count(*) AS src_count, count(*) AS dest_count,
+          CASE WHEN as_of_date = {D} THEN 'stored rows differ from the rows produced' ELSE ' ' END AS error_msg
+        FROM balances GROUP BY ALL"""),
     "run_dates": with_(TRANSACTIONS, f"""
         SELECT DISTINCT CAST(as_of_date AS VARCHAR) AS as_of_date,
           {stamp("CAST(as_of_date AS TIMESTAMP) + INTERVAL 33 HOURS")} AS next_ingest_date,

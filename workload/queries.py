@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.operators import (
     classify_freshness, classify_log, duplicate_check, error_lines, metrics_export, null_check,
-    previous_snapshot, previous_snapshot_dates, previous_snapshots, readiness, status_summary, stored_counts,
+    previous_snapshot, previous_snapshot_dates, previous_snapshots, readiness, rows_print, status_summary,
+    stored_counts,
     transform_counts, verdict,
 )
 from tidemark.plans import (
@@ -403,6 +404,25 @@ def previous_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "dest_db string, dest_tbl string, yest_ingest_dt date"))
 
 
+def reconcile_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every date stored as produced, but for one where a row is swapped for another."""
+    df, root = balances(spark, sf_dir), shared_path(spark, "reconciled")
+    target = (F.lit("lake").alias("dest_db"), F.lit("balances").alias("dest_tbl"))
+    produced = df.groupBy("as_of_date").agg(
+        F.count(F.lit(1)).alias("src_count"), rows_print(df).alias("src_print")).select(*target, "*")
+    days = [row.as_of_date for row in produced.select("as_of_date").collect()]
+    replace_snapshots(df, root, days)
+    day = df.where(F.col("as_of_date") == F.lit(DAY).cast("date"))
+    first = day.agg(F.min("event_id")).first()[0]
+    swapped = F.when(F.col("event_id") == first, F.col("account_id") + 1).otherwise(F.col("account_id"))
+    replace_snapshot(day.withColumn("account_id", swapped), root, DAY)
+    stored = stored_counts(read_history(spark, root, df.schema), "lake", "balances", prints=True)
+    mapping = spark.createDataFrame(
+        [("feed", "balances", "lake_balances", "upstream", "lake", "stock")], schemas.INGESTION_MAPPING)
+    counts = transform_counts(produced, stored, mapping, RUN_TS)
+    return plain(counts.select("as_of_date", "src_count", "dest_count", "error_msg"))
+
+
 def previous_dates_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from the names of stored partitions; one table's newest one holds no row."""
     root, emptied = shared_path(spark, "listed"), "2024-01-14"
@@ -690,6 +710,7 @@ QUERIES = {
     "previous_snapshot_history": previous_snapshot_history,
     "previous_dates": previous_dates,
     "previous_dates_listed": previous_dates_listed,
+    "reconcile_rows": reconcile_rows,
     "run_dates": run_dates,
     "metrics_export": metrics_export_history,
     "metrics_report": metrics_report,

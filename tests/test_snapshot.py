@@ -9,7 +9,10 @@ from conftest import rows
 from tidemark.operators import stored_counts
 from tidemark.plans import replace_snapshot, replace_snapshots
 from tidemark.sinks import replace_partition, replace_partitions
-from tidemark.sources import read_history, read_snapshot, read_snapshots, register_partitions
+from tidemark.sinks.files import Files
+from tidemark.sources import (
+    read_history, read_snapshot, read_snapshots, register_partitions, sync_partitions,
+)
 
 D1, D2 = dt.date(2024, 1, 14), dt.date(2024, 1, 15)
 SCHEMA = "id long, name string, as_of_date date"
@@ -199,3 +202,26 @@ def test_nothing_written_at_all(spark, root):
     assert stored(spark, root) == [(1, D1)]
     assert replace_snapshots(df, root, [D1, D2]) == 0
     assert stored(spark, root) == []
+
+
+def test_catalog_follows_the_folders(spark, root):
+    spark.sql("DROP TABLE IF EXISTS followed")
+    spark.sql(f"CREATE TABLE followed (id BIGINT, name STRING, as_of_date DATE) USING parquet "
+              f"PARTITIONED BY (as_of_date) LOCATION '{root}'")
+    assert sync_partitions(spark, "followed", root) == (0, 0)
+    for day in (D1, D2):
+        replace_snapshot(frame(spark, 1, 2), root, day)
+    assert spark.table("followed").count() == 0
+    assert sync_partitions(spark, "followed", root) == (2, 0)
+    assert spark.table("followed").count() == 4
+    # Both directions at once; what is no date is nobody's partition.
+    Files(spark, root).delete(f"as_of_date={D1}")
+    replace_snapshot(frame(spark, 3), root, "2024-01-16")
+    frame(spark, 9).write.parquet(f"{root}/as_of_date=soon")
+    assert sync_partitions(spark, "followed", root) == (1, 1)
+    assert [row[0] for row in spark.sql("SHOW PARTITIONS followed").collect()] == [
+        "as_of_date=2024-01-15", "as_of_date=2024-01-16"]
+    # An emptied date keeps its folder.
+    replace_snapshot(frame(spark), root, D2)
+    assert sync_partitions(spark, "followed", root) == (0, 0) and spark.table("followed").count() == 1
+    spark.sql("DROP TABLE followed")

@@ -3,7 +3,7 @@ from tidemark.sources.mappings import (
     QualityRule, mapped_tables, quality_rules, read_ingestion_mapping, read_metric_mapping,
     read_rule_mapping,
 )
-from tidemark.sources.partition_dates import previous_stored_dates, stored_days
+from tidemark.sources.partition_dates import previous_stored_dates, stored_days, sync_partitions
 from tidemark.sources.snapshots import (
     read_history, read_or_nothing, read_snapshot, read_snapshots, register_partitions,
 )
@@ -19,5 +19,5 @@ __all__ = [
     "read_documents", "read_history", "read_ingestion_mapping", "read_log",
     "read_metric_mapping", "read_rule_mapping", "read_or_nothing", "read_snapshot",
     "read_snapshots", "read_status", "register_partitions", "run_stored_query", "status_records",
-    "stored_days",
+    "stored_days", "sync_partitions",
 ]

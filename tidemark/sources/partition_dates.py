@@ -15,6 +15,8 @@ from tidemark.sinks.files import Files
 
 K = TypeVar("K")
 KEY = "as_of_date"
+# Fixed value: how a catalog shows the partition of rows without a key.
+DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def stored_days(spark: SparkSession, table: str, before: dt.date | str) -> list[dt.date]:
@@ -62,6 +64,36 @@ def previous_stored_dates(
                 days[key] = days[key][1:]
 
 
+def sync_partitions(spark: SparkSession, table: str, root: str) -> tuple[int, int]:
+    """Make a catalog table over ``root`` know the dates that have a folder, and no others.
+
+    Returns how many partitions were added and dropped. The two listings are compared as
+    tables; each direction is one statement. Only the catalog changes. An emptied partition
+    has its folder still and stays known.
+    """
+    pattern = rf"(?:^|/){KEY}=([^/]*)"
+    known = spark.sql(f"SHOW PARTITIONS {quoted(table)}").select(
+        F.regexp_extract("partition", pattern, 1).alias("day")).distinct()
+    names = [(name,) for name in Files(spark, root).names(folders=True)]
+    stored = spark.createDataFrame(names, "name string").select(
+        F.regexp_extract("name", pattern, 1).alias("day")).where(
+            F.expr("try_cast(day AS date)").isNotNull()).distinct()
+    missing = [row.day for row in stored.join(known, "day", "left_anti").collect()]
+    gone = [row.day for row in known.join(stored, "day", "left_anti").collect()]
+
+    def listed(days: list[str], between: str) -> str:
+        return between.join(f"PARTITION ({KEY} = '{dt.date.fromisoformat(day)}')" for day in sorted(days))
+
+    gone = [day for day in gone if day != DEFAULT_PARTITION]
+    if missing:
+        spark.sql(f"ALTER TABLE {quoted(table)} ADD IF NOT EXISTS {listed(missing, ' ')}")
+    if gone:
+        spark.sql(f"ALTER TABLE {quoted(table)} DROP IF EXISTS {listed(gone, ', ')}")
+    if missing or gone:
+        spark.catalog.refreshTable(table)
+    return len(missing), len(gone)
+
+
 def quoted(table: str) -> str:
     return ".".join(f"`{part.strip('`')}`" for part in table.split("."))
 

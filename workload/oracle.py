@@ -142,6 +142,14 @@ def iso(column: str) -> str:
     return f"coalesce(strftime({column}, '%Y-%m-%dT%H:%M:%S.%f'), 'NA')"
 
 
+LOG = """log AS (
+          SELECT CASE event_type WHEN 'error' THEN 'Error' WHEN 'click' THEN 'WARN'
+              WHEN 'view' THEN 'NOTE' WHEN 'purchase' THEN 'ERROR' ELSE 'info' END
+            || ': event ' || CAST(event_id AS VARCHAR) || ' ' || props
+            || CASE WHEN event_id % 7 = 0 THEN ' Exception' ELSE '' END AS value
+          FROM events)"""
+
+
 def log_lines(head: str) -> str:
     return union(*[
         f"SELECT '{head}{level}|' || value AS value FROM log WHERE contains(value, '{text}')"
@@ -263,6 +271,10 @@ ORACLE = {
         SELECT 'lake' AS dest_db, 'balances' AS dest_tbl, CAST(as_of_date AS VARCHAR) AS as_of_date,
           count(*) AS dest_count
         FROM balances GROUP BY as_of_date"""),
+    "catalog_sync": with_(BALANCES, """
+        SELECT 'lake' AS dest_db, 'balances' AS dest_tbl, CAST(as_of_date AS VARCHAR) AS as_of_date,
+          count(*) AS dest_count, CAST(count(*) OVER () AS INT) AS added, 1 AS dropped, count(*) OVER () AS known
+        FROM balances GROUP BY as_of_date"""),
     "stored_query": with_(BALANCES, f"""
         SELECT account_id, account_type, count(*) AS n_rows, count(dirty) AS n_dirty
         FROM balances WHERE as_of_date <= {D} GROUP BY account_id, account_type"""),
@@ -352,12 +364,10 @@ ORACLE = {
             duplicates("balances", ("account_type", "account_id"), VBA_TA),
         )})"""),
     "log_classify": f"""
-        WITH log AS (
-          SELECT CASE event_type WHEN 'error' THEN 'Error' WHEN 'click' THEN 'WARN'
-              WHEN 'view' THEN 'NOTE' WHEN 'purchase' THEN 'ERROR' ELSE 'info' END
-            || ': event ' || CAST(event_id AS VARCHAR) || ' ' || props
-            || CASE WHEN event_id % 7 = 0 THEN ' Exception' ELSE '' END AS value
-          FROM events)
+        WITH {LOG}
         {union(log_lines(f"{DAY}|INFO|99|account|account_data_ingestion|"),
                log_lines(f"{DAY}|INFO|99|ACCOUNT|account_dq_check|"))}""",
+    "log_stream": f"""
+        WITH {LOG}
+        {log_lines(f"{DAY}|INFO|99|account|account_data_ingestion|")}""",
 }

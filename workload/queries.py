@@ -21,12 +21,13 @@ from tidemark.plans import (
 )
 from tidemark.functions import next_ingest_at, normalise_space, previous_day
 from tidemark.sinks import shared_path, write_lines
+from tidemark.sinks.files import Files
 from tidemark.sources import (
     QualityRule, expand_tables, poll_defaults, previous_stored_dates, quality_rules, read_document_lines, read_history,
     read_ingestion_mapping, read_log, read_metric_mapping, read_rule_mapping, read_snapshot,
-    read_snapshots, read_status, register_partitions, run_stored_query, status_records,
+    read_snapshots, read_status, register_partitions, run_stored_query, status_records, sync_partitions,
 )
-from tidemark.streaming import await_verdict, watch_domain
+from tidemark.streaming import arriving_log, await_verdict, deliver_log, watch_domain
 from workload.tables import (
     DAY, FIRST_DAY, LAST_DAY, RUN_TS, balances, plain, status_events, table, transactions,
 )
@@ -277,6 +278,30 @@ def catalog_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(spark.read.parquet(counts))
 
 
+def catalog_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog that missed every write and remembers a date that is gone, set right."""
+    df = balances(spark, sf_dir)
+    root, days = shared_path(spark, "synced"), _days(df)
+    name = "balances_" + root.rsplit("-", 1)[-1]
+    columns = ", ".join(f"{column} {kind}" for column, kind in df.dtypes)
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (as_of_date) "
+        f"LOCATION '{root}'"
+    )
+    counts = shared_path(spark, "synced_counts")
+    try:
+        register_partitions(spark, name, ["1999-12-31"])
+        Files(spark, root).delete("as_of_date=1999-12-31")
+        replace_snapshots(df, root, days)
+        added, dropped = sync_partitions(spark, name, root)
+        known = spark.sql(f"SHOW PARTITIONS {name}").count()
+        stored_counts(spark.table(name), DATABASE, "balances").withColumns({
+            "added": F.lit(added), "dropped": F.lit(dropped), "known": F.lit(known)}).write.parquet(counts)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    return plain(spark.read.parquet(counts))
+
+
 def _write_query(spark: SparkSession, directory: str, target: str, text: str) -> None:
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{directory}/{target}.hql")
 
@@ -655,18 +680,23 @@ def error_export_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(root).select("value")
 
 
-def log_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log lines read from files, classified, delivered and read again."""
+def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A line of a log for each event."""
     kind = F.col("event_type")
     level = (
         F.when(kind == "error", "Error").when(kind == "click", "WARN").when(kind == "view", "NOTE")
         .when(kind == "purchase", "ERROR").otherwise("info")
     )
     tail = F.when(F.col("event_id") % 7 == 0, " Exception").otherwise("")
-    lines = table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").select(
         F.concat(level, F.lit(": event "), F.col("event_id"), F.lit(" "), F.col("props"), tail)
         .alias("value")
     )
+
+
+def log_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log lines read from files, classified, delivered and read again."""
+    lines = _log(spark, sf_dir)
     path, root = shared_path(spark, "log"), shared_path(spark, "log_lines")
     lines.write.text(path)
     log = read_log(spark, path)
@@ -677,6 +707,18 @@ def log_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(root).select("value")
 
 
+def log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log arriving in pieces, some before and some after a restart; what was delivered."""
+    folder, root = shared_path(spark, "log_pieces"), shared_path(spark, "log_batches")
+    checkpoint = shared_path(spark, "log_checkpoint")
+    early, late = _log(spark, sf_dir).randomSplit([0.5, 0.5], seed=5)
+    for piece in (early, late):
+        piece.repartition(3).write.mode("append").text(folder)
+        deliver_log(arriving_log(spark, folder, files_at_once=1), root, DAY, "account", "data_ingestion",
+                    checkpoint).awaitTermination()
+    return spark.read.text(root).select("value")
+
+
 QUERIES = {
     "null_check": _balance_nulls(),
     "null_check_scope_vba": _balance_nulls("ConditionalNulls"),
@@ -702,6 +744,7 @@ QUERIES = {
     "snapshot_replace": snapshot_replace,
     "snapshot_scan": snapshot_scan,
     "catalog_partitions": catalog_partitions,
+    "catalog_sync": catalog_sync,
     "stored_query": stored_query,
     "ingest_domain": ingest,
     "ingest_failing": ingest_failing,
@@ -728,4 +771,5 @@ QUERIES = {
     "error_export_tabs": error_export_tabs,
     "error_export_file": error_export_file,
     "log_classify": log_classify,
+    "log_stream": log_stream,
 }

@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.times import as_date
-from tidemark.operators.duplicate_check import duplicate_check
-from tidemark.operators.null_check import null_check
+from tidemark.operators.table_check import table_check
 from tidemark.operators.text_lines import error_code, error_lines
 from tidemark.sinks.partitions import replace_partitions
 from tidemark.sources import layout
@@ -30,18 +29,16 @@ def run_quality(
 ) -> DataFrame:
     """All findings of the given rules as error rows.
 
-    Each table is scanned once for all its blank-field rules and once per distinct key
-    that must be unique. The parts are independent, so one action runs them side by side.
-    Rules that check nothing find nothing.
+    Each table is scanned once for its blank fields and its keys of numbers together, and
+    once more per wide key (``table_check``). The parts are independent, so one action runs
+    them side by side. Rules that check nothing find nothing.
     """
     options = dict(source_type=source_type, run_ts=run_ts, as_of=as_of, type_column=type_column)
     parts = []
     for table in dict.fromkeys(rule.table for rule in rules):
-        own = rules_for(rules, table)
-        if any(rule.null_fields for rule in own):
-            parts.append(null_check(tables[table], own, table=table, **options))
-        if any(rule.duplicate_keys for rule in own):
-            parts.append(duplicate_check(tables[table], own, table=table, **options))
+        own = [rule for rule in rules_for(rules, table) if rule.null_fields or rule.duplicate_keys]
+        if own:
+            parts.append(table_check(tables[table], own, table=table, **options))
     if not parts:
         nothing = schemas.SQL_ERRORS
         return next(iter(tables.values())).sparkSession.createDataFrame([], nothing)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.blanks import any_blank
@@ -40,11 +40,7 @@ def null_check(
     if not rules:
         raise ValueError("no rule names a field that must be filled")
     scopes = [null_scope(rule.overrides) for rule in rules]
-    conditions = [any_blank(df, [name.strip() for name in rule.null_fields]) for rule in rules]
-    counters = [
-        F.count_if(blank if scope is None else scope.condition(type_column) & blank).alias(f"_n{i}")
-        for i, (scope, blank) in enumerate(zip(scopes, conditions))
-    ]
+    counters = [F.count_if(flag).alias(f"_n{i}") for i, flag in enumerate(blank_flags(df, rules, type_column))]
     if as_of is None:
         counted = df.groupBy("as_of_date").agg(*counters)
     else:
@@ -59,3 +55,10 @@ def null_check(
         for i, rule in enumerate(rules)
     ]
     return error_rows(unfold(counted, results), table, source_type, run_ts)
+
+
+def blank_flags(df: DataFrame, rules: Sequence[QualityRule], type_column: str = "account_type") -> list[Column]:
+    """For each rule whether a row is in its scope and lacks a field; not true where the type is unknown."""
+    scopes = [null_scope(rule.overrides) for rule in rules]
+    blank = [any_blank(df, [name.strip() for name in rule.null_fields]) for rule in rules]
+    return [b if scope is None else scope.condition(type_column) & b for scope, b in zip(scopes, blank)]

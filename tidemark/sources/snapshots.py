@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,11 +14,11 @@ from tidemark.functions.times import as_date, day_in
 
 
 def read_or_nothing(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
-                    **options: str) -> DataFrame:
-    """Stored rows; none where nothing was ever written."""
+                    reader: DataFrameReader | None = None, **options: str) -> DataFrame:
+    """Stored rows; none where nothing was ever written. ``reader`` is for other formats than Parquet."""
     try:
-        reader = spark.read.schema(schema).options(**options)
-        return reader.parquet(*([path] if isinstance(path, str) else path))
+        reader = (reader or spark.read.format("parquet")).schema(schema).options(**options)
+        return reader.load([path] if isinstance(path, str) else list(path))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

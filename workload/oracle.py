@@ -187,6 +187,8 @@ ORACLE = {
     "null_check_scope_vba_ta": with_(BALANCES, nulls("balances", ("dirty",), VBA_TA)),
     "null_check_scope_not_vbo": with_(BALANCES, nulls("balances", ("dirty",), NOT_VBO)),
     "null_check_numeric": with_(BALANCES, nulls("balances", ("amount",))),
+    "null_check_kept": with_(BALANCES, union(
+        nulls("balances", ("dirty",)), nulls("balances", ("dirty", "amount"), VBA))),
     "null_check_multi": with_(BALANCES, nulls("balances", ("dirty", "account_type"))),
     "null_check_transactions": with_(TRANSACTIONS, union(
         nulls("transactions", ("flag",), NOT_VBO),

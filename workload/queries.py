@@ -16,7 +16,7 @@ from tidemark.operators import (
     transform_counts, verdict,
 )
 from tidemark.plans import (
-    IngestionError, check_domains, check_quality, export_errors, ingest_domain, publish_status,
+    IngestionError, check_domains, check_quality, export_errors, ingest_domain, kept_null_check, publish_status,
     replace_snapshot, replace_snapshots, report_batch, run_quality, write_errors,
 )
 from tidemark.functions import next_ingest_at, normalise_space, previous_day
@@ -86,6 +86,18 @@ def null_check_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(checked)
 
 
+def null_check_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balances that arrive in two files per day; the second run reads the later ones alone."""
+    rules = [_rule("balances", ["dirty"]), _rule("balances", ["dirty", "amount"], override="ConditionalNulls")]
+    root, kept = shared_path(spark, "arriving"), shared_path(spark, "kept")
+    rows = balances(spark, sf_dir)
+    clicks = F.coalesce(F.col("account_type"), F.lit("")) == "VBA"
+    for part in (clicks, ~clicks):
+        rows.where(part).repartition("as_of_date").write.mode("append").partitionBy("as_of_date").parquet(root)
+        found = kept_null_check(spark, root, rows.schema, rules, kept, table="balances", **RUN)
+    return plain(found)
+
+
 def _balance_duplicates(keys, override="None"):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         rules = [_rule("balances", keys=keys, override=override)]
@@ -729,6 +741,7 @@ QUERIES = {
     "null_check_transactions": null_check_transactions,
     "null_check_overrides": null_check_overrides,
     "null_check_day": null_check_day,
+    "null_check_kept": null_check_kept,
     "duplicate_check": _balance_duplicates(("account_id",)),
     "duplicate_check_scope": _balance_duplicates(("account_id",), "ConditionalDupNonLegacy"),
     "duplicate_check_multi_key": _balance_duplicates(("account_id", "account_type")),

@@ -18,7 +18,7 @@ from tidemark.llm.chat import (
 )
 from tidemark.llm.mixing import measured, mix, mixed, targets
 from tidemark.llm.quality_rules import chi_square_quantile, quality_rules, without_junk
-from tidemark.llm.url_filter import ListRule, url_filter
+from tidemark.llm.url_filter import ListRule, companions, url_filter, url_parts, url_tokens
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -398,6 +398,45 @@ def test_urls_by_brute_force(spark):
             assert row.verdict == (max(fits)[3] if fits else "allow")
 
 
+def template(spark, words, rows=240):
+    """Labelled urls that all share ``words``; a few words decide the verdict."""
+    pick = random.Random(8)
+    return spark.createDataFrame([
+        (f"http://site.net/{'/'.join(f't{n:02}' for n in range(words))}/{pick.choice('abc')}-{pick.choice('defg')}",)
+        for _ in range(rows)], "url string").withColumn(
+        "verdict", F.when(F.col("url").rlike("/a-[de]"), "block").otherwise("allow"))
+
+
+def test_a_template_of_forty_words(spark):
+    labelled = template(spark, 40)
+    pages = spark.createDataFrame([(n, u) for n, u in enumerate([
+        "http://x.com/t07/a/d", "http://x.com/b/t39/t01", "http://x.com/a/e/zz", "http://x.com/zz", "http://x.com/t05"])],
+        "page_id long, url string")
+    found = {r["row"].page_id: r.verdict for r in url_filter(pages, (), labelled, default="none").collect()}
+    assert found == {0: "block", 1: "allow", 2: "block", 3: "none", 4: "none"}
+
+
+def test_merged_words_change_no_verdict(spark):
+    labelled = template(spark, 3, 150).unionByName(spark.createDataFrame(
+        [(f"http://p.q.org/u/v{n % 2}", "block" if n % 3 else "allow") for n in range(60)], "url string, verdict string"))
+    pick = random.Random(2)
+    words = ["t00", "t01", "t02", "a", "b", "c", "d", "e", "u", "v0", "v1", "zz"]
+    urls = [f"http://{pick.choice(['p.com', 'q.com', 'site.com', 'k.org'])}/{'/'.join(pick.sample(words, 3))}" for _ in range(120)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+
+    def tokens(url):
+        host, *path = url.removeprefix("http://").replace("-", "/").split("/")
+        return frozenset([f"host:{p}" for p in host.split(".")] + [f"path:{p}" for p in path])
+
+    rules = brute_rules([(tokens(r.url), r.verdict) for r in labelled.collect()], 0.02, 0.6)
+    merged = {r.member for r in companions(labelled.select(
+        url_tokens(*url_parts(F.col("url"))).alias("tokens")), 0.02).collect()}
+    assert {"path:t01", "path:t02", "host:q"} <= merged
+    for row in url_filter(pages, (), labelled, min_support=0.02, min_confidence=0.6).collect():
+        fits = [(c, n, -len(p), v) for p, v, c, n in rules if set(p) <= tokens(row["row"].url)]
+        assert row.verdict == (max(fits)[3] if fits else "allow")
+
+
 def test_awkward_urls(spark):
     urls = [None, "", "org", "http://", "HTTP://A.ORG", "x://a.org/?q", "http://b.BAD.org/x1#z", "a://b://c.org/",
             "http://notbad.org/x", "http://é.org/É/" + "p" * 100_000, "http://a.org/\n/b", "http://a.org/\n/b"]

@@ -55,6 +55,24 @@ def url_tokens(host: Column, path: Column) -> Column:
         marked(host, r"\.", "host:"), marked(path, r"[/._\-]", "path:"))))
 
 
+def companions(labelled: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
+    """``member`` and ``token``: frequent tokens that always occur with a lesser one, and the least of those.
+
+    Tokens stand in the same rows if their number of rows and two sums of 64-bit hashes of the
+    rows' sets of tokens are equal. Rows are summed per token before the shuffle.
+    """
+    seen = labelled.select(
+        F.explode("tokens").alias("token"), F.xxhash64("tokens").cast("decimal(20)").alias("first"),
+        F.xxhash64(F.lit("again"), "tokens").cast("decimal(20)").alias("second"))
+    counted = seen.groupBy("token").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("first").alias("first"), F.sum("second").alias("second"))
+    least = min_support * labelled.count()
+    alike = counted.where(F.col("rows") >= least).groupBy("rows", "first", "second").agg(
+        F.array_sort(F.collect_set("token")).alias("members")).where(F.size("members") > 1)
+    return alike.select(
+        F.explode(F.slice("members", 2, F.size("members"))).alias("member"), F.col("members")[0].alias("token"))
+
+
 def mined_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT,
                 min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """``tokens``, ``verdict``, ``confidence``, ``support`` (rows), ``entry`` (the rarest token).
@@ -62,8 +80,9 @@ def mined_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT,
     ``labelled`` holds ``tokens`` and ``verdict``. FP-growth finds every combination that at
     least ``min_support`` of the rows contain, the verdict being one more item. A rule stays
     if its confidence reaches ``min_confidence`` and no rule with one token less and the
-    same verdict is as sure. The number of combinations is bounded by the support, not by the
-    number of rows.
+    same verdict is as sure. Combinations do not depend on the number of rows, but double with
+    each token that often occurs with others; tokens that always occur together are therefore to be
+    merged before (``companions``).
     """
     verdict_item = F.concat(F.lit("verdict:"), F.col("verdict"))
     items = labelled.select(F.concat("tokens", F.array(verdict_item)).alias("items"))
@@ -80,7 +99,7 @@ def mined_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT,
     sure = stored(classed.join(
         sets.select(F.col("items").alias("tokens"), "freq"), "tokens"
     ).select(
-        "tokens", F.substring("item", 9, 1000).alias("verdict"),
+        "tokens", F.substr("item", F.lit(len("verdict:") + 1)).alias("verdict"),
         (F.col("support") / F.col("freq")).alias("confidence"), "support",
     ).where(F.col("confidence") >= min_confidence), "url-rules")
     shorter = sure.select("tokens", "verdict", "confidence", F.explode("tokens").alias("left")).select(
@@ -96,16 +115,21 @@ def mined_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT,
         "tokens", "verdict", "confidence", "support", "entry"), "url-index")
 
 
-def matched(token_sets: DataFrame, rules: DataFrame) -> DataFrame:
+def matched(token_sets: DataFrame, rules: DataFrame, merged: DataFrame | None = None) -> DataFrame:
     """``tokens`` and the ``mined`` verdict of the best rule that fits; no row without one.
 
     The rules are an inverted index: a URL meets only rules filed under one of its tokens, and
-    a rule is filed under its rarest token, so a token of every URL draws few. The surest rule
-    wins, then the better supported, the shorter, and of those a blocking one.
+    a rule is filed under its rarest token, so a token of every URL draws few. With ``merged``
+    (``member``, ``token``) a member stands for its token, once however many are there. The surest
+    rule wins, then the better supported, the shorter, and of those a blocking one.
     """
     index = rules.select(F.col("tokens").alias("need"), "verdict", "confidence", "support", "entry")
-    met = token_sets.select("tokens", F.explode("tokens").alias("entry")).join(index, "entry")
-    fits = met.where(F.size(F.array_except("need", "tokens")) == 0)
+    held = token_sets.select("tokens", F.col("tokens").alias("held"))
+    if merged is not None:
+        entries = token_sets.select("tokens", F.explode("tokens").alias("member")).join(merged, "member", "left")
+        held = entries.groupBy("tokens").agg(F.collect_set(F.coalesce("token", "member")).alias("held"))
+    met = held.select("tokens", "held", F.explode("held").alias("entry")).join(index, "entry")
+    fits = met.where(F.size(F.array_except("need", "held")) == 0)
     best = F.max(F.struct("confidence", "support", (-F.size("need")).alias("short"), "verdict"))
     return fits.groupBy("tokens").agg(best.getField("verdict").alias("mined"))
 
@@ -119,6 +143,11 @@ def url_filter(pages: DataFrame, rules: Sequence[ListRule], labelled: DataFrame
     ``labelled`` (``url``, ``verdict``), by default from the rows that the list decides. Where no
     rule fits, and for urls that are null or lack ``://``, the verdict is ``default``. Equal
     sets of tokens are judged once. Empty tables give empty results.
+
+    Labelled tokens that always occur together are mined as one, of which any is enough to fit:
+    a rule that needs several of them is never surer than one that needs any, so no verdict
+    changes. Their names pass through the driver: at most the mean number of tokens over
+    ``min_support``.
     """
     def parts(df: DataFrame, url: Column) -> DataFrame:
         host, path = url_parts(url)
@@ -135,9 +164,14 @@ def url_filter(pages: DataFrame, rules: Sequence[ListRule], labelled: DataFrame
         host, path = url_parts(named("url"))
         learned = labelled.where("verdict IS NOT NULL").select(
             url_tokens(host, path).alias("tokens"), "verdict")
-    index = mined_rules(stored(learned, "url-labels"), min_support, min_confidence)
+    learned = stored(learned, "url-labels")
+    merged = stored(companions(learned, min_support), "url-companions")
+    needless = [row["member"] for row in merged.select("member").collect()]
+    if needless:
+        learned = learned.withColumn("tokens", F.filter("tokens", lambda token: ~token.isin(needless)))
+    index = mined_rules(learned, min_support, min_confidence)
     open_sets = rows.where("listed IS NULL").select("tokens").distinct()
-    found = stored(matched(open_sets, index), "url-found")
+    found = stored(matched(open_sets, index, merged if needless else None), "url-found")
     return rows.join(found, "tokens", "left").select(
         "row", "host", "path", "rule",
         F.coalesce("listed", "mined", F.lit(default)).alias("verdict"),

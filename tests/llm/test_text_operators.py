@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import quality_classifier, toxicity
 from tidemark.llm.bpe import Decoder, Encoder, bpe_decode, bpe_encode
 from tidemark.llm.chat import (
-    LAYOUTS, canonical_turns, chat_format, path_fingerprint, read_back, record_fingerprint,
+    LAYOUTS, canonical_turns, chat_format, path_fingerprint, read_back, record_fingerprint, unread_records,
 )
 from tidemark.llm.mixing import measured, mix, mixed, targets
 from tidemark.llm.quality_rules import chi_square_quantile, quality_rules, without_junk
@@ -101,6 +101,29 @@ def test_fingerprints_depend_on_paths_alone(spark):
     assert all(r[0] is None for r in unknown.select(canonical_turns(F.col("record"))).collect())
 
 
+def test_more_fields_than_a_mapping_names(spark):
+    lines = [
+        '{"prompt": "q", "response": "a", "id": 7}', '{"id": {"n": [1]}, "messages": [{"role": "user", "content": "q", '
+        '"at": 3}, {"role": "assistant", "content": "a"}]}',
+        '{"instruction": "q", "input": null, "output": "a", "lang": "en"}', '{"output": "a", "instruction": "q", "b": []}',
+    ]
+    found = records(spark, lines).select(canonical_turns(F.col("record")).alias("x")).collect()
+    assert [[tuple(t) for t in r.x.turns] for r in found] == [[("user", "q"), ("assistant", "a")]] * 4
+    assert [r.x.layout for r in found] == ["prompt-response", "messages", "instruction-input", "instruction"]
+
+
+def test_records_of_no_known_layout_are_counted(spark):
+    lines = [
+        '{"prompt": "q", "response": "a"}', '{"prompt": {"x": 1}, "response": "a"}', '{"prompt": "a"}', '{"prompt": 5}',
+        '{"messages": []}', '{"messages": [{"role": "user"}]}', '{"messages": "x"}', "3", "null", '{"messages": [3], "id": 1}',
+    ]
+    both = records(spark, lines).select("record").unionByName(spark.sql("SELECT CAST(NULL AS VARIANT) AS record"))
+    found = {(r.shape, r.n_records) for r in unread_records(both).collect()}
+    assert ("OBJECT<prompt: BIGINT>", 2) in found and (None, 1) in found and ("OBJECT<messages: ARRAY<VOID>>", 1) in found
+    assert sum(n for _, n in found) == 10 and len(found) == 8
+    assert unread_records(both.where("false")).count() == 0
+
+
 TRICKY = [r"\### Assistant: </turn> ok", "####", "\\", "\\h", r"\\l", "</turn>\n</turn>", "\n</turn>\n",
           "### a: b\n</turn>\n### c: ", "", "#", "##", "< /turn>", "é漢🙂###"]
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
 import pandas as pd
@@ -86,18 +88,56 @@ def record_fingerprint(record: Column) -> Column:
 
 
 def canonical_turns(record: Column, layouts: Sequence[Layout] = LAYOUTS) -> Column:
-    """``layout`` and ``turns`` of a variant; both null where no mapping has its fingerprint."""
+    """``layout`` and ``turns`` of a variant; both null where no mapping suits it.
+
+    The mapping with the record's fingerprint does. A record of no known fingerprint is
+    read by the mapping with most paths among those whose paths it all has, of scalar values: more
+    fields than a mapping names, such as an id, do no harm. ``unread_records`` counts the rest.
+    """
     found = F.lit(None).cast(f"struct<layout:string,turns:{TURNS}>")
+
+    def read(layout: Layout) -> Column:
+        turns = F.concat(*[_turns(record, part) for part in layout.turns])
+        return F.struct(F.lit(layout.name).alias("layout"), turns.alias("turns"))
+
+    for layout in sorted(layouts, key=lambda one: len(one.paths)):
+        found = F.when(_has_paths(record, layout), read(layout)).otherwise(found)
     fingerprint = record_fingerprint(record)
     for layout in layouts:
-        turns = F.concat(*[_turns(record, part) for part in layout.turns])
-        found = F.when(
-            fingerprint == path_fingerprint(layout.paths),
-            F.struct(F.lit(layout.name).alias("layout"), turns.alias("turns")),
-        ).otherwise(found)
+        found = F.when(fingerprint == path_fingerprint(layout.paths), read(layout)).otherwise(found)
     return found
 
 
+def unread_records(records: DataFrame, layouts: Sequence[Layout] = LAYOUTS, record_column: str = "record") -> DataFrame:
+    """The records that no mapping suits: ``fingerprint``, ``shape``, ``n_records``.
+
+    One row per fingerprint of nested paths, empty lists being a shape of their own. ``shape`` is the
+    least of the records' nested types, ``n_records`` their number; null records have null for
+    both others. Records are counted before the shuffle, so one shape may be that of most.
+    """
+    record = F.col(record_column)
+    return records.where(canonical_turns(record, layouts).isNull()).groupBy(
+        record_fingerprint(record).alias("fingerprint")
+    ).agg(F.min(F.schema_of_variant(record)).alias("shape"), F.count(F.lit(1)).alias("n_records"))
+
+
+def _has_paths(record: Column, layout: Layout) -> Column:
+    """Whether a record has all paths of a layout, each ending in a scalar; never null."""
+    def scalar(value: Column) -> Column:
+        return value.isNotNull() & ~F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)")
+
+    def has(path: str) -> Column:
+        before, listed, after = path.partition("[].")
+        if not listed:
+            return scalar(F.try_variant_get(record, f"$.{before}", "variant"))
+        items = F.try_variant_get(record, f"$.{before}", "array<variant>")
+        return (F.size(items) > 0) & F.forall(
+            items, lambda item: scalar(F.try_variant_get(item, f"$.{after}", "variant")))
+
+    found = reduce(and_, map(has, layout.paths))
+    return F.coalesce(found, F.lit(False))
+
+
 def escape(text: Column, more: str = "") -> Column:
     r"""Control strings cannot occur in the result: a backslash becomes ``\b``, a ``#`` before two
     more ``\h``, the ``<`` of an end mark ``\l``; in roles also a colon ``\c``."""

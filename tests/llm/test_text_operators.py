@@ -239,6 +239,9 @@ def test_mix_follows_keys_and_budgets(spark):
         taken = sum(found[i].copies * size for _, i, size in own)
         assert abs(taken - wanted[source]) <= max(size for *_, size in own)
     again = {r["row"].doc_id: r.copies for r in mix(docs.repartition(7)).collect()}
+    narrow = mix(docs, columns=["doc_id"])
+    assert narrow.select("row.*").columns == ["doc_id"]
+    assert {r["row"].doc_id: r.copies for r in narrow.collect()} == again
     assert again == {i: r.copies for i, r in found.items()}
 
 

@@ -22,9 +22,12 @@ def quality_weight(text: Column, size: Column) -> Column:
 
 
 def measured(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-             source_column: str = "source", seed: str = "mix") -> DataFrame:
+             source_column: str = "source", seed: str = "mix",
+             columns: Sequence[str] | None = None) -> DataFrame:
     """Every row as the struct ``row``, with ``source``, ``size``, ``bin`` and ``key``.
 
+    ``columns`` names those that ``row`` holds, by default all.
+
     ``key`` is the exponential key -ln(u) / weight; u comes from a digest of id and text, so
     reruns agree and any task can derive it again. ``bin`` cuts 1 - exp(-key) evenly.
     """
@@ -41,8 +44,9 @@ def measured(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     })
     weighed = sized.withColumn("weight", quality_weight(text, F.col("size")))
     keyed = weighed.withColumn("key", -F.log("u") / F.col("weight"))
+    kept = F.col("row") if columns is None else F.struct(*[F.col("row").getField(c).alias(c) for c in columns])
     return keyed.select(
-        "row", "source", "size", "key",
+        kept.alias("row"), "source", "size", "key",
         F.floor((1 - F.exp(-F.col("key"))) * BINS).cast("int").alias("bin"),
     )
 
@@ -127,15 +131,22 @@ def mix_plan(rows: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MO
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST,
         id_column: str = "doc_id", text_column: str = "text",
-        source_column: str = "source", seed: str = "mix") -> DataFrame:
+        source_column: str = "source", seed: str = "mix",
+        columns: Sequence[str] | None = None) -> DataFrame:
     """Every row as the struct ``row``, with size, source_size, target and ``copies``.
 
     ``copies`` says how often the mix takes the row: all complete epochs of its source, and
     once more if its key lies within the rest of the budget. Rows that repeat id and text share
     their key and are taken alike. Null ids, texts (no words) and sources (a source of their
     own, last) are ordinary values. An empty table gives an empty mix.
+
+    With ``columns``, ``row`` holds only those; they are written with the sizes, so texts are
+    read once. Without, texts are read again rather than written a second time.
     """
-    rows = measured(docs, id_column, text_column, source_column, seed)
+    rows = measured(docs, id_column, text_column, source_column, seed, columns)
+    if columns is not None:
+        rows = stored(rows, "mix-rows")
+        return joined(rows, stored(mix_plan(rows, weights, most).coalesce(1), "mix-plan"))
     narrow = stored(rows.select("source", "size", "bin", "key"), "mix-rows")
     plan = stored(mix_plan(narrow, weights, most).coalesce(1), "mix-plan")
     return joined(rows, plan)

@@ -120,7 +120,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
-    return mix(docs).select(
+    return mix(docs, columns=["doc_id"]).select(
         "row.doc_id", "size", "source_size", "target",
         (F.col("copies") * F.col("size")).alias("taken"))
 

@@ -30,7 +30,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (0.8 or more of five-word shingles) stays."""
+    """One document of each group of near copies (0.8 or more of five-word shingles) stays.
+
+    SimHash fingerprints under covering masks find them, MinHash bands what these leave out.
+    """
     find_package(spark)
     return without_similar(docs)
 

@@ -1,4 +1,8 @@
-"""Near copies by Jaccard similarity of word shingles: MinHash finds pairs, exact sets judge them."""
+"""Near copies by Jaccard similarity of word shingles.
+
+SimHash fingerprints under covering masks find pairs, as in ``simhash``; MinHash bands find those that
+differ in too many bits for that; exact sets judge all of them.
+"""
 
 from __future__ import annotations
 
@@ -11,11 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import named, stored
-from tidemark.llm.simhash import SEED, components, rooted, words_of, without_others
+from tidemark.llm.simhash import SEED, components, covering_masks, majority, rooted, words_of, without_others
 
 SHINGLE = 5
 #: Least similarity, as a fraction of whole numbers: sizes are compared without rounding.
 SIMILAR = (4, 5)
+#: Fingerprints of 64 bits for each text: two that differ in no more than the radius of the masks in
+#: one of them share a bucket.
+PRINTS = 4
 #: A pair at 0.8 shares no band of four minima with a chance of (1 - 0.8 ** 4) ** 28 = 4e-7.
 BANDS, ROWS = 28, 4
 #: Buckets of more texts are compared with one of theirs, and only what that may miss with each other.
@@ -48,6 +55,28 @@ def band_keys(hashed: np.ndarray) -> list[int]:
     return [_signed(xxhash.xxh64_intdigest(band.tobytes(), n)) for n, band in enumerate(bands)]
 
 
+def prints(hashed: np.ndarray) -> list[int]:
+    """SimHash fingerprints, each of other hashes of the shingles; a text without words has none."""
+    if not len(hashed):
+        return []
+    found = [majority(hashed)]
+    for flip, factor in zip(_FLIPS[: PRINTS - 1], _FACTORS):
+        mixed = (hashed ^ flip) * factor
+        mixed ^= mixed >> np.uint64(32)
+        found.append(majority(mixed * factor))
+    return found
+
+
+def covers(marked: DataFrame) -> DataFrame:
+    """``fp``, ``key``: one key for each fingerprint under each covering mask."""
+    masked = [
+        F.xxhash64(F.lit(n), "number", F.col("print").bitwiseAND(F.lit(_signed(mask))))
+        for n, mask in enumerate(covering_masks(list(range(64))))
+    ]
+    return marked.select("fp", F.posexplode("prints").alias("number", "print")).select(
+        "fp", F.explode(F.array(*masked)).alias("key"))
+
+
 def word_hash(text: str | None) -> int:
     """Texts of the same words in the same order share it; 0 without a word."""
     found = words_of(text)
@@ -57,7 +86,7 @@ def word_hash(text: str | None) -> int:
 def links(marked: DataFrame, docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """``a``, ``b``: links between different word hashes that connect whatever is similar.
 
-    Texts that share a band are compared exactly. Small buckets give their pairs. A large
+    Texts that share a masked fingerprint or a band are compared exactly. Small buckets give their pairs. A large
     one gives the pairs of one member, its pivot, with all others, since a large bucket is as a
     rule one text with very many near copies. Pairs found by several bands are compared once, each by
     itself, so no worker holds a bucket of copies.
@@ -68,8 +97,8 @@ def links(marked: DataFrame, docs: DataFrame, id_column: str, text_column: str)
     in their distance to the pivot. So a copy at distance d goes if every member that is not similar
     to the pivot is farther from it than d + 0.2. The rest is compared by rare shingles.
     """
-    one = marked.groupBy("fp").agg(F.min(F.struct("id", "hash", "keys")).alias("x")).select("fp", "x.*")
-    keyed = one.select("fp", F.explode("keys").alias("key")).repartition("key")
+    one = marked.groupBy("fp").agg(F.min(F.struct("id", "hash", "keys", "prints")).alias("x")).select("fp", "x.*")
+    keyed = covers(one).union(one.select("fp", F.explode("keys").alias("key"))).repartition("key")
     found = stored(
         keyed.sortWithinPartitions("key", "fp").mapInPandas(_pairs, "key long, a long, b long"),
         "near-pairs")
@@ -115,16 +144,17 @@ def without_similar(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     Two texts are similar if their sets of five-word shingles (A-Z lower-cased) have a Jaccard
     similarity of 0.8 or more; the comparison is exact, and a pair at 0.8 escapes it with a
-    chance of 4e-7. Texts of the same words, and all null, empty and blank texts, are copies.
+    chance below 4e-7. Texts of the same words, and all null, empty and blank texts, are copies.
     Ties of ids are settled as by ``without_near_copies``.
     """
     def marks(texts: pd.Series) -> pd.DataFrame:
+        sets = [shingles(t) for t in texts]
         return pd.DataFrame({
             "fp": np.array([word_hash(t) for t in texts], np.int64),
-            "keys": [band_keys(shingles(t)) for t in texts],
+            "keys": [band_keys(s) for s in sets], "prints": [prints(s) for s in sets],
         })
 
-    made = F.pandas_udf(marks, "fp long, keys array<long>")(named(text_column))
+    made = F.pandas_udf(marks, "fp long, keys array<long>, prints array<long>")(named(text_column))
     marked = stored(docs.select(
         named(id_column).alias("id"), F.xxhash64(named(text_column)).alias("hash"), made.alias("made"),
     ).select("id", "hash", "made.*"), "near-marks")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -34,7 +34,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     if not found:
         return 0
     ends = range(max(len(found) - shingle + 1, 1))
-    hashed = [xxhash.xxh64_intdigest(b" ".join(found[i : i + shingle]), SEED) for i in ends]
+    return majority([xxhash.xxh64_intdigest(b" ".join(found[i : i + shingle]), SEED) for i in ends])
+
+
+def majority(hashed: Sequence[int]) -> int:
+    """64 bits, each set where it is in over half of the hashes."""
     ones = np.zeros(64, np.int64)
     for start in range(0, len(hashed), 1 << 16):  # bounds the memory of very long texts
         block = np.array(hashed[start : start + (1 << 16)], ">u8").view(np.uint8).reshape(-1, 8)
